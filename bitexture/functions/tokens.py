@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 IGNORED_LABEL = -100
@@ -60,33 +61,32 @@ def fixed_length_rows(df: DataFrame, ids: Column, length: int, pad_id: int, text
 
 
 @lru_cache(maxsize=8)
-def _tokenizer(path: str):
+def _tokenizer(name: str):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    return Tokenizer.from_file(SparkFiles.get(name))
 
 
-def file_token_counter(path: str, special: bool = True):
-    """Token counter backed by a tokenizer file on shared storage, loaded once per Python worker."""
+def _encoder(spark: SparkSession, path: str, special: bool, take: Callable, result_type: str):
+    """Arrow UDF over a tokenizer file, which Spark sends to every executor and a worker loads once."""
+    spark.sparkContext.addFile(path)
+    name = path.rsplit("/", 1)[-1]
 
-    @F.pandas_udf("int")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokenizer = _tokenizer(path)
+    @F.pandas_udf(result_type)
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokenizer = _tokenizer(name)
         for texts in batches:
             encoded = tokenizer.encode_batch(texts.fillna("").tolist(), add_special_tokens=special)
-            yield pd.Series([len(e.ids) for e in encoded])
+            yield pd.Series([take(e.ids) for e in encoded])
 
-    return lambda text: count(text)
+    return encode
 
 
-def file_token_ids(path: str, special: bool = True):
-    """Token ids from a tokenizer file; padding and truncation stay in Spark expressions."""
+def file_token_counter(spark: SparkSession, path: str, special: bool = True):
+    """Token counter of a tokenizer file: whole text, no padding, no truncation, special tokens included."""
+    return _encoder(spark, path, special, len, "int")
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokenizer = _tokenizer(path)
-        for texts in batches:
-            encoded = tokenizer.encode_batch(texts.fillna("").tolist(), add_special_tokens=special)
-            yield pd.Series([e.ids for e in encoded])
 
-    return lambda text: ids(text)
+def file_token_ids(spark: SparkSession, path: str, special: bool = True):
+    """Token ids from a tokenizer file; padding and truncation stay in Spark expressions."""
+    return _encoder(spark, path, special, list, "array<int>")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitexture.operators.ranking import shuffled_position
-from bitexture.operators.selection import row_count, scalar_struct
+from bitexture.operators.selection import row_count
 
 MEGABATCH_BATCHES = 50
 
@@ -18,17 +18,13 @@ def length_grouped_batches(df: DataFrame, id_col: str, length_col: str, batch_si
     first slot, so that a batch too large for memory fails at once.
     """
     narrow = df.select(F.col(id_col).alias("id"), F.col(length_col).cast("bigint").alias("length"))
-    batches = F.greatest(F.least(F.floor(row_count(narrow) / (batch_size * 4)), F.lit(MEGABATCH_BATCHES)), F.lit(1))
-    mega_size = batches * batch_size
+    mega_size = max(min(row_count(narrow) // (batch_size * 4), MEGABATCH_BATCHES), 1) * batch_size
     placed = shuffled_position(narrow, "id", seed).withColumn("mega", F.floor(F.col("position") / mega_size))
     inside = Window.partitionBy("mega").orderBy(F.desc("length"), "position")
     ordered = placed.withColumn("place", F.col("mega") * mega_size + F.row_number().over(inside) - 1)
     # The head of the first megabatch holding the longest row swaps with the head of megabatch 0.
     heads = ordered.where(F.col("place") % mega_size == 0)
-    longest = scalar_struct(
-        heads.agg(F.max(F.struct("length", -F.col("place"))).alias("m")).select((-F.col("m.col2")).alias("place")),
-        "place",
-    )["place"]
+    longest = heads.agg(-F.max(F.struct("length", (-F.col("place")).alias("p")))["p"]).scalar()
     place = (
         F.when(F.col("place") == longest, F.lit(0)).when(F.col("place") == 0, longest).otherwise(F.col("place"))
     )

@@ -59,7 +59,7 @@ def curate_top(
     """The ``size`` best pairs by the harmonic mean of both scores among those within the token budget."""
     scored = pairs.dropna(subset=["src_text", "trg_text"]).withColumn("sort_score", harmonic_mean(*map(F.col, scores)))
     fitting = within_budget(scored, composer, counter, max_tokens, src_lang, trg_lang)
-    return top_k(fitting, "sort_score", "pair_id", size, missing=-1.0)
+    return top_k(fitting, "sort_score", "pair_id", size)
 
 
 def top_by_score(pairs: DataFrame, score: str = "bicleaner_ai_score", top_n: int = 1000) -> DataFrame:

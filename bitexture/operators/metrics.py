@@ -67,8 +67,9 @@ def _overlap_sums(examples: DataFrame, keys: list[str], unit: str) -> DataFrame:
 def _join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join of two per-group results; without keys both have one row."""
     if keys:
-        condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-        return left.join(right, condition, "left").drop(*[right[k] for k in keys])
+        renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+        condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        return left.join(renamed, condition, "left").drop(*[f"_{k}" for k in keys])
     one = F.lit(1).alias("_one")
     return left.select("*", one).join(right.select("*", one), "_one", "left").drop("_one")
 

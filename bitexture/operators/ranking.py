@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitexture.functions.hashing import HASH_SPAN, seeded_hash
-from bitexture.operators.selection import scalar_struct
+from bitexture.operators.selection import bucket_of, one_row
 
 BUCKETS = 1 << 16
 
@@ -37,9 +37,8 @@ def shuffled_position(df: DataFrame, id_col: str, seed: int, name: str = "positi
 
 def id_position(df: DataFrame, id_col: str, name: str = "position") -> DataFrame:
     """Position of every row in the order of a unique numeric id, bucketed by id range."""
-    extent = scalar_struct(df.agg(F.min(id_col).alias("low"), F.max(id_col).alias("high")), "low", "high")
-    width = F.expr("1") + F.floor((extent["high"] - extent["low"]) / F.lit(BUCKETS)).cast("bigint")
-    bucket = F.floor((F.col(id_col) - extent["low"]) / width).cast("bigint")
+    low, high = one_row(df.agg(F.min(id_col), F.max(id_col)))
+    bucket = bucket_of(F.col(id_col), low or 0, high or 0, BUCKETS)
     return _position(df, bucket, [id_col], name)
 
 

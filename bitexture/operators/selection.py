@@ -1,138 +1,164 @@
-"""Exact selection by rank without bringing the rows of a group into one task.
+"""Exact selection by rank without sorting the table or bringing a group into one task.
 
-A value at a given rank is found from a histogram of bounded size: only the bucket that holds the rank is looked
-at value by value. The result is a scalar subquery, so selecting the first k rows is a filter, not a sort.
+The value at a rank is found from histograms of bounded size: each round keeps the one bucket that holds the rank,
+until that bucket is small or holds a single value. What reaches the driver is one row per rank and round. The
+selection itself is then a filter with constants, so the selected rows are never shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from bitexture.functions.hashing import HASH_SPAN, seeded_hash
 
 HISTOGRAM_BUCKETS = 1 << 16
+DIRECT_ROWS = 1 << 20
 DIRECT_TOP_K = 10_000
 
 
-def scalar_struct(df: DataFrame, *names: str) -> Column:
-    """The single row of ``df`` as a struct-valued scalar subquery."""
-    return df.select(F.struct(*names)).scalar()
+def one_row(aggregate: DataFrame) -> Row:
+    """The single row of a global aggregate."""
+    return aggregate.first()
+
+
+def row_count(df: DataFrame) -> int:
+    return one_row(df.agg(F.count("*").alias("n"))).n
+
+
+def bucket_of(value: Column, low: float, high: float, buckets: int) -> Column:
+    """Equal-width bucket of a value in [low, high]; the last bucket is closed."""
+    if high <= low:
+        return F.lit(0)
+    position = F.floor((value.cast("double") - F.lit(float(low))) / F.lit(float(high) - float(low)) * buckets)
+    return F.greatest(F.least(position, F.lit(buckets - 1)), F.lit(0)).cast("int")
+
+
+@dataclass(frozen=True)
+class ValueAtRank:
+    """A value, how many rows sort ahead of it, and how many rows hold it."""
+
+    value: float | int
+    before: int
+    n: int
+
 
+@dataclass(frozen=True)
+class _Range:
+    low: float | int
+    high: float | int
+    before: int
+    n: int
+    ranks: tuple[int, ...]
 
-def row_count(df: DataFrame) -> Column:
-    return df.agg(F.count("*")).scalar()
+    def narrowed(self, row: Row) -> "_Range":
+        before = self.before + row.before
+        ranks = tuple(r for r in self.ranks if before < r <= before + row.n)
+        return replace(self, low=row.low, high=row.high, before=before, n=row.n, ranks=ranks)
 
 
-def _bucket(value: Column, low: Column, high: Column, buckets: int, descending: bool) -> Column:
-    width = high.cast("double") - low.cast("double")
-    position = F.floor(F.try_divide((value.cast("double") - low.cast("double")) * buckets, width))
-    bucket = F.coalesce(F.least(position, F.lit(buckets - 1)), F.lit(0).cast("bigint"))
-    return F.lit(buckets - 1) - bucket if descending else bucket
+def _covers_any(ranks: tuple[int, ...], offset: int) -> Column:
+    before, n = F.col("before") + offset, F.col("n")
+    return reduce(or_, [(before < r) & (before + n >= r) for r in ranks])
 
 
-def rank_lookup(
-    values: DataFrame,
-    ranks: list[Column],
-    *,
-    descending: bool = False,
-    bounds: tuple[int, int] | None = None,
-    buckets: int = HISTOGRAM_BUCKETS,
-) -> DataFrame:
-    """Rows ``(value, before, n)`` for every distinct value that covers one of the 1-based ``ranks``.
+def _running(counts: DataFrame, key: str, descending: bool) -> DataFrame:
+    """Add ``before`` to bounded counts ``(key, n)``."""
+    order = F.desc(key) if descending else F.asc(key)
+    upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.withColumn("before", F.sum("n").over(upto) - F.col("n"))
 
-    ``values`` has one numeric column, free of NULL and NaN. ``before`` counts the values sorted ahead and ``n``
-    the copies, so a value covers rank r when ``before < r <= before + n``.
+
+def values_at(
+    values: DataFrame, ranks: list[int], *, descending: bool = False, extent: tuple | None = None
+) -> list[ValueAtRank | None]:
+    """What stands at the 1-based ``ranks`` of a one-column table free of NULL and NaN; None beyond its ends.
+
+    ``extent`` is ``(low, high, n)`` where it is known already.
     """
     (name,) = values.columns
     values = values.select(F.col(name).alias("value"))
-    if bounds is None:
-        extent = scalar_struct(values.agg(F.min("value").alias("low"), F.max("value").alias("high")), "low", "high")
-        low, high = extent["low"], extent["high"]
-    else:
-        low, high = F.lit(bounds[0]), F.lit(bounds[1])
-    values = values.withColumn("bucket", _bucket(F.col("value"), low, high, buckets, descending))
-    wanted = F.array(*[r.cast("bigint") for r in ranks])
-
-    def covering(before: Column, n: Column) -> Column:
-        return F.exists(wanted, lambda r: (r > before) & (r <= before + n))
-
-    # At most ``buckets`` rows reach this window, and at most len(ranks) rows leave it.
-    running = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut_buckets = (
-        values.groupBy("bucket")
-        .agg(F.count("*").alias("n"))
-        .withColumn("bucket_before", F.sum("n").over(running) - F.col("n"))
-        .where(covering(F.col("bucket_before"), F.col("n")))
-        .select("bucket", "bucket_before")
-    )
-    order = F.desc("value") if descending else F.asc("value")
-    in_bucket = Window.partitionBy("bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        values.join(F.broadcast(cut_buckets), "bucket")
-        .groupBy("bucket", "bucket_before", "value")
-        .agg(F.count("*").alias("n"))
-        .withColumn("before", F.col("bucket_before") + F.sum("n").over(in_bucket) - F.col("n"))
-        .where(covering(F.col("before"), F.col("n")))
-        .select("value", "before", "n")
-    )
-
-
-def first_k(df: DataFrame, value: str, id_col: str, k: Column, *, descending: bool = True) -> Column:
+    if extent is None:
+        extent = one_row(values.agg(F.min("value"), F.max("value"), F.count("*")))
+    low, high, n = extent
+    wanted = tuple(sorted({r for r in ranks if 0 < r <= n}))
+    pending = [_Range(low, high, 0, n, wanted)] if wanted else []
+    found: dict[int, ValueAtRank] = {}
+    while pending:
+        part = pending.pop()
+        inside = values.where(F.col("value").between(F.lit(part.low), F.lit(part.high)))
+        if part.low == part.high:
+            found.update({r: ValueAtRank(part.low, part.before, part.n) for r in part.ranks})
+        elif part.n <= DIRECT_ROWS:
+            counts = _running(inside.groupBy("value").agg(F.count("*").alias("n")), "value", descending)
+            for row in counts.where(_covers_any(part.ranks, part.before)).collect():  # at most len(ranks) rows
+                before = part.before + row.before
+                hit = ValueAtRank(row.value, before, row.n)
+                found.update({r: hit for r in part.ranks if before < r <= before + row.n})
+        else:
+            bucket = bucket_of(F.col("value"), part.low, part.high, HISTOGRAM_BUCKETS)
+            buckets = inside.groupBy(bucket.alias("bucket")).agg(
+                F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+            )
+            counts = _running(buckets, "bucket", descending)
+            holding = counts.where(_covers_any(part.ranks, part.before)).collect()  # at most len(ranks) rows
+            pending += [part.narrowed(row) for row in holding]
+    return [found.get(r) for r in ranks]
+
+
+def first_k(df: DataFrame, value: str, id_col: str, k: int, *, descending: bool = True) -> Column:
     """True for the first ``k`` rows by ``value``, ties in order of the unique numeric ``id_col``.
 
     With fewer than ``k`` rows every row qualifies. ``value`` must not hold NULL or NaN.
     """
-    k = k.cast("bigint")
-    cut = scalar_struct(rank_lookup(df.select(value), [k], descending=descending), "value", "before")
-    ties = df.where(F.col(value) == cut["value"]).select(id_col)
-    last_id = rank_lookup(ties, [k - cut["before"]]).select("value").scalar()
-    ahead = F.col(value) > cut["value"] if descending else F.col(value) < cut["value"]
-    return F.coalesce(ahead | ((F.col(value) == cut["value"]) & (F.col(id_col) <= last_id)), k > 0)
-
-
-def top_k(df: DataFrame, score: str, id_col: str, k: int, *, missing: float | None = None) -> DataFrame:
+    (cut,) = values_at(df.select(value), [k], descending=descending)
+    if cut is None:
+        return F.lit(k > 0)
+    ahead = F.col(value) > cut.value if descending else F.col(value) < cut.value
+    level = F.col(value) == F.lit(cut.value)
+    if cut.before + cut.n == k:
+        return ahead | level
+    (last,) = values_at(df.where(level).select(id_col), [k - cut.before])
+    return ahead | (level & (F.col(id_col) <= last.value))
+
+
+def top_k(df: DataFrame, score: str, id_col: str, k: int) -> DataFrame:
     """The ``k`` rows with the highest score, ties by id, NULL scores last.
 
     A small ``k`` is one bounded heap per task. A large one would send ``k`` rows of every task to a single
-    reducer, so it becomes a filter at the exact cut instead; ``missing`` stands below every real score there.
+    reducer, so it becomes a filter at the exact cut instead.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     if k <= DIRECT_TOP_K:
         return df.orderBy(F.desc_nulls_last(score), F.asc(id_col)).limit(k)
-    if missing is None:
-        present = df.where(F.col(score).isNotNull())
-        extra = df.where(F.col(score).isNull()).select(id_col)
-        room = F.lit(k) - row_count(present)
-        last_extra = rank_lookup(extra, [room]).select("value").scalar()
-        fill = F.when(room <= 0, False).otherwise(F.coalesce(F.col(id_col) <= last_extra, F.lit(True)))
-        keep = F.when(F.col(score).isNull(), fill).otherwise(first_k(present, score, id_col, F.lit(k)))
-        return df.where(keep)
-    filled = df.withColumn("_score", F.coalesce(F.col(score), F.lit(missing)))
-    return filled.where(first_k(filled, "_score", id_col, F.lit(k))).drop("_score")
-
-
-def shuffle_cuts(df: DataFrame, id_col: str, seed: int, cuts: list[Column]) -> list[Column]:
-    """Per cut c: true for rows among the first c of the seeded shuffle, NULL when c is 0 or beyond the end.
-
-    Costs two passes over the id column; the rows themselves stay where they are.
+    narrow = df.select(score, id_col)
+    present = narrow.where(F.col(score).isNotNull())
+    n = row_count(present)
+    if n >= k:
+        return df.where(F.col(score).isNotNull() & first_k(present, score, id_col, k))
+    (last,) = values_at(narrow.where(F.col(score).isNull()).select(id_col), [k - n])
+    return df if last is None else df.where(F.col(score).isNotNull() | (F.col(id_col) <= last.value))
+
+
+def shuffle_cut(df: DataFrame, id_col: str, seed: int, cuts: list[int], n: int) -> list[Column]:
+    """Per cut c: true for the first c of the ``n`` rows in the seeded shuffle.
+
+    Reads the id column only; the rows themselves stay where they are.
     """
     keys = df.select(F.col(id_col).alias("id"), seeded_hash(id_col, seed).alias("h"))
-    cuts = [c.cast("bigint") for c in cuts]
-    found = rank_lookup(keys.select("h"), cuts, bounds=(0, HASH_SPAN))
-    in_hash = Window.partitionBy("h").orderBy("id")
-    last_rows = (
-        keys.join(F.broadcast(found.select(F.col("value").alias("h"), "before")), "h")
-        .withColumn("rank", F.col("before") + F.row_number().over(in_hash))
-        .where(F.array_contains(F.array(*cuts), F.col("rank")))
-    )
-    # One row per cut, so the list is as short as ``cuts``.
-    limits = last_rows.agg(F.collect_list(F.struct("rank", "h", "id")).alias("limits")).scalar()
     here = seeded_hash(id_col, seed)
-
-    def within(cut: Column) -> Column:
-        limit = F.get(F.filter(limits, lambda x: x["rank"] == cut), F.lit(0))
-        return (here < limit["h"]) | ((here == limit["h"]) & (F.col(id_col) <= limit["id"]))
-
-    return [within(c) for c in cuts]
+    within = []
+    for cut, at in zip(cuts, values_at(keys.select("h"), cuts, extent=(0, HASH_SPAN, n))):
+        if at is None:
+            within.append(F.lit(cut > 0))
+        elif at.before + at.n == cut:
+            within.append(here <= at.value)
+        else:
+            (last,) = values_at(keys.where(F.col("h") == at.value).select("id"), [cut - at.before])
+            within.append((here < at.value) | ((here == at.value) & (F.col(id_col) <= last.value)))
+    return within

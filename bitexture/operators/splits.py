@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitexture.functions.hashing import HASH_SPAN, seeded_hash
-from bitexture.operators.selection import DIRECT_TOP_K, rank_lookup, row_count, shuffle_cuts
+from bitexture.operators.selection import DIRECT_TOP_K, row_count, shuffle_cut, values_at
 
 STRATUM_BUCKETS = 1 << 10
 
@@ -25,16 +26,15 @@ def split_three_way(
     if abs(train_ratio + test_ratio + val_ratio - 1.0) > 1e-9:
         raise ValueError("train, test and validation ratios must sum to 1")
     total = row_count(df)
-    n_train = F.floor(total.cast("double") * F.lit(train_ratio))
-    n_test = F.floor(total.cast("double") * F.lit(test_ratio))
-    in_train, in_train_or_test = shuffle_cuts(df, id_col, seed, [n_train, n_train + n_test])
+    n_train, n_test = math.floor(total * train_ratio), math.floor(total * test_ratio)
+    in_train, in_train_or_test = shuffle_cut(df, id_col, seed, [n_train, n_train + n_test], total)
     return df.withColumn("split", F.when(in_train, "train").when(in_train_or_test, "test").otherwise("validation"))
 
 
 def split_two_way(df: DataFrame, id_col: str, test_ratio: float = 0.1, *, seed: int) -> DataFrame:
     """Add ``split`` with ``ceil(n * test_ratio)`` test rows, the rest train."""
-    n_test = F.ceil(row_count(df).cast("double") * F.lit(test_ratio))
-    (in_test,) = shuffle_cuts(df, id_col, seed, [n_test])
+    total = row_count(df)
+    (in_test,) = shuffle_cut(df, id_col, seed, [math.ceil(total * test_ratio)], total)
     return df.withColumn("split", F.when(in_test, "test").otherwise("train"))
 
 
@@ -42,8 +42,11 @@ def seeded_subsample(df: DataFrame, id_col: str, n: int | None, seed: int) -> Da
     """``n`` rows without replacement; the whole table when ``n`` is empty or not smaller than it."""
     if not n:
         return df
-    (chosen,) = shuffle_cuts(df, id_col, seed, [F.lit(n)])
-    return df.where(F.coalesce(chosen, F.lit(True)))
+    total = row_count(df)
+    if n >= total:
+        return df
+    (chosen,) = shuffle_cut(df, id_col, seed, [n], total)
+    return df.where(chosen)
 
 
 def limit_examples(df: DataFrame, id_col: str, max_examples: int | None, default: int | None = None) -> DataFrame:
@@ -53,8 +56,8 @@ def limit_examples(df: DataFrame, id_col: str, max_examples: int | None, default
         return df
     if k <= DIRECT_TOP_K:
         return df.orderBy(id_col).limit(k)
-    last_id = rank_lookup(df.select(id_col), [F.lit(k)]).select("value").scalar()
-    return df.where(F.coalesce(F.col(id_col) <= last_id, F.lit(True)))
+    (last,) = values_at(df.select(id_col), [k])
+    return df if last is None else df.where(F.col(id_col) <= last.value)
 
 
 def concat_splits(splits: dict[str, DataFrame]) -> DataFrame:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from bitexture.functions.prompts import PromptComposer
 from bitexture.functions.text import TokenCounter
 from bitexture.operators.curate import render_both
-from bitexture.operators.selection import rank_lookup, scalar_struct
+from bitexture.operators.selection import bucket_of, one_row, values_at
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -33,55 +34,50 @@ def summarize(df: DataFrame, column: str, *, approximate: bool = False) -> DataF
         F.stddev_samp("x").alias("std"),
         F.min("x").alias("min"),
         F.max("x").alias("max"),
-        *([F.percentile_approx("x", list(QUARTILES), 100_000).alias("q")] if approximate else []),
     )
-    if not approximate:
-        last = numbers.agg(F.count("*")).scalar() - 1
-        spots = [last.cast("double") * F.lit(p) for p in QUARTILES]
-        ranks = [r for s in spots for r in (F.floor(s) + 1, F.ceil(s) + 1)]
-        # At most six rows, two per quartile.
-        found = rank_lookup(numbers, ranks).agg(F.collect_list(F.struct("value", "before", "n"))).scalar()
-
-        def at(rank: Column) -> Column:
-            covers = F.filter(found, lambda v: (rank > v["before"]) & (rank <= v["before"] + v["n"]))
-            return F.get(covers, F.lit(0))["value"]
-
-        def quartile(spot: Column) -> Column:
-            below, above = at(F.floor(spot) + 1), at(F.ceil(spot) + 1)
-            return below + (above - below) * (spot - F.floor(spot))
-
-        base = base.withColumn("q", F.array(*[quartile(s) for s in spots]))
-    quartiles = [F.get("q", F.lit(i)).alias(f"p{int(p * 100)}") for i, p in enumerate(QUARTILES)]
-    return base.select(F.lit(column).alias("column"), "n", "mean", "std", "min", *quartiles, "max")
+    if approximate:
+        sketch = numbers.agg(F.percentile_approx("x", list(QUARTILES), 100_000)).scalar()
+        quartiles = [F.get(sketch, F.lit(i)) for i in range(len(QUARTILES))]
+    else:
+        low, high, n = one_row(numbers.agg(F.min("x"), F.max("x"), F.count("*")))
+        spots = [(n - 1) * p for p in QUARTILES]
+        ranks = [r for s in spots for r in (math.floor(s) + 1, math.ceil(s) + 1)]
+        at = [v and v.value for v in values_at(numbers, ranks, extent=(low, high, n))]
+        quartiles = [
+            F.lit(a + (b - a) * (s - math.floor(s)) if n else None).cast("double")
+            for s, a, b in zip(spots, at[0::2], at[1::2])
+        ]
+    named = [q.alias(f"p{int(p * 100)}") for q, p in zip(quartiles, QUARTILES)]
+    return base.select(F.lit(column).alias("column"), "n", "mean", "std", "min", *named, "max")
 
 
 def summarize_all(df: DataFrame, columns: list[str], **options) -> DataFrame:
     return reduce(DataFrame.unionByName, [summarize(df, c, **options) for c in columns])
 
 
-def _extent(numbers: DataFrame) -> Column:
-    stats = numbers.agg(
-        F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("n"), F.stddev_samp("x").alias("std")
+def _extent(numbers: DataFrame) -> Row:
+    return one_row(
+        numbers.agg(
+            F.coalesce(F.min("x"), F.lit(0.0)).alias("low"),
+            F.coalesce(F.max("x"), F.lit(0.0)).alias("high"),
+            F.count("*").alias("n"),
+            F.stddev_samp("x").alias("std"),
+        )
     )
-    return scalar_struct(stats, "low", "high", "n", "std")
-
-
-def _bin_of(x: Column, extent: Column, bins: int) -> Column:
-    position = F.floor(F.try_divide(x - extent["low"], extent["high"] - extent["low"]) * bins)
-    return F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(0).cast("bigint")).cast("int")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width bins ``(bin, low, high, n)`` including empty ones; the last bin is closed on the right."""
     numbers = _numbers(df, column)
     extent = _extent(numbers)
-    counts = numbers.groupBy(_bin_of(F.col("x"), extent, bins).alias("bin")).agg(F.count("*").alias("n"))
-    width = (extent["high"] - extent["low"]) / bins
+    bin_of = bucket_of(F.col("x"), extent.low, extent.high, bins)
+    counts = numbers.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"))
+    width = (extent.high - extent.low) / bins
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return grid.join(F.broadcast(counts), "bin", "left").select(
         "bin",
-        (extent["low"] + width * F.col("bin")).alias("low"),
-        (extent["low"] + width * (F.col("bin") + 1)).alias("high"),
+        (F.lit(extent.low) + F.lit(width) * F.col("bin")).alias("low"),
+        (F.lit(extent.low) + F.lit(width) * (F.col("bin") + 1)).alias("high"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
@@ -94,20 +90,20 @@ def density(df: DataFrame, column: str, bins: int = 30, points: int = 200, fine_
     """
     numbers = _numbers(df, column)
     extent = _extent(numbers)
-    width = F.when(extent["std"] > 0, extent["std"] * F.pow(extent["n"].cast("double"), F.lit(-0.2)))
-    step = (extent["high"] - extent["low"]) / (points - 1)
-    weighted = numbers.groupBy(_bin_of(F.col("x"), extent, fine_bins).alias("b")).agg(
-        F.count("*").alias("w"), F.avg("x").alias("x")
-    )
+    if not extent.std:
+        raise ValueError(f"{column} has no spread, so it has no density")
+    width = extent.std * extent.n**-0.2
+    step = (extent.high - extent.low) / (points - 1)
+    fine = bucket_of(F.col("x"), extent.low, extent.high, fine_bins)
+    weighted = numbers.groupBy(fine.alias("b")).agg(F.count("*").alias("w"), F.avg("x").alias("x"))
     spread = weighted.select("w", "x", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    at = extent["low"] + step * F.col("point")
-    z = (at - F.col("x")) / width
-    kernel = F.col("w") * F.exp(-0.5 * z * z)
-    scale = F.lit((2 * 3.141592653589793) ** -0.5) / width * (extent["high"] - extent["low"]) / bins
+    at = F.lit(extent.low) + F.lit(step) * F.col("point")
+    z = (at - F.col("x")) / F.lit(width)
+    scale = (extent.high - extent.low) / bins / (width * math.sqrt(2 * math.pi))
     return (
         spread.groupBy("point")
-        .agg(F.sum(kernel).alias("k"))
-        .select("point", (extent["low"] + step * F.col("point")).alias("x"), (F.col("k") * scale).alias("density"))
+        .agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("k"))
+        .select("point", at.alias("x"), (F.col("k") * F.lit(scale)).alias("density"))
     )
 
 

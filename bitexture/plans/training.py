@@ -9,10 +9,13 @@ from bitexture.functions.tokens import codepoint_ids, file_token_ids, fixed_leng
 from bitexture.sources.store import cache_label, token_cache
 
 
-def token_ids(text: Column, max_length: int, tokenizer_file: str | None, special: bool) -> Column:
+def token_ids(
+    spark: SparkSession, text: Column, max_length: int, tokenizer_file: str | None, special: bool
+) -> Column:
+    """Ids from a tokenizer file, or code points without one."""
     if tokenizer_file is None:
         return codepoint_ids(text, max_length)
-    return file_token_ids(tokenizer_file, special)(text)
+    return file_token_ids(spark, tokenizer_file, special)(text)
 
 
 def prepare_split(
@@ -32,7 +35,7 @@ def prepare_split(
 
     def tokenize() -> DataFrame:
         text_only = texts.select("text")
-        ids = token_ids(F.col("text"), max_length, tokenizer_file, special)
+        ids = token_ids(spark, F.col("text"), max_length, tokenizer_file, special)
         return fixed_length_rows(text_only, ids, max_length, pad_id)
 
     label = cache_label(model, dataset, split, max_length) if cache_dir else None

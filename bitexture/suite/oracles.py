@@ -164,23 +164,21 @@ MASK = (
 def grams(orders: int, source: str = "examples", unit: str = "char", keys: str = "dataset") -> str:
     """CTEs ``units`` (one row per example and side) and ``counts`` (h and r per example, order and gram)."""
     if unit == "char":
-        cut = "case when t = '' then []::varchar[] else string_split(t, '') end"
-        sep = ""
+        body, n_units, gram = "t", "length(t)", "substr(t, i, n)"
     else:
-        cut = r"regexp_extract_all(t, '\S+')"
-        sep = " "
+        body, n_units, gram = "u", r"len(regexp_extract_all(t, '\S+'))", "array_to_string(u[i:i + n - 1], ' ')"
+    cut = "" if unit == "char" else r"regexp_extract_all(t, '\S+') as u, "
     return f"""
       sides as (
         select {keys}, example_id, 1 as h, 0 as r, predictions as t from {source}
         union all select {keys}, example_id, 0 as h, 1 as r, outputs as t from {source}),
-      units as (select * exclude (t), {cut} as u, len({cut}) as n_units from sides),
-      starts as (
-        select {keys}, example_id, h, r, u, n_units, n, unnest(range(1, n_units - n + 2)) as i
+      units as (select *, {cut}{n_units} as n_units from sides),
+      occurrences as (
+        select {keys}, example_id, h, r, {body}, n, unnest(range(1, n_units - n + 2)) as i
         from units cross join range(1, {orders + 1}) q(n)),
       counts as (
-        select {keys}, example_id, n, array_to_string(u[i:i + n - 1], '{sep}') as gram,
-          sum(h)::bigint as h, sum(r)::bigint as r
-        from starts group by all),
+        select {keys}, example_id, n, {gram} as gram, sum(h)::bigint as h, sum(r)::bigint as r
+        from occurrences group by all),
       lens as (
         select {keys}, example_id, max(case when h = 1 then n_units end) as hl,
           max(case when r = 1 then n_units end) as rl
@@ -303,11 +301,11 @@ def all_oracles() -> dict[str, str]:
                   from v),
             f as (select least(floor((x - low) / (high - low) * 4096), 4095) as b, count(*) as n, avg(x) as x
                   from v, e group by 1),
-            g as (select p, low + (high - low) / 199 * p as at, w, low, high from range(200) q(p), e)
-            select p::int as point, round(at, 6) as x,
-              round(sum(n * exp(-0.5::double * pow((at - f.x) / w, 2))) / sqrt(2 * pi()) / w * (high - low) / 30, 4)
+            g as (select p, low + (high - low) / 199 * p as spot, w, low, high from range(200) q(p), e)
+            select p::int as point, round(spot, 6) as x,
+              round(sum(n * exp(-0.5::double * pow((spot - f.x) / w, 2))) / sqrt(2 * pi()) / w * (high - low) / 30, 4)
                 as density
-            from f, g group by p, at, w, low, high""",
+            from f, g group by p, spot, w, low, high""",
         "length_analysis": f"""{PAIRS}, {LENGTHS} {summary('lengths', 'prompt_length')}
             union all {summary('lengths', 'raw_length')}""",
         "length_histogram": f"{PAIRS}, {LENGTHS}, {histogram('lengths', 'raw_length')}",
@@ -336,7 +334,7 @@ def all_oracles() -> dict[str, str]:
               as share
             from (select split, label, count(*) as n from labelled where label is not null group by all)""",
         "limit_examples": f"{CORPUS} select * from corpus order by doc_id limit 100",
-        "concat_splits": f"{LABELLED} select * from labelled",
+        "concat_splits": f"{LABELLED} select * replace (coalesce(label, -1) as label) from labelled",
         "prompts_fixed_train": f"{PAIRS} select pair_id, {FWD} as prompt_fwd, {BWD} as prompt_bwd from pairs",
         "prompts_fixed_query": f"""{PAIRS} select pair_id, case when pair_id % 2 = 0 then 'en' else 'fr' end as start_lang,
             case when pair_id % 2 = 0 then 'RENDER: ENGLISH: ' || src_text || ' FRENCH: '
@@ -463,7 +461,7 @@ def all_oracles() -> dict[str, str]:
             select pair_id, 'fwd' as direction, {FWD} as text from fit
             union all select pair_id, 'bwd' as direction, {BWD} as text from fit""",
         "stream_monitor": f"""{LOG} select date_trunc('hour', ts) as window_start, event_type,
-              count_if(not isnan(loss)) as n_valid, count_if(isnan(loss)) as n_nan,
+              count_if(not isnan(loss))::bigint as n_valid, count_if(isnan(loss))::bigint as n_nan,
               round(sum(case when isnan(loss) then null else loss end), 4) as loss_sum
             from run_log group by 1, 2""",
     }

@@ -201,7 +201,7 @@ def limit_examples(spark, sf):
 
 @query
 def concat_splits(spark, sf):
-    data = fx.labelled(spark, sf)
+    data = fx.labelled(spark, sf).fillna(-1, ["label"])
     parts = {n: data.where(F.col("split") == n).drop("split") for n in ("train", "test", "validation")}
     return splits.concat_splits(parts)
 
@@ -449,14 +449,14 @@ def byte_tokenizer_file(spark: SparkSession) -> str:
     tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     folder = scratch_dir(spark, "tokenizer")
     spark.createDataFrame([(tokenizer.to_str(),)], "value string").coalesce(1).write.text(folder)
-    return spark.read.text(folder).select("_metadata.file_path").first()[0].removeprefix("file://")
+    return spark.read.text(folder).select("_metadata.file_path").first()[0]
 
 
 @query
 def tokenize_plugin(spark, sf):
     path = byte_tokenizer_file(spark)
-    docs = fx.corpus(spark, sf).select("doc_id", "text", file_token_counter(path)(F.col("text")).alias("n_tokens"))
-    ids = file_token_ids(path)(F.col("text"))
+    docs = fx.corpus(spark, sf).select("doc_id", "text", file_token_counter(spark, path)(F.col("text")).alias("n_tokens"))
+    ids = file_token_ids(spark, path)(F.col("text"))
     rows = fixed_length_rows(docs, ids, ROW_LENGTH, -1)
     return rows.select(
         "doc_id",
