@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark import SparkFiles
@@ -60,21 +59,16 @@ def fixed_length_rows(df: DataFrame, ids: Column, length: int, pad_id: int, text
     )
 
 
-@lru_cache(maxsize=8)
-def _tokenizer(name: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(SparkFiles.get(name))
-
-
 def _encoder(spark: SparkSession, path: str, special: bool, take: Callable, result_type: str):
-    """Arrow UDF over a tokenizer file, which Spark sends to every executor and a worker loads once."""
+    """Arrow UDF over a tokenizer file, which Spark sends to every executor and each task loads once."""
     spark.sparkContext.addFile(path)
     name = path.rsplit("/", 1)[-1]
 
     @F.pandas_udf(result_type)
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokenizer = _tokenizer(name)
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(SparkFiles.get(name))
         for texts in batches:
             encoded = tokenizer.encode_batch(texts.fillna("").tolist(), add_special_tokens=special)
             yield pd.Series([take(e.ids) for e in encoded])

@@ -12,15 +12,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bitexture.functions.text import without_spaces
+from bitexture.functions.text import count_words, without_spaces
 from bitexture.operators.ngrams import (
     EXAMPLE,
+    by_example,
+    corpus_ngrams,
     example_matches,
     example_ngrams,
     gram_count,
     unit_separator,
-    units,
 )
+from bitexture.operators.ribes import sentence_ribes
 
 # Fixed values of the published metrics and of their customary implementation.
 SMALLEST_PRECISION = 2.2250738585072014e-308
@@ -39,7 +41,7 @@ def _scored(df: DataFrame, keys: list[str], name: str, score: Column) -> DataFra
 def _with_lengths(examples: DataFrame, keys: list[str], unit: str) -> DataFrame:
     def n_units(text: str) -> Column:
         whole = F.coalesce(F.col(text), F.lit(""))
-        return F.length(whole) if unit == "char" else F.size(units(whole, unit))
+        return F.length(whole) if unit == "char" else count_words(whole)
 
     return examples.select(*keys, EXAMPLE, n_units("predictions").alias("hl"), n_units("outputs").alias("rl"))
 
@@ -111,7 +113,7 @@ def chrf(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataF
     orders = range(1, CHRF_ORDERS + 1)
     matches = example_matches(packed, F.col("predictions"), F.col("outputs"), keys, CHRF_ORDERS)
     # Partitioned by example on both sides, so the join adds no shuffle of n-grams.
-    lengths = _with_lengths(packed, keys, "char").repartition(EXAMPLE)
+    lengths = by_example(_with_lengths(packed, keys, "char"))
     joined = lengths.join(matches.drop(*keys), EXAMPLE, "left")
 
     def f_score(n: int) -> Column:
@@ -128,32 +130,28 @@ def chrf(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataF
     return _scored(sums, keys, "chrf", mean)
 
 
-def reference_information(
-    gram_totals: DataFrame, lengths: DataFrame, keys: list[str], unit: str = "char"
+def information_weights(
+    grams: DataFrame, prefixes: DataFrame, lengths: DataFrame, keys: list[str], unit: str = "char"
 ) -> DataFrame:
-    """Add ``info = log2(count(prefix) / count(gram))`` to per-group gram totals ``(*keys, n, gram, r, ...)``.
+    """Add ``info = log2(count(prefix) / count(gram))`` to reference grams ``(*keys, n, gram, r, ...)``.
 
-    A unigram's numerator is the length of all references of its group (``ref_len`` in ``lengths``).
+    ``prefixes`` counts the reference grams of all lower orders. A unigram's numerator is the length of all
+    references of its group (``ref_len`` in ``lengths``). Both sides are corpus totals, one row per distinct gram.
     """
     sep = unit_separator(unit)
     if sep:
         prefix = F.substring_index("gram", sep, F.col("n") - 1)
     else:
         prefix = F.substring(F.col("gram"), F.lit(1), F.col("n") - 1)
-    seen = gram_totals.where(F.col("r") > 0)
-    longer = seen.withColumns({"p_n": F.col("n") - 1, "p_gram": prefix})
-    prefixes = seen.select(
-        *[F.col(k).alias(f"p_{k}") for k in keys],
-        F.col("n").alias("q_n"),
-        F.col("gram").alias("q_gram"),
-        F.col("r").alias("prefix_count"),
-    ).where(F.col("q_n") < NIST_ORDERS)
-    same = (F.col("p_n") == F.col("q_n")) & (F.col("p_gram") == F.col("q_gram"))
+    renamed = prefixes.withColumnsRenamed({k: f"_{k}" for k in keys}).select(
+        *[f"_{k}" for k in keys], (F.col("n") + 1).alias("_n"), F.col("gram").alias("_gram"), "count"
+    )
+    same = (F.col("n") == F.col("_n")) & (prefix == F.col("_gram"))
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"p_{k}"))
-    joined = longer.join(prefixes, same, "left").drop("p_n", "p_gram", "q_n", "q_gram", *[f"p_{k}" for k in keys])
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    joined = grams.where(F.col("r") > 0).join(renamed, same, "left").drop("_n", "_gram", *[f"_{k}" for k in keys])
     with_length = _join_groups(joined, lengths, keys)
-    return with_length.withColumn("info", F.log2(F.coalesce("prefix_count", "ref_len") / F.col("r")))
+    return with_length.withColumn("info", F.log2(F.coalesce("count", "ref_len") / F.col("r"))).drop("count")
 
 
 def nist(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataFrame:
@@ -168,7 +166,8 @@ def nist(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataF
         F.sum("hl").alias("hyp_len"),
         *[F.sum(gram_count(F.col("hl"), n)).alias(f"t{n}") for n in orders],
     )
-    weighted = reference_information(grams, lengths.select(*keys, "ref_len"), keys, unit)
+    prefixes = corpus_ngrams(examples, F.col("outputs"), keys, NIST_ORDERS - 1, unit)
+    weighted = information_weights(grams, prefixes, lengths.select(*keys, "ref_len"), keys, unit)
     gains = weighted.groupBy(*keys).agg(
         *[F.sum(F.when(F.col("n") == n, F.col("info") * F.col("matched")).otherwise(0.0)).alias(f"g{n}") for n in orders]
     )
@@ -184,9 +183,7 @@ def nist(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataF
 
 
 def ribes(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataFrame:
-    from bitexture.operators.ribes import sentence_ribes
-
-    scored = sentence_ribes(examples, unit)
+    scored = sentence_ribes(examples.select(*keys, EXAMPLE, "predictions", "outputs"), unit)
     return _scored(scored.groupBy(*keys).agg(F.avg("ribes").alias("mean")), keys, "ribes", F.col("mean"))
 
 

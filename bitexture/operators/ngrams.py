@@ -12,11 +12,20 @@ from pyspark.sql import functions as F
 EXAMPLE = "example_id"
 
 
+def by_example(df: DataFrame) -> DataFrame:
+    """Partition by example, into as many tasks as a shuffle has.
+
+    The count is given because the work per byte is far above a plain shuffle's: sized by bytes alone, adaptive
+    execution would merge these partitions into too few tasks.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, EXAMPLE)
+
+
 def units(text: Column, unit: str) -> Column:
-    """Characters (code points) or white-space separated words of a text."""
-    text = F.coalesce(text, F.lit(""))
+    """Characters (code points) or white-space separated words of a text that is not empty."""
     if unit == "char":
-        return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
+        return F.split(text, "")
     if unit == "word":
         return F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))
     raise ValueError(f"unit must be char or word, not {unit}")
@@ -35,27 +44,40 @@ def example_ngrams(
     examples: DataFrame, hypothesis: Column, reference: Column, keys: list[str], max_n: int, unit: str = "char"
 ) -> DataFrame:
     """Rows ``(*keys, example_id, n, gram, h, r)`` with the counts of a gram on both sides of an example."""
-    sep = unit_separator(unit)
     sides = F.array(
         F.struct(F.lit(1).alias("h"), F.lit(0).alias("r"), hypothesis.alias("text")),
         F.struct(F.lit(0).alias("h"), F.lit(1).alias("r"), reference.alias("text")),
     )
-    by_example = examples.select(*keys, EXAMPLE, F.explode(sides).alias("s")).repartition(EXAMPLE)
-    cut = by_example.select(*keys, EXAMPLE, "s.h", "s.r", units(F.col("s.text"), unit).alias("u"))
-    starts = cut.select("*", F.explode(F.sequence(F.lit(0), F.size("u") - 1)).alias("i")).where(F.size("u") > 0)
+    placed = by_example(examples.select(*keys, EXAMPLE, F.explode(sides).alias("s")))
+    grams = _occurrences(placed.select(*keys, EXAMPLE, "s.*"), max_n, unit)
+    return grams.groupBy(*keys, EXAMPLE, "n", "gram").agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
+
+
+def corpus_ngrams(examples: DataFrame, text: Column, keys: list[str], max_n: int, unit: str = "char") -> DataFrame:
+    """Rows ``(*keys, n, gram, count)`` over all texts of a group; repeats collapse before they are shuffled."""
+    placed = by_example(examples.select(*keys, EXAMPLE, text.alias("text"))).drop(EXAMPLE)
+    return _occurrences(placed, max_n, unit).groupBy(*keys, "n", "gram").agg(F.count("*").alias("count"))
+
+
+def _occurrences(texts: DataFrame, max_n: int, unit: str) -> DataFrame:
+    """Replace ``text`` by one row ``(n, gram)`` per n-gram occurrence of orders 1 to ``max_n``."""
+    sep = unit_separator(unit)
+    others = [c for c in texts.columns if c != "text"]
+    cut = texts.where(F.col("text") != "").select(*others, units(F.col("text"), unit).alias("u"))
+    # A text of blanks has no words: its only starts lie outside the array and give no gram.
+    starts = cut.select("*", F.explode(F.sequence(F.lit(0), F.size("u") - 1)).alias("i"))
     window = [F.get("u", F.col("i") + k) for k in range(max_n)]
+
+    def joined(parts: list[Column]) -> Column:
+        return F.concat(*parts) if not sep else F.concat_ws(sep, *parts)
+
     grams = F.array(
         *[
-            F.struct(F.lit(n).alias("n"), F.concat_ws(sep, *window[:n]).alias("gram"), window[n - 1].alias("last"))
+            F.struct(F.lit(n).alias("n"), joined(window[:n]).alias("gram"), window[n - 1].alias("last"))
             for n in range(1, max_n + 1)
         ]
     )
-    return (
-        starts.select(*keys, EXAMPLE, "h", "r", F.inline(grams))
-        .where(F.col("last").isNotNull())
-        .groupBy(*keys, EXAMPLE, "n", "gram")
-        .agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
-    )
+    return starts.select(*others, F.inline(grams)).where(F.col("last").isNotNull()).drop("last")
 
 
 def example_matches(

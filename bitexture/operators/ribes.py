@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bitexture.operators.ngrams import by_example
+
 ALPHA = 0.25
 BETA = 0.10
 
@@ -67,16 +69,18 @@ def _shortest_unique(codes: np.ndarray, is_hyp: np.ndarray, is_ref: np.ndarray)
     another position there; in the reference when n lies between the second longest and the longest prefix shared.
     """
     ranks = _prefix_ranks(codes)
-    order = np.argsort(ranks[-1], kind="stable")
+    place_of = ranks[-1]
+    order = np.argsort(place_of, kind="stable")
+    positions = np.flatnonzero(is_hyp)
 
     def longest(member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        best = np.zeros(len(codes), dtype=np.int64)
+        best = np.zeros(len(positions), dtype=np.int64)
         second, where = best.copy(), best.copy() - 1
         for step in (1, -1):
             for place in _nearest(member[order], step):
-                other = np.full(len(codes), -1, dtype=np.int64)
-                other[order] = np.where(place >= 0, order[np.maximum(place, 0)], -1)
-                common = _common_prefix(ranks, np.arange(len(codes)), other)
+                place = place[place_of[positions]]
+                other = np.where(place >= 0, order[np.maximum(place, 0)], -1)
+                common = _common_prefix(ranks, positions, other)
                 better = common > best
                 second = np.where(better, best, np.maximum(second, common))
                 where = np.where(better, other, where)
@@ -86,8 +90,11 @@ def _shortest_unique(codes: np.ndarray, is_hyp: np.ndarray, is_ref: np.ndarray)
     own, _, _ = longest(is_hyp)
     best_ref, second_ref, where = longest(is_ref)
     length = np.maximum(own, second_ref) + 1
-    usable = is_hyp & (length <= best_ref)
-    return np.where(usable, length, 0), np.where(usable, where, -1)
+    usable = length <= best_ref
+    lengths = np.zeros(len(codes), dtype=np.int64)
+    places = lengths - 1
+    lengths[positions[usable]], places[positions[usable]] = length[usable], where[usable]
+    return lengths, places
 
 
 def _unit_codes(texts: list, unit: str) -> np.ndarray:
@@ -148,7 +155,7 @@ def batch_ribes(hypotheses: list, references: list, unit: str = "char") -> np.nd
     return scores
 
 
-def _chunked(hypotheses: list, references: list, unit: str, units_per_chunk: int = 500_000) -> np.ndarray:
+def _chunked(hypotheses: list, references: list, unit: str, units_per_chunk: int = 50_000) -> np.ndarray:
     """Bound the working memory of a batch; a row is never cut."""
     ends = np.cumsum([len(h) + len(r) for h, r in zip(hypotheses, references)])
     edges = np.flatnonzero(np.diff(ends // units_per_chunk, prepend=0)).tolist()
@@ -158,7 +165,7 @@ def _chunked(hypotheses: list, references: list, unit: str, units_per_chunk: int
 
 
 def sentence_ribes(examples: DataFrame, unit: str = "char") -> DataFrame:
-    """Add ``ribes`` to every example. An empty hypothesis scores 0."""
+    """Add ``ribes`` to every example, spread over all tasks. An empty hypothesis scores 0."""
 
     def cut(texts: pd.Series) -> list:
         whole = texts.fillna("").tolist()
@@ -169,4 +176,4 @@ def sentence_ribes(examples: DataFrame, unit: str = "char") -> DataFrame:
         for hypotheses, references in batches:
             yield pd.Series(_chunked(cut(hypotheses), cut(references), unit))
 
-    return examples.withColumn("ribes", score("predictions", "outputs"))
+    return by_example(examples).withColumn("ribes", score("predictions", "outputs"))

@@ -284,6 +284,8 @@ def all_oracles() -> dict[str, str]:
         "curate_large": f"{PAIRS}, {curated(100_000)} select pair_id, round(hm, 6) as sort_score from curated",
         "token_budget": f"""{PAIRS} select pair_id, src_text, trg_text from pairs
             where greatest(strlen({FWD}), strlen({BWD})) <= 1200""",
+        "token_budget_plugin": f"""{PAIRS} select pair_id, src_text, trg_text from pairs
+            where greatest(strlen({FWD}), strlen({BWD})) <= 1200""",
         "top_by_score": f"""{PAIRS} select pair_id, bleualign_score from pairs
             order by bleualign_score desc nulls last, pair_id limit {TOP}""",
         "top_score_floor": f"""{PAIRS} select min(s) as lowest_score from (select bicleaner_ai_score as s from pairs

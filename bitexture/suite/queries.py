@@ -455,17 +455,25 @@ def byte_tokenizer_file(spark: SparkSession) -> str:
 @query
 def tokenize_plugin(spark, sf):
     path = byte_tokenizer_file(spark)
-    docs = fx.corpus(spark, sf).select("doc_id", "text", file_token_counter(spark, path)(F.col("text")).alias("n_tokens"))
     ids = file_token_ids(spark, path)(F.col("text"))
-    rows = fixed_length_rows(docs, ids, ROW_LENGTH, -1)
+    docs = fx.corpus(spark, sf).select("doc_id", "text", ids.alias("ids"))
+    rows = fixed_length_rows(docs, F.col("ids"), ROW_LENGTH, -1)
     return rows.select(
         "doc_id",
-        "n_tokens",
+        F.size("ids").alias("n_tokens"),
         F.size("input_ids").alias("row_length"),
         F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_real"),
     )
 
 
+@query
+def token_budget_plugin(spark, sf):
+    """The token budget with a user's counter, here one that reads a tokenizer file."""
+    counter = file_token_counter(spark, byte_tokenizer_file(spark))
+    fitting = curate.within_budget(fx.pairs(spark, sf), FIXED, counter, 1200, SRC, TRG)
+    return fitting.select("pair_id", "src_text", "trg_text")
+
+
 @query
 def token_cache(spark, sf):
     cache = scratch_dir(spark, "tokens")
