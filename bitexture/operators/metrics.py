@@ -138,11 +138,10 @@ def information_weights(
     ``prefixes`` counts the reference grams of all lower orders. A unigram's numerator is the length of all
     references of its group (``ref_len`` in ``lengths``). Both sides are corpus totals, one row per distinct gram.
     """
-    sep = unit_separator(unit)
-    if sep:
-        prefix = F.substring_index("gram", sep, F.col("n") - 1)
+    if unit_separator(unit):
+        prefix = F.expr(f"substring_index(gram, '{unit_separator(unit)}', n - 1)")
     else:
-        prefix = F.substring(F.col("gram"), F.lit(1), F.col("n") - 1)
+        prefix = F.substring("gram", F.lit(1), F.col("n") - 1)
     renamed = prefixes.withColumnsRenamed({k: f"_{k}" for k in keys}).select(
         *[f"_{k}" for k in keys], (F.col("n") + 1).alias("_n"), F.col("gram").alias("_gram"), "count"
     )
@@ -202,7 +201,7 @@ def evaluate(
     examples: DataFrame, metrics: list[str] = ["bleu"], keys: list[str] = [], unit: str = "char"
 ) -> DataFrame:
     """Scores of every group for every metric, in long form. BLEU and GLEU share one pass over the n-grams."""
-    chosen = [(m.lower(), get_metric(m)) for m in dict.fromkeys(metrics)]
+    chosen = [(name, get_metric(name)) for name in dict.fromkeys(m.lower() for m in metrics)]
     shared = {"bleu": _bleu_score, "gleu": _gleu_score}
     parts = []
     together = [name for name, metric in chosen if name in shared and metric in (bleu, gleu)]

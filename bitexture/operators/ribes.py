@@ -7,6 +7,7 @@ Arrow batch at once, so a row costs O(n log n) whatever its length.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -169,7 +170,7 @@ def sentence_ribes(examples: DataFrame, unit: str = "char") -> DataFrame:
 
     def cut(texts: pd.Series) -> list:
         whole = texts.fillna("").tolist()
-        return whole if unit == "char" else [t.split() for t in whole]
+        return whole if unit == "char" else [re.findall(r"\S+", t, re.ASCII) for t in whole]
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

@@ -13,11 +13,9 @@ STEP_BLOCK = 4096
 MAX_NAN = 3
 
 
-def running_counts(
-    df: DataFrame, keys: list[str], order: str, flags: dict[str, Column], block: int = STEP_BLOCK
-) -> DataFrame:
+def running_counts(df: DataFrame, keys: list[str], order: str, flags: dict[str, Column]) -> DataFrame:
     """Add, per flag, the number of flagged rows up to and including this one, in integer ``order`` within keys."""
-    blocked = df.withColumn("_block", F.floor(F.col(order) / block))
+    blocked = df.withColumn("_block", F.floor(F.col(order) / STEP_BLOCK))
     for name, flag in flags.items():
         blocked = blocked.withColumn(name, F.coalesce(flag, F.lit(False)).cast("bigint"))
     ahead = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -38,12 +36,13 @@ def nan_guard(log: DataFrame, keys: list[str] = ["run_id"], max_nan: int = MAX_N
     return counted.where(~F.isnan("loss") & (F.col("nan_before") < max_nan))
 
 
-def smoothed_loss(log: DataFrame, keys: list[str] = ["run_id"], width: int = 100, block: int = STEP_BLOCK) -> DataFrame:
+def smoothed_loss(log: DataFrame, keys: list[str] = ["run_id"], width: int = 100) -> DataFrame:
     """Add ``smoothed``, the mean loss of the last ``width`` valid steps, and ``n_smoothed``, how many there were.
 
     Each block of positions also receives the last ``width - 1`` rows of the block before it.
     """
-    valid = running_counts(nan_guard(log, keys), keys, "step", {"position": F.lit(True)}, block)
+    valid = running_counts(nan_guard(log, keys), keys, "step", {"position": F.lit(True)})
+    block = max(STEP_BLOCK, width)
     position = F.col("position") - 1
     home = F.floor(position / block)
     near_end = F.pmod(position, F.lit(block)) >= block - (width - 1)

@@ -601,7 +601,7 @@ def nan_guard(spark, sf):
 
 @query
 def smoothed_loss(spark, sf):
-    smoothed = runlog.smoothed_loss(fx.run_log(spark, sf), block=200)
+    smoothed = runlog.smoothed_loss(fx.run_log(spark, sf))
     cents = F.round(F.col("smoothed") * F.col("n_smoothed") * 100).cast("bigint")
     return smoothed.select("run_id", "step", "n_smoothed", cents.alias("window_cents"))
 
