@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from bitexture.functions.prompts import PromptComposer
 from bitexture.functions.text import TokenCounter, harmonic_mean
-from bitexture.operators.selection import top_k
+from bitexture.operators.selection import DIRECT_TOP_K, among_top, top_k
+from bitexture.sources.store import written
 
 
 def clean_pairs(pairs: DataFrame, id_col: str = "pair_id") -> DataFrame:
@@ -55,11 +56,20 @@ def curate_top(
     scores: tuple[str, str] = ("bicleaner_ai_score", "bleualign_score"),
     src_lang: str = "hr",
     trg_lang: str = "en",
+    work_dir: str | None = None,
 ) -> DataFrame:
-    """The ``size`` best pairs by the harmonic mean of both scores among those within the token budget."""
+    """The ``size`` best pairs by the harmonic mean of both scores among those within the token budget.
+
+    A large ``size`` looks at the scores in several passes. ``work_dir`` takes the ids and scores of the fitting
+    pairs, so that tokens are counted in the first pass only.
+    """
     scored = pairs.dropna(subset=["src_text", "trg_text"]).withColumn("sort_score", harmonic_mean(*map(F.col, scores)))
     fitting = within_budget(scored, composer, counter, max_tokens, src_lang, trg_lang)
-    return top_k(fitting, "sort_score", "pair_id", size)
+    if work_dir is None or size <= DIRECT_TOP_K:
+        return top_k(fitting, "sort_score", "pair_id", size)
+    ranking = written(fitting.select("pair_id", "sort_score"), work_dir)
+    best = scored.where(among_top(ranking, "sort_score", "pair_id", size))
+    return within_budget(best, composer, counter, max_tokens, src_lang, trg_lang)
 
 
 def top_by_score(pairs: DataFrame, score: str = "bicleaner_ai_score", top_n: int = 1000) -> DataFrame:

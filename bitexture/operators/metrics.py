@@ -20,7 +20,6 @@ from bitexture.operators.ngrams import (
     example_matches,
     example_ngrams,
     gram_count,
-    unit_separator,
 )
 from bitexture.operators.ribes import sentence_ribes
 
@@ -138,10 +137,7 @@ def information_weights(
     ``prefixes`` counts the reference grams of all lower orders. A unigram's numerator is the length of all
     references of its group (``ref_len`` in ``lengths``). Both sides are corpus totals, one row per distinct gram.
     """
-    if unit_separator(unit):
-        prefix = F.expr(f"substring_index(gram, '{unit_separator(unit)}', n - 1)")
-    else:
-        prefix = F.substring("gram", F.lit(1), F.col("n") - 1)
+    prefix = F.expr("left(gram, n - 1)" if unit == "char" else "substring_index(gram, ' ', n - 1)")
     renamed = prefixes.withColumnsRenamed({k: f"_{k}" for k in keys}).select(
         *[f"_{k}" for k in keys], (F.col("n") + 1).alias("_n"), F.col("gram").alias("_gram"), "count"
     )

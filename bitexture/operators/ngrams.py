@@ -40,44 +40,44 @@ def gram_count(n_units: Column, n: Column | int) -> Column:
     return F.greatest(n_units - n + 1, F.lit(0))
 
 
+def gram_order(gram: Column, unit: str) -> Column:
+    """The n of an n-gram: its characters, or its separators plus one."""
+    return F.length(gram) if unit == "char" else F.regexp_count(gram, F.lit(unit_separator(unit))) + 1
+
+
 def example_ngrams(
     examples: DataFrame, hypothesis: Column, reference: Column, keys: list[str], max_n: int, unit: str = "char"
 ) -> DataFrame:
-    """Rows ``(*keys, example_id, n, gram, h, r)`` with the counts of a gram on both sides of an example."""
+    """Rows ``(*keys, example_id, gram, n, h, r)`` with the counts of a gram on both sides of an example."""
     sides = F.array(
         F.struct(F.lit(1).alias("h"), F.lit(0).alias("r"), hypothesis.alias("text")),
         F.struct(F.lit(0).alias("h"), F.lit(1).alias("r"), reference.alias("text")),
     )
     placed = by_example(examples.select(*keys, EXAMPLE, F.explode(sides).alias("s")))
     grams = _occurrences(placed.select(*keys, EXAMPLE, "s.*"), max_n, unit)
-    return grams.groupBy(*keys, EXAMPLE, "n", "gram").agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
+    counts = grams.groupBy(*keys, EXAMPLE, "gram").agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
+    return counts.withColumn("n", gram_order(F.col("gram"), unit))
 
 
 def corpus_ngrams(examples: DataFrame, text: Column, keys: list[str], max_n: int, unit: str = "char") -> DataFrame:
-    """Rows ``(*keys, n, gram, count)`` over all texts of a group; repeats collapse before they are shuffled."""
+    """Rows ``(*keys, gram, n, count)`` over all texts of a group; repeats collapse before they are shuffled."""
     placed = by_example(examples.select(*keys, EXAMPLE, text.alias("text"))).drop(EXAMPLE)
-    return _occurrences(placed, max_n, unit).groupBy(*keys, "n", "gram").agg(F.count("*").alias("count"))
+    counts = _occurrences(placed, max_n, unit).groupBy(*keys, "gram").agg(F.count("*").alias("count"))
+    return counts.withColumn("n", gram_order(F.col("gram"), unit))
 
 
 def _occurrences(texts: DataFrame, max_n: int, unit: str) -> DataFrame:
-    """Replace ``text`` by one row ``(n, gram)`` per n-gram occurrence of orders 1 to ``max_n``."""
+    """Replace ``text`` by one row ``gram`` per n-gram occurrence of orders 1 to ``max_n``."""
     sep = unit_separator(unit)
     others = [c for c in texts.columns if c != "text"]
     cut = texts.where(F.col("text") != "").select(*others, units(F.col("text"), unit).alias("u"))
     # A text of blanks has no words: its only starts lie outside the array and give no gram.
     starts = cut.select("*", F.explode(F.sequence(F.lit(0), F.size("u") - 1)).alias("i"))
     window = [F.get("u", F.col("i") + k) for k in range(max_n)]
-
-    def joined(parts: list[Column]) -> Column:
-        return F.concat(*parts) if not sep else F.concat_ws(sep, *parts)
-
-    grams = F.array(
-        *[
-            F.struct(F.lit(n).alias("n"), joined(window[:n]).alias("gram"), window[n - 1].alias("last"))
-            for n in range(1, max_n + 1)
-        ]
-    )
-    return starts.select(*others, F.inline(grams)).where(F.col("last").isNotNull()).drop("last")
+    # ``concat`` with a unit beyond the end is NULL.
+    spaced = [[p for unit_at in window[:n] for p in (F.lit(sep), unit_at)][1:] for n in range(1, max_n + 1)]
+    grams = F.array(*[F.concat(*(parts if sep else parts[::2])) for parts in spaced])
+    return starts.select(*others, F.explode(grams).alias("gram")).where(F.col("gram").isNotNull())
 
 
 def example_matches(

@@ -30,10 +30,15 @@ def running_counts(df: DataFrame, keys: list[str], order: str, flags: dict[str,
     )
 
 
+def _guarded(log: DataFrame, keys: list[str], max_nan: int, counts: dict[str, Column]) -> DataFrame:
+    """Valid steps before the ``max_nan``-th NaN of their run, with ``nan_before`` and further running counts."""
+    counted = running_counts(log, keys, "step", {"nan_before": F.isnan("loss"), **counts})
+    return counted.where(~F.isnan("loss") & (F.col("nan_before") < max_nan))
+
+
 def nan_guard(log: DataFrame, keys: list[str] = ["run_id"], max_nan: int = MAX_NAN) -> DataFrame:
     """Drop NaN steps, and everything from the ``max_nan``-th NaN of a run on; add ``nan_before``."""
-    counted = running_counts(log, keys, "step", {"nan_before": F.isnan("loss")})
-    return counted.where(~F.isnan("loss") & (F.col("nan_before") < max_nan))
+    return _guarded(log, keys, max_nan, {})
 
 
 def smoothed_loss(log: DataFrame, keys: list[str] = ["run_id"], width: int = 100) -> DataFrame:
@@ -41,7 +46,7 @@ def smoothed_loss(log: DataFrame, keys: list[str] = ["run_id"], width: int = 100
 
     Each block of positions also receives the last ``width - 1`` rows of the block before it.
     """
-    valid = running_counts(nan_guard(log, keys), keys, "step", {"position": F.lit(True)})
+    valid = _guarded(log, keys, MAX_NAN, {"position": ~F.isnan("loss")})
     block = max(STEP_BLOCK, width)
     position = F.col("position") - 1
     home = F.floor(position / block)
@@ -59,8 +64,8 @@ def optimizer_steps(log: DataFrame, keys: list[str] = ["run_id"], accumulate: in
     The optimizer fires on every ``accumulate``-th step of an epoch, unless that step is NaN; gradients not yet
     applied carry over to the next firing, also across epochs. A trailing incomplete group never fires.
     """
-    fires = F.pmod(F.col("step_in_epoch") + 1, F.lit(accumulate)) == 0
-    counted = running_counts(nan_guard(log, keys).withColumn("fires", fires), keys, "step", {"fired": F.col("fires")})
+    fires = (F.pmod(F.col("step_in_epoch") + 1, F.lit(accumulate)) == 0) & ~F.isnan("loss")
+    counted = _guarded(log.withColumn("fires", fires), keys, MAX_NAN, {"fired": F.col("fires")})
     group = F.col("fired") - F.col("fires").cast("bigint")
     return (
         counted.groupBy(*keys, group.alias("optimizer_step"))

@@ -136,13 +136,17 @@ def top_k(df: DataFrame, score: str, id_col: str, k: int) -> DataFrame:
         raise ValueError("k must be at least 1")
     if k <= DIRECT_TOP_K:
         return df.orderBy(F.desc_nulls_last(score), F.asc(id_col)).limit(k)
-    narrow = df.select(score, id_col)
-    present = narrow.where(F.col(score).isNotNull())
+    return df.where(among_top(df.select(score, id_col), score, id_col, k))
+
+
+def among_top(ranking: DataFrame, score: str, id_col: str, k: int) -> Column:
+    """True for the ``k`` best rows of ``ranking``, NULL scores last; usable on any table with both columns."""
+    present = ranking.where(F.col(score).isNotNull())
     n = row_count(present)
     if n >= k:
-        return df.where(F.col(score).isNotNull() & first_k(present, score, id_col, k))
-    (last,) = values_at(narrow.where(F.col(score).isNull()).select(id_col), [k - n])
-    return df if last is None else df.where(F.col(score).isNotNull() | (F.col(id_col) <= last.value))
+        return F.col(score).isNotNull() & first_k(present, score, id_col, k)
+    (last,) = values_at(ranking.where(F.col(score).isNull()).select(id_col), [k - n])
+    return F.lit(True) if last is None else F.col(score).isNotNull() | (F.col(id_col) <= last.value)
 
 
 def shuffle_cut(df: DataFrame, id_col: str, seed: int, cuts: list[int], n: int) -> list[Column]:

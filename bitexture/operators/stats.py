@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from bitexture.functions.prompts import PromptComposer
@@ -21,38 +20,53 @@ def _numbers(df: DataFrame, column: str) -> DataFrame:
     return df.where(value.isNotNull() & ~F.isnan(value)).select(value.alias("x"))
 
 
-def summarize(df: DataFrame, column: str, *, approximate: bool = False) -> DataFrame:
+SUMMARY_SCHEMA = (
+    "column string, n bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
+)
+
+
+def summarize(df: DataFrame, *columns: str, approximate: bool = False) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles with linear interpolation, max; missing numbers do not count.
 
-    The quartiles are exact: each is read off two ranks found by histogram, so no task holds all distinct values.
-    ``approximate`` uses Spark's mergeable quantile sketch instead, in one pass.
+    One row per column. The first pass covers all columns. The quartiles are exact: each is read off two ranks
+    found by histogram, so no task holds all distinct values; that reads the input again per column, so give a
+    saved table when it is costly to compute. ``approximate`` uses Spark's mergeable quantile sketch instead and
+    needs the first pass only.
     """
-    numbers = _numbers(df, column)
-    base = numbers.agg(
-        F.count("*").alias("n"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
-    )
-    if approximate:
-        sketch = numbers.agg(F.percentile_approx("x", list(QUARTILES), 100_000)).scalar()
-        quartiles = [F.get(sketch, F.lit(i)) for i in range(len(QUARTILES))]
-    else:
-        low, high, n = one_row(numbers.agg(F.min("x"), F.max("x"), F.count("*")))
-        spots = [(n - 1) * p for p in QUARTILES]
-        ranks = [r for s in spots for r in (math.floor(s) + 1, math.ceil(s) + 1)]
-        at = [v and v.value for v in values_at(numbers, ranks, extent=(low, high, n))]
-        quartiles = [
-            F.lit(a + (b - a) * (s - math.floor(s)) if n else None).cast("double")
-            for s, a, b in zip(spots, at[0::2], at[1::2])
-        ]
-    named = [q.alias(f"p{int(p * 100)}") for q, p in zip(quartiles, QUARTILES)]
-    return base.select(F.lit(column).alias("column"), "n", "mean", "std", "min", *named, "max")
-
-
-def summarize_all(df: DataFrame, columns: list[str], **options) -> DataFrame:
-    return reduce(DataFrame.unionByName, [summarize(df, c, **options) for c in columns])
+
+    def measures(column: str) -> Column:
+        x = F.col(column).cast("double")
+        x = F.when(~F.isnan(x), x)
+        sketch = F.percentile_approx(x, list(QUARTILES), 100_000) if approximate else F.lit(None)
+        return F.struct(
+            F.count(x).alias("n"),
+            F.avg(x).alias("mean"),
+            F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"),
+            F.max(x).alias("max"),
+            sketch.alias("quartiles"),
+        ).alias(column)
+
+    totals = one_row(df.agg(*[measures(c) for c in columns]))
+    rows = []
+    for column in columns:
+        m = totals[column]
+        if approximate:
+            quartiles = m.quartiles or [None] * len(QUARTILES)
+        else:
+            quartiles = _quartiles(_numbers(df, column), (m.min, m.max, m.n))
+        rows.append((column, m.n, m["mean"], m["std"], m.min, *quartiles, m.max))
+    return df.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA)
+
+
+def _quartiles(numbers: DataFrame, extent: tuple) -> list[float | None]:
+    n = extent[2]
+    if not n:
+        return [None] * len(QUARTILES)
+    spots = [(n - 1) * p for p in QUARTILES]
+    ranks = [r for s in spots for r in (math.floor(s) + 1, math.ceil(s) + 1)]
+    at = [v.value for v in values_at(numbers, ranks, extent=extent)]
+    return [a + (b - a) * (s - math.floor(s)) for s, a, b in zip(spots, at[0::2], at[1::2])]
 
 
 def _extent(numbers: DataFrame) -> Row:

@@ -10,6 +10,7 @@ from bitexture.functions.text import TokenCounter
 from bitexture.operators.curate import curate_top, training_texts
 from bitexture.operators.ranking import seeded_shuffle
 from bitexture.operators.splits import split_three_way
+from bitexture.session import scratch_dir
 from bitexture.sources.store import build_if_missing, load_dataset, save_splits
 
 
@@ -35,7 +36,14 @@ def build_pairs_and_texts(
         spark,
         f"{out_dir}/curated",
         lambda: curate_top(
-            pairs, composer, counter, max_tokens=max_tokens, size=size, src_lang=src_lang, trg_lang=trg_lang
+            pairs,
+            composer,
+            counter,
+            max_tokens=max_tokens,
+            size=size,
+            src_lang=src_lang,
+            trg_lang=trg_lang,
+            work_dir=scratch_dir(spark, "scores"),
         ),
     )
     save_splits(split_three_way(curated, "pair_id", *ratios), f"{out_dir}/pairs")

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bitexture.functions.text import right_strip, strip
+from bitexture.operators.selection import one_row
 from bitexture.operators.splits import seeded_subsample
 
+BROADCAST_BLOCKS = 200_000
+
 PAIR_SCHEMA = T.StructType(
     [
         T.StructField("pair_id", T.LongType()),
@@ -60,7 +63,8 @@ def read_line_sources(spark: SparkSession, paths: dict[str, str], partitions: in
     blocks = lines.groupBy("source", "file", "block").agg(F.min("line").alias("first"), F.count("*").alias("n"))
     earlier = Window.partitionBy("source").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    keyed = lines.join(offsets, ["file", "block"]).select(
+    few = _block_bound(spark, list(paths.values())) <= BROADCAST_BLOCKS
+    keyed = lines.join(F.broadcast(offsets) if few else offsets, ["file", "block"]).select(
         "source",
         (F.col("before") + F.col("line") - F.col("first")).alias("line_key"),
         right_strip(F.col("text")).alias("text"),
@@ -68,6 +72,13 @@ def read_line_sources(spark: SparkSession, paths: dict[str, str], partitions: in
     return keyed.repartition(partitions) if partitions else keyed
 
 
+def _block_bound(spark: SparkSession, paths: list[str]) -> int:
+    """Upper bound for the number of blocks Spark cuts files into, from file lengths alone."""
+    smallest = int(spark._jsparkSession.sessionState().conf().filesOpenCostInBytes())
+    sizes = spark.read.format("binaryFile").load(paths).select("length")
+    return one_row(sizes.agg(F.coalesce(F.sum(F.floor(F.col("length") / smallest) + 1), F.lit(0))))[0]
+
+
 def text_column(
     df: DataFrame, column: str, id_col: str, subsample: int | None = 5000, seed: int = 5439
 ) -> DataFrame:

@@ -33,6 +33,12 @@ def load_dataset(spark: SparkSession, path: str, split: str | None = None) -> Da
     return df if split is None else df.where(F.col("split") == split)
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """The same rows read back from ``path``, for inputs that several passes would compute again."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def build_if_missing(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     if not is_complete(spark, path):
         df = build()

@@ -58,7 +58,14 @@ def all_queries() -> dict[str, Query]:
 
 def _curated(spark: SparkSession, sf: str, size: int) -> DataFrame:
     return curate.curate_top(
-        fx.pairs(spark, sf), FIXED, txt.count_words, max_tokens=MAX_TOKENS, size=size, src_lang=SRC, trg_lang=TRG
+        fx.pairs(spark, sf),
+        FIXED,
+        txt.count_words,
+        max_tokens=MAX_TOKENS,
+        size=size,
+        src_lang=SRC,
+        trg_lang=TRG,
+        work_dir=scratch_dir(spark, "scores"),
     )
 
 
@@ -112,7 +119,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query
 def score_summary(spark, sf):
-    return _rounded(stats.summarize_all(fx.pairs(spark, sf), ["bicleaner_ai_score", "bleualign_score"]))
+    return _rounded(stats.summarize(fx.pairs(spark, sf), "bicleaner_ai_score", "bleualign_score"))
 
 
 @query
@@ -133,7 +140,8 @@ def _lengths(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def length_analysis(spark, sf):
-    return _rounded(stats.summarize_all(_lengths(spark, sf), ["prompt_length", "raw_length"]))
+    lengths = store.written(_lengths(spark, sf), scratch_dir(spark, "lengths"))
+    return _rounded(stats.summarize(lengths, "prompt_length", "raw_length"))
 
 
 @query

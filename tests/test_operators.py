@@ -36,10 +36,12 @@ def brute_curation(rows, max_tokens, size):
 
 
 @pytest.mark.parametrize("size", [1, 10, 500])
-@pytest.mark.parametrize("direct", [10_000, 0])
-def test_curation(pairs, monkeypatch, size, direct):
+@pytest.mark.parametrize("direct,saved", [(10_000, False), (0, False), (0, True)])
+def test_curation(pairs, monkeypatch, tmp_path, size, direct, saved):
     monkeypatch.setattr(selection, "DIRECT_TOP_K", direct)
-    got = curate.curate_top(pairs, PROMPT, txt.count_words, max_tokens=7, size=size)
+    monkeypatch.setattr(curate, "DIRECT_TOP_K", direct)
+    work_dir = str(tmp_path / "scores") if saved else None
+    got = curate.curate_top(pairs, PROMPT, txt.count_words, max_tokens=7, size=size, work_dir=work_dir)
     assert sorted(r.pair_id for r in got.collect()) == sorted(brute_curation(pairs.collect(), 7, size))
 
 
