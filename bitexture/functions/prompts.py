@@ -17,11 +17,15 @@ END_OF_TURN = "<end_of_turn>\n"
 
 
 class PromptComposer(Protocol):
-    """Extension point: anything with these two methods can drive curation, expansion and evaluation.
+    """Extension point: anything with these members can drive curation, expansion and evaluation.
 
-    ``call`` is a column with the running number of the prompt; composers with one wording ignore it.
+    ``call`` is a column with the number of the prompt. ``sequential`` tells that calls must be numbered without
+    gaps, which costs a shuffle; otherwise any unique number will do.
     """
 
+    @property
+    def sequential(self) -> bool: ...
+
     def train(self, source: Column, target: Column, start_lang: str, call: Column | None = None) -> Column: ...
 
     def query(self, source: Column, start_lang: str, call: Column | None = None) -> Column: ...
@@ -36,6 +40,7 @@ class FixedPrompt:
     label1: str | None = None
     label2: str | None = None
     instruction: str = ""
+    sequential = False
 
     def _labels(self, start_lang: str) -> tuple[str, str]:
         labels = {self.lang1: self.label1 or self.lang1, self.lang2: self.label2 or self.lang2}
@@ -81,6 +86,10 @@ class TemplatePrompt:
     seed: int = 123
     instruction_tuned: bool = False
 
+    @property
+    def sequential(self) -> bool:
+        return not self.random_choice and any(len(t) > 1 for t in self.templates.values())
+
     def _wordings(self, start_lang: str) -> list[Template]:
         if start_lang not in self.templates:
             raise ValueError(f"no templates for start language {start_lang}; known: {sorted(self.templates)}")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bitexture.functions.prompts import PromptComposer
 from bitexture.functions.text import TokenCounter, harmonic_mean
+from bitexture.operators.ranking import id_position
 from bitexture.operators.selection import DIRECT_TOP_K, among_top, top_k
 from bitexture.sources.store import written
 
@@ -23,18 +24,28 @@ def clean_pairs(pairs: DataFrame, id_col: str = "pair_id") -> DataFrame:
     return complete.join(keepers, id_col, "left_semi")
 
 
+def numbered_calls(df: DataFrame, composer: PromptComposer, id_col: str) -> tuple[DataFrame, Column]:
+    """The table and the column that numbers its prompts: a ``position`` column it has, or else its dense rank by
+    id for composers that go round robin, or the id itself."""
+    if "position" in df.columns:
+        return df, F.col("position")
+    if composer.sequential:
+        return id_position(df, id_col, "_call"), F.col("_call")
+    return df, F.col(id_col)
+
+
 def render_both(pairs: DataFrame, composer: PromptComposer, src_lang: str, trg_lang: str) -> DataFrame:
     """Add ``prompt_fwd`` and ``prompt_bwd``, the training prompts of the two directions.
 
-    Composers that pick a wording by call number get 2i and 2i+1 from a ``position`` column when there is one.
+    Pair i makes calls 2i and 2i+1 of a composer that picks its wording by call number.
     """
-    i = F.col("position") if "position" in pairs.columns else F.lit(0)
+    pairs, i = numbered_calls(pairs, composer, "pair_id")
     return pairs.withColumns(
         {
             "prompt_fwd": composer.train(F.col("src_text"), F.col("trg_text"), src_lang, i * 2),
             "prompt_bwd": composer.train(F.col("trg_text"), F.col("src_text"), trg_lang, i * 2 + 1),
         }
-    )
+    ).drop("_call")
 
 
 def within_budget(

@@ -18,7 +18,7 @@ from bitexture.functions.hashing import HASH_SPAN, seeded_hash
 
 HISTOGRAM_BUCKETS = 1 << 16
 DIRECT_ROWS = 1 << 20
-DIRECT_TOP_K = 10_000
+DIRECT_TOP_K = 1000
 
 
 def one_row(aggregate: DataFrame) -> Row:

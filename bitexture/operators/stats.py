@@ -20,9 +20,7 @@ def _numbers(df: DataFrame, column: str) -> DataFrame:
     return df.where(value.isNotNull() & ~F.isnan(value)).select(value.alias("x"))
 
 
-SUMMARY_SCHEMA = (
-    "column string, n bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
-)
+SUMMARY_COLUMNS = ["n", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
 
 def summarize(df: DataFrame, *columns: str, approximate: bool = False) -> DataFrame:
@@ -55,8 +53,10 @@ def summarize(df: DataFrame, *columns: str, approximate: bool = False) -> DataFr
             quartiles = m.quartiles or [None] * len(QUARTILES)
         else:
             quartiles = _quartiles(_numbers(df, column), (m.min, m.max, m.n))
-        rows.append((column, m.n, m["mean"], m["std"], m.min, *quartiles, m.max))
-    return df.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA)
+        measured = zip(SUMMARY_COLUMNS, (m.n, m["mean"], m["std"], m.min, *quartiles, m.max))
+        typed = [F.lit(v).cast("bigint" if name == "n" else "double").alias(name) for name, v in measured]
+        rows.append(F.struct(F.lit(column).alias("column"), *typed))
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def _quartiles(numbers: DataFrame, extent: tuple) -> list[float | None]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from bitexture.functions.prompts import PromptComposer
 from bitexture.functions.wrappers import ModelWrapper, get_wrapper
+from bitexture.operators.curate import numbered_calls
 from bitexture.operators.generate import Generator, cut_prompt, generate
 from bitexture.operators.metrics import evaluate
 from bitexture.operators.splits import limit_examples
@@ -36,7 +37,8 @@ class EvaluationJob:
 
 def evaluation_inputs(df: DataFrame, job: EvaluationJob) -> DataFrame:
     """``(example_id, inputs, outputs)`` with the start column replaced by its rendered query prompt."""
-    prompt = get_wrapper(job.wrapper).query(job.composer.query(F.col(job.start_col), job.start_lang, F.col(job.id_col)))
+    df, call = numbered_calls(df, job.composer, job.id_col)
+    prompt = get_wrapper(job.wrapper).query(job.composer.query(F.col(job.start_col), job.start_lang, call))
     return df.select(
         F.col(job.id_col).alias("example_id"), prompt.alias("inputs"), F.col(job.dest_col).alias("outputs")
     )

@@ -38,6 +38,6 @@ def prepare_split(
         ids = token_ids(spark, F.col("text"), max_length, tokenizer_file, special)
         return fixed_length_rows(text_only, ids, max_length, pad_id)
 
-    label = cache_label(model, dataset, split, max_length) if cache_dir else None
+    label = cache_label(model, dataset, split, max_length, tokenizer_file) if cache_dir else None
     rows = token_cache(spark, cache_dir or "", label, tokenize)
     return rows.withColumn("labels", loss_labels(F.col("input_ids"), pad_id))

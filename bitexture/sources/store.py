@@ -18,6 +18,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listing = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
+    return sorted(s.getPath().getName() for s in listing if s.isDirectory())
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a dataset was written to the end; a job that died half-way leaves no success marker."""
     return path_exists(spark, f"{path}/_SUCCESS")
@@ -112,9 +119,10 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
     return documents.select(*RUN_KEYS, F.explode("scores").alias("metric", "score"))
 
 
-def cache_label(model: str, dataset: str, split: str, max_length: int) -> str:
-    """Folder name of cached token rows. Length is part of it: rows cut to another length are other rows."""
-    return f"tokenized_{PurePosixPath(model).name}_{PurePosixPath(dataset).name}_{split}_{max_length}"
+def cache_label(model: str, dataset: str, split: str, max_length: int, tokenizer: str | None = None) -> str:
+    """Folder name of cached token rows: everything that makes them other rows, length and tokenizer included."""
+    names = [PurePosixPath(part).name for part in (model, dataset)]
+    return "_".join(["tokenized", *names, split, str(max_length), PurePosixPath(tokenizer or "codepoints").name])
 
 
 def token_cache(spark: SparkSession, folder: str, label: str | None, tokenize: Callable[[], DataFrame]) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 def windowed_losses(
     log: DataFrame, key: str, time_col: str = "ts", window: str = "1 hour", lateness: str = "10 minutes"
 ) -> DataFrame:
-    """Works on a stream or a table. NTZ times are read in the session time zone, as watermarks need instants."""
+    """Works on a stream or a table. Watermarks need instants, so NTZ times pass through the session time zone and
+    come back."""
     timed = log.withColumn("_ts", F.col(time_col).cast("timestamp")).withWatermark("_ts", lateness)
     valid = ~F.isnan("loss")
     return (
@@ -20,7 +21,7 @@ def windowed_losses(
             F.count_if(F.isnan("loss")).alias("n_nan"),
             F.sum(F.when(valid, F.col("loss"))).alias("loss_sum"),
         )
-        .select(F.col("w.start").alias("window_start"), key, "n_valid", "n_nan", "loss_sum")
+        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), key, "n_valid", "n_nan", "loss_sum")
     )
 
 

@@ -135,10 +135,10 @@ def choose(wordings: list[tuple[str, str]], index: str, source: str, target: str
     return f"case {index} {whens} end"
 
 
-def expanded(wordings: dict[str, list[tuple[str, str]]], index: str) -> str:
+def expanded(wordings: dict[str, list[tuple[str, str]]], index: str, i: str = "i") -> str:
     """Both directions; ``index`` turns a call number placeholder {c} and a count {n} into a template index."""
-    fwd = choose(wordings["en"], index.format(c="(2 * i)", n=len(wordings["en"])), "src_text", "trg_text")
-    bwd = choose(wordings["fr"], index.format(c="(2 * i + 1)", n=len(wordings["fr"])), "trg_text", "src_text")
+    fwd = choose(wordings["en"], index.format(c=f"(2 * {i})", n=len(wordings["en"])), "src_text", "trg_text")
+    bwd = choose(wordings["fr"], index.format(c=f"(2 * {i} + 1)", n=len(wordings["fr"])), "trg_text", "src_text")
     return f"""{PAIRS}, numbered as (select *, row_number() over (order by pair_id) - 1 as i from pairs)
       select pair_id, 'fwd' as direction, {fwd} as text from numbered
       union all select pair_id, 'bwd' as direction, {bwd} as text from numbered"""
@@ -342,7 +342,7 @@ def all_oracles() -> dict[str, str]:
             case when pair_id % 2 = 0 then 'RENDER: ENGLISH: ' || src_text || ' FRENCH: '
               else 'RENDER: FRENCH: ' || src_text || ' ENGLISH: ' end as prompt from pairs""",
         "prompts_round_robin": expanded(PLAIN_EN, ROUND_ROBIN),
-        "prompts_random": expanded(PLAIN_EN, RANDOM),
+        "prompts_random": expanded(PLAIN_EN, RANDOM, "pair_id"),
         "prompts_lookup": f"""{PAIRS}, numbered as (select *, row_number() over (order by pair_id) - 1 as i from pairs)
             select pair_id, case when pair_id % 2 = 0 then 'en' else 'fr' end as start_lang,
               (i % 2)::int as template_idx,

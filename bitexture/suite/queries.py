@@ -235,8 +235,7 @@ def prompts_fixed_query(spark, sf):
 
 
 def _expanded(spark: SparkSession, sf: str, composer) -> DataFrame:
-    numbered = ranking.id_position(_texts(spark, sf), "pair_id")
-    return curate.expand_directions(numbered, composer, SRC, TRG)
+    return curate.expand_directions(_texts(spark, sf), composer, SRC, TRG)
 
 
 @query
@@ -344,8 +343,8 @@ def source_union(spark, sf):
     docs = fx.corpus(spark, sf).select("source", "text")
     by_source = docs.repartition("source").sortWithinPartitions("source", F.md5("text"))
     by_source.write.partitionBy("source").option("compression", "gzip").text(out)
-    names = [row.source for row in docs.select("source").distinct().collect()]
-    lines = readers.read_line_sources(spark, {n: f"{out}/source={n}" for n in names}, partitions=8)
+    paths = {folder.removeprefix("source="): f"{out}/{folder}" for folder in store.child_folders(spark, out)}
+    lines = readers.read_line_sources(spark, paths, partitions=8)
     return lines.groupBy("source", "text").agg(
         F.count("*").alias("n"),
         (F.count_distinct("line_key") == F.count("*")).alias("keys_distinct"),
@@ -454,7 +453,7 @@ def byte_tokenizer_file(spark: SparkSession) -> str:
 
     alphabet = sorted(pre_tokenizers.ByteLevel.alphabet())
     tokenizer = Tokenizer(models.BPE(vocab={c: i for i, c in enumerate(alphabet)}, merges=[]))
-    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
     folder = scratch_dir(spark, "tokenizer")
     spark.createDataFrame([(tokenizer.to_str(),)], "value string").coalesce(1).write.text(folder)
     return spark.read.text(folder).select("_metadata.file_path").first()[0]

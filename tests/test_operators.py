@@ -36,7 +36,7 @@ def brute_curation(rows, max_tokens, size):
 
 
 @pytest.mark.parametrize("size", [1, 10, 500])
-@pytest.mark.parametrize("direct,saved", [(10_000, False), (0, False), (0, True)])
+@pytest.mark.parametrize("direct,saved", [(1000, False), (0, False), (0, True)])
 def test_curation(pairs, monkeypatch, tmp_path, size, direct, saved):
     monkeypatch.setattr(selection, "DIRECT_TOP_K", direct)
     monkeypatch.setattr(curate, "DIRECT_TOP_K", direct)

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from bitexture.functions.prompts import FixedPrompt, Template
+from bitexture.functions.prompts import FixedPrompt, Template, TemplatePrompt
 from bitexture.functions.text import count_words
 from bitexture.operators.generate import echo_generator
 from bitexture.plans import curation
@@ -160,7 +160,7 @@ def test_token_cache(spark, tmp_path):
     options = dict(model="org/m", dataset="/x/d", split="train", max_length=3)
     first = prepare_split(spark, texts, str(tmp_path), **options)
     assert sorted(r.labels for r in first.collect()) == [[97, 98, -100], [99, -100, -100]]
-    cached = spark.read.parquet(str(tmp_path / "tokenized_m_d_train_3"))
+    cached = spark.read.parquet(str(tmp_path / "tokenized_m_d_train_3_codepoints"))
     assert cached.columns == ["input_ids", "attention_mask"]
     again = prepare_split(spark, texts.limit(0), str(tmp_path), **options)
     assert again.count() == 2
@@ -201,6 +201,19 @@ def test_evaluation_job(spark, tmp_path):
     assert sorted(r.expected for r in preview.collect()) == ["b6", "b7", "b8", "b9"]
 
 
+def test_round_robin_prompts_number_the_examples(spark):
+    wordings = [Template.parse(f"{i} {{input}}{{output}}") for i in range(3)]
+    registry = DatasetRegistry()
+    schema = "pair_id long, src_text string, trg_text string"
+    registry.add("d", lambda s: s.createDataFrame([(10 * i, "x", "y") for i in range(7)], schema).repartition(3))
+    for random_choice in (False, True):
+        prompt = TemplatePrompt({"hr": wordings}, random_choice)
+        job = ev.EvaluationJob("e", ["d"], prompt, "hr", split=None)
+        got = [r.inputs[0] for r in ev.load_examples(spark, registry, job).orderBy("example_id").collect()]
+        if not random_choice:
+            assert got == list("0120120")
+
+
 def test_prompt_stream(spark, tmp_path):
     pairs = spark.createDataFrame([(1, "a", "b"), (2, "a " * 50, "b"), (3, None, "b")], "pair_id int, src_text string, trg_text string")
     pairs.repartition(3).write.parquet(str(tmp_path / "in"))
