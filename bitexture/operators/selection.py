@@ -38,6 +38,11 @@ def bucket_of(value: Column, low: float, high: float, buckets: int) -> Column:
     return F.greatest(F.least(position, F.lit(buckets - 1)), F.lit(0)).cast("int")
 
 
+def covers(rank: Column, before: Column, n: Column) -> Column:
+    """Whether the ``n`` rows after the first ``before`` hold the 1-based rank."""
+    return (before < rank) & (rank <= before + n)
+
+
 @dataclass(frozen=True)
 class ValueAtRank:
     """A value, how many rows sort ahead of it, and how many rows hold it."""
@@ -62,8 +67,7 @@ class _Range:
 
 
 def _covers_any(ranks: tuple[int, ...], offset: int) -> Column:
-    before, n = F.col("before") + offset, F.col("n")
-    return reduce(or_, [(before < r) & (before + n >= r) for r in ranks])
+    return reduce(or_, [covers(F.lit(r), F.col("before") + offset, F.col("n")) for r in ranks])
 
 
 def _running(counts: DataFrame, key: str, descending: bool) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitexture.functions.hashing import HASH_SPAN, seeded_hash
-from bitexture.operators.selection import DIRECT_TOP_K, row_count, shuffle_cut, values_at
+from bitexture.operators.selection import DIRECT_TOP_K, covers, row_count, shuffle_cut, values_at
 
 STRATUM_BUCKETS = 1 << 10
 
@@ -77,38 +78,47 @@ def resplit_stratified(
     """Re-assign ``split`` so that each label is divided by the same ratios.
 
     Per label the first ``floor(n*train_ratio)`` rows of the shuffle are train, the next ``floor(n*test_ratio)``
-    test and the rest validation; a label with fewer than two rows goes to train. Positions come from hash
-    buckets inside the label, so one label may hold most of the table.
+    test and the rest validation; a label with fewer than two rows goes to train. Hash buckets inside each label show
+    where its cuts fall; only the rows of those buckets are ranked. The rows are then compared with their label's
+    cuts, so they stay where they are and one label may hold most of the table.
     """
-    keyed = df.withColumn("_h", seeded_hash(id_col, seed))
+    here = seeded_hash(id_col, seed)
     shift = (HASH_SPAN // STRATUM_BUCKETS).bit_length() - 1
-    keyed = keyed.withColumn("_bucket", F.shiftright("_h", shift)).drop("split")
-    by_label = Window.partitionBy(label_col)
-    ahead = by_label.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    keys = df.select(F.col(label_col).alias("label"), F.col(id_col).alias("id"), here.alias("h"))
+    keys = keys.withColumn("bucket", F.shiftright("h", shift))
+    by_label = Window.partitionBy("label")
+    upto = by_label.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # At most STRATUM_BUCKETS rows per label.
-    offsets = (
-        keyed.groupBy(label_col, "_bucket")
-        .agg(F.count("*").alias("_n"))
-        .select(
-            F.col(label_col).alias("_label"),
-            F.col("_bucket").alias("_b"),
-            F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset"),
-            F.sum("_n").over(by_label).alias("_total"),
-        )
+    buckets = keys.groupBy("label", "bucket").agg(F.count("*").alias("n"))
+    buckets = buckets.select(
+        "label", "bucket", "n", (F.sum("n").over(upto) - F.col("n")).alias("before"), F.sum("n").over(by_label).alias("total")
     )
-    inside = Window.partitionBy(label_col, "_bucket").orderBy("_h", id_col)
-    rank = F.col("_offset") + F.row_number().over(inside)
-    n_train = F.floor(F.col("_total").cast("double") * F.lit(train_ratio))
-    n_test = F.floor(F.col("_total").cast("double") * F.lit(test_ratio))
-    joined = keyed.join(
-        offsets, F.col(label_col).eqNullSafe(F.col("_label")) & (F.col("_bucket") == F.col("_b"))
-    ).withColumn("_rank", rank)
-    split = (
-        F.when((F.col("_total") < 2) | (F.col("_rank") <= n_train), "train")
-        .when(F.col("_rank") <= n_train + n_test, "test")
-        .otherwise("validation")
+    total = F.col("total").cast("double")
+    first = F.floor(total * F.lit(train_ratio))
+    second = first + F.floor(total * F.lit(test_ratio))
+    # The bucket of the very first row makes sure that every label has a row of limits.
+    cuts = buckets.withColumns({"first": first, "second": second}).where(
+        reduce(or_, [covers(r, F.col("before"), F.col("n")) for r in (F.lit(1), F.col("first"), F.col("second"))])
     )
-    return joined.withColumn("split", split).drop("_h", "_bucket", "_label", "_b", "_offset", "_total", "_rank")
+    cuts = cuts.withColumnsRenamed({"label": "_label", "bucket": "_bucket"}).drop("n")
+    inside = Window.partitionBy("label", "bucket").orderBy("h", "id")
+    same_bucket = F.col("label").eqNullSafe(F.col("_label")) & (F.col("bucket") == F.col("_bucket"))
+    ranked = keys.join(cuts, same_bucket).withColumn("rank", F.col("before") + F.row_number().over(inside))
+    limits = ranked.groupBy("label").agg(
+        F.max(F.when(F.col("rank") == F.col("first"), F.struct("h", "id"))).alias("train_end"),
+        F.max(F.when(F.col("rank") == F.col("second"), F.struct("h", "id"))).alias("test_end"),
+        F.max("total").alias("_total"),
+    )
+    limits = limits.withColumnRenamed("label", "_label")
+
+    def up_to(end: str) -> Column:
+        return (here < F.col(end)["h"]) | ((here == F.col(end)["h"]) & (F.col(id_col) <= F.col(end)["id"]))
+
+    # An empty split has no end, and no row is up to it.
+    alone = F.col("_total") < 2
+    split = F.when(alone | up_to("train_end"), "train").when(up_to("test_end"), "test").otherwise("validation")
+    joined = df.drop("split").join(limits, F.col(label_col).eqNullSafe(F.col("_label")), "left")
+    return joined.withColumn("split", split).drop("_label", "_total", "train_end", "test_end")
 
 
 def split_counts(df: DataFrame) -> DataFrame:

@@ -137,6 +137,20 @@ def test_stratified_split_with_a_hot_label(spark):
     }
 
 
+@pytest.mark.parametrize("ratios", [(0.7, 0.15), (0.2, 0.1), (0.0, 0.5)])
+def test_stratified_split_follows_the_shuffle(spark, monkeypatch, ratios):
+    monkeypatch.setattr(splits, "STRATUM_BUCKETS", 8)
+    df = spark.range(150).withColumn("label", F.expr("case when id % 7 = 0 then null when id < 4 then 1 else 2 end"))
+    got = {r.id: r.split for r in splits.resplit_stratified(df.repartition(5), "id", "label", *ratios).collect()}
+    labels = {r.id: r.label for r in df.collect()}
+    for label in (None, 1, 2):
+        ids = [i for i in shuffled_ids(spark, 150, 42) if labels[i] == label]
+        a, b = int(len(ids) * ratios[0]), int(len(ids) * ratios[0]) + int(len(ids) * ratios[1])
+        for p, i in enumerate(ids):
+            assert got[i] == ("train" if p < a or len(ids) < 2 else "test" if p < b else "validation")
+    assert len(got) == 150
+
+
 def test_counts_and_classes(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0), ("a", None), ("b", 1)], "split string, label int")
     assert {r.split: r.n for r in splits.split_counts(df).collect()} == {"a": 3, "b": 1, "all": 4}
