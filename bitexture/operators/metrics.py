@@ -20,6 +20,7 @@ from bitexture.operators.ngrams import (
     example_matches,
     example_ngrams,
     gram_count,
+    unit_separator,
 )
 from bitexture.operators.ribes import sentence_ribes
 
@@ -33,46 +34,50 @@ CHRF_FLOOR = 1e-16
 NIST_ORDERS = 5
 
 
+GROUP = "group"
+
+
+def _grouped(examples: DataFrame, keys: list[str]) -> DataFrame:
+    """``(group, example_id, predictions, outputs)``. A struct of the keys compares equal where the keys do, NULL
+    included, so groups can be joined by plain equality."""
+    group = F.struct(*keys) if keys else F.lit(0)
+    return examples.select(group.alias(GROUP), EXAMPLE, "predictions", "outputs")
+
+
+def _keys_of(keys: list[str]) -> list[Column]:
+    return [F.col(GROUP)[k].alias(k) for k in keys]
+
+
 def _scored(df: DataFrame, keys: list[str], name: str, score: Column) -> DataFrame:
-    return df.select(*keys, F.lit(name).alias("metric"), score.cast("double").alias("score"))
+    return df.select(*_keys_of(keys), F.lit(name).alias("metric"), score.cast("double").alias("score"))
 
 
-def _with_lengths(examples: DataFrame, keys: list[str], unit: str) -> DataFrame:
+def _with_lengths(examples: DataFrame, unit: str) -> DataFrame:
     def n_units(text: str) -> Column:
         whole = F.coalesce(F.col(text), F.lit(""))
         return F.length(whole) if unit == "char" else count_words(whole)
 
-    return examples.select(*keys, EXAMPLE, n_units("predictions").alias("hl"), n_units("outputs").alias("rl"))
+    return examples.select(GROUP, EXAMPLE, n_units("predictions").alias("hl"), n_units("outputs").alias("rl"))
 
 
 def _total(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts)
 
 
-def _overlap_sums(examples: DataFrame, keys: list[str], unit: str) -> DataFrame:
+def _overlap_sums(examples: DataFrame, unit: str) -> DataFrame:
     """Per group: matches per order, hypothesis totals per order, lengths, and the sentence-level GLEU totals."""
-    matches = example_matches(examples, F.col("predictions"), F.col("outputs"), keys, BLEU_ORDERS, unit)
+    matches = example_matches(examples, F.col("predictions"), F.col("outputs"), [GROUP], BLEU_ORDERS, unit)
     orders = range(1, BLEU_ORDERS + 1)
     hyp_grams = _total([gram_count(F.col("hl"), n) for n in range(1, GLEU_ORDERS + 1)])
     ref_grams = _total([gram_count(F.col("rl"), n) for n in range(1, GLEU_ORDERS + 1)])
-    totals = _with_lengths(examples, keys, unit).groupBy(*keys).agg(
+    totals = _with_lengths(examples, unit).groupBy(GROUP).agg(
         *[F.sum(F.greatest(gram_count(F.col("hl"), n), F.lit(1))).alias(f"t{n}") for n in orders],
         F.sum("hl").alias("hyp_len"),
         F.sum("rl").alias("ref_len"),
         F.sum(F.greatest(hyp_grams, ref_grams)).alias("gleu_total"),
     )
-    sums = matches.groupBy(*keys).agg(*[F.sum(f"m{n}").alias(f"m{n}") for n in orders])
-    return _join_groups(totals, sums, keys).fillna(0, [f"m{n}" for n in orders])
-
-
-def _join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join of two per-group results; without keys both have one row."""
-    if keys:
-        renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})
-        condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-        return left.join(renamed, condition, "left").drop(*[f"_{k}" for k in keys])
-    one = F.lit(1).alias("_one")
-    return left.select("*", one).join(right.select("*", one), "_one", "left").drop("_one")
+    sums = matches.groupBy(GROUP).agg(*[F.sum(f"m{n}").alias(f"m{n}") for n in orders])
+    return totals.join(sums, GROUP, "left").fillna(0, [f"m{n}" for n in orders])
 
 
 def _bleu_score() -> Column:
@@ -94,26 +99,26 @@ def _gleu_score() -> Column:
 
 
 def bleu(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataFrame:
-    return _scored(_overlap_sums(examples, keys, unit), keys, "bleu", _bleu_score())
+    return _scored(_overlap_sums(_grouped(examples, keys), unit), keys, "bleu", _bleu_score())
 
 
 def gleu(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataFrame:
-    return _scored(_overlap_sums(examples, keys, unit), keys, "gleu", _gleu_score())
+    return _scored(_overlap_sums(_grouped(examples, keys), unit), keys, "gleu", _gleu_score())
 
 
 def chrf(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataFrame:
     """Character F-score averaged over orders and examples. Always on characters; white space is left out."""
-    packed = examples.select(
-        *keys,
+    packed = _grouped(examples, keys).select(
+        GROUP,
         EXAMPLE,
         without_spaces(F.coalesce("predictions", F.lit(""))).alias("predictions"),
         without_spaces(F.coalesce("outputs", F.lit(""))).alias("outputs"),
     )
     orders = range(1, CHRF_ORDERS + 1)
-    matches = example_matches(packed, F.col("predictions"), F.col("outputs"), keys, CHRF_ORDERS)
+    matches = example_matches(packed, F.col("predictions"), F.col("outputs"), [GROUP], CHRF_ORDERS)
     # Partitioned by example on both sides, so the join adds no shuffle of n-grams.
-    lengths = by_example(_with_lengths(packed, keys, "char"))
-    joined = lengths.join(matches.drop(*keys), EXAMPLE, "left")
+    lengths = by_example(_with_lengths(packed, "char"))
+    joined = lengths.join(matches, [EXAMPLE, GROUP], "left")
 
     def f_score(n: int) -> Column:
         m = F.coalesce(F.col(f"m{n}"), F.lit(0))
@@ -123,48 +128,44 @@ def chrf(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataF
         score = F.try_divide((1 + weight) * (precision * recall), weight * precision + recall)
         return F.coalesce(score, F.lit(CHRF_FLOOR))
 
-    scored = joined.select(*keys, *[f_score(n).alias(f"f{n}") for n in orders])
-    sums = scored.groupBy(*keys).agg(*[F.sum(f"f{n}").alias(f"f{n}") for n in orders], F.count("*").alias("n"))
+    scored = joined.select(GROUP, *[f_score(n).alias(f"f{n}") for n in orders])
+    sums = scored.groupBy(GROUP).agg(*[F.sum(f"f{n}").alias(f"f{n}") for n in orders], F.count("*").alias("n"))
     mean = _total([F.col(f"f{n}") for n in orders]) / CHRF_ORDERS / F.col("n")
     return _scored(sums, keys, "chrf", mean)
 
 
-def information_weights(
-    grams: DataFrame, prefixes: DataFrame, lengths: DataFrame, keys: list[str], unit: str = "char"
-) -> DataFrame:
-    """Add ``info = log2(count(prefix) / count(gram))`` to reference grams ``(*keys, n, gram, r, ...)``.
+def information_weights(grams: DataFrame, prefixes: DataFrame, lengths: DataFrame, unit: str = "char") -> DataFrame:
+    """Add ``info = log2(count(prefix) / count(gram))`` to reference grams ``(group, n, gram, r, ...)``.
 
     ``prefixes`` counts the reference grams of all lower orders. A unigram's numerator is the length of all
-    references of its group (``ref_len`` in ``lengths``). Both sides are corpus totals, one row per distinct gram.
+    references of its group (``ref_len`` in ``lengths``). Both sides are corpus totals, one row per distinct gram,
+    and a gram shows its own order, so group and text are the whole key.
     """
     prefix = F.expr("left(gram, n - 1)" if unit == "char" else "substring_index(gram, ' ', n - 1)")
-    renamed = prefixes.withColumnsRenamed({k: f"_{k}" for k in keys}).select(
-        *[f"_{k}" for k in keys], (F.col("n") + 1).alias("_n"), F.col("gram").alias("_gram"), "count"
-    )
-    same = (F.col("n") == F.col("_n")) & (prefix == F.col("_gram"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    joined = grams.where(F.col("r") > 0).join(renamed, same, "left").drop("_n", "_gram", *[f"_{k}" for k in keys])
-    with_length = _join_groups(joined, lengths, keys)
-    return with_length.withColumn("info", F.log2(F.coalesce("count", "ref_len") / F.col("r"))).drop("count")
+    # Unigrams have no prefix. A key longer than any prefix finds nothing, and unlike NULL it spreads over tasks.
+    no_prefix = F.repeat(F.concat("gram", F.lit(unit_separator(unit))), F.lit(NIST_ORDERS))
+    longer = grams.where(F.col("r") > 0).withColumn("prefix", F.when(F.col("n") > 1, prefix).otherwise(no_prefix))
+    counts = prefixes.select(GROUP, F.col("gram").alias("prefix"), "count")
+    joined = longer.join(counts, [GROUP, "prefix"], "left").join(lengths, GROUP, "left")
+    return joined.withColumn("info", F.log2(F.coalesce("count", "ref_len") / F.col("r"))).drop("count", "prefix")
 
 
 def nist(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataFrame:
     """Information-weighted precision summed over orders, with a length penalty; weights are per group."""
-    per_example = example_ngrams(examples, F.col("predictions"), F.col("outputs"), keys, NIST_ORDERS, unit)
-    grams = per_example.groupBy(*keys, "n", "gram").agg(
-        F.sum("r").alias("r"), F.sum(F.least("h", "r")).alias("matched")
-    )
+    examples = _grouped(examples, keys)
+    per_example = example_ngrams(examples, F.col("predictions"), F.col("outputs"), [GROUP], NIST_ORDERS, unit)
+    grams = per_example.groupBy(GROUP, "gram", "n").agg(F.sum("r").alias("r"), F.sum(F.least("h", "r")).alias("matched"))
+    prefixes = corpus_ngrams(examples, F.col("outputs"), [GROUP], NIST_ORDERS - 1, unit)
     orders = range(1, NIST_ORDERS + 1)
-    lengths = _with_lengths(examples, keys, unit).groupBy(*keys).agg(
+    lengths = _with_lengths(examples, unit).groupBy(GROUP).agg(
         F.sum("rl").alias("ref_len"),
         F.sum("hl").alias("hyp_len"),
         *[F.sum(gram_count(F.col("hl"), n)).alias(f"t{n}") for n in orders],
     )
-    prefixes = corpus_ngrams(examples, F.col("outputs"), keys, NIST_ORDERS - 1, unit)
-    weighted = information_weights(grams, prefixes, lengths.select(*keys, "ref_len"), keys, unit)
-    gains = weighted.groupBy(*keys).agg(
-        *[F.sum(F.when(F.col("n") == n, F.col("info") * F.col("matched")).otherwise(0.0)).alias(f"g{n}") for n in orders]
+    weighted = information_weights(grams, prefixes, lengths.select(GROUP, "ref_len"), unit)
+    gain = F.col("info") * F.col("matched")
+    gains = weighted.groupBy(GROUP).agg(
+        *[F.sum(F.when(F.col("n") == n, gain).otherwise(0.0)).alias(f"g{n}") for n in orders]
     )
     precision = _total(
         [F.coalesce(F.try_divide(F.coalesce(F.col(f"g{n}"), F.lit(0.0)), F.col(f"t{n}")), F.lit(0.0)) for n in orders]
@@ -174,12 +175,13 @@ def nist(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataF
     penalty = F.when((ratio > 0) & (ratio < 1), F.exp(beta * F.pow(F.log(ratio), F.lit(2.0)))).otherwise(
         F.greatest(F.least(F.coalesce(ratio, F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
     )
-    return _scored(_join_groups(lengths, gains, keys), keys, "nist", precision * penalty)
+    return _scored(lengths.join(gains, GROUP, "left"), keys, "nist", precision * penalty)
 
 
 def ribes(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataFrame:
-    scored = sentence_ribes(examples.select(*keys, EXAMPLE, "predictions", "outputs"), unit)
-    return _scored(scored.groupBy(*keys).agg(F.avg("ribes").alias("mean")), keys, "ribes", F.col("mean"))
+    """Mean over examples of the rank correlation of word order."""
+    scored = sentence_ribes(_grouped(examples, keys), unit)
+    return _scored(scored.groupBy(GROUP).agg(F.avg("ribes").alias("mean")), keys, "ribes", F.col("mean"))
 
 
 Metric = Callable[..., DataFrame]
@@ -202,11 +204,11 @@ def evaluate(
     parts = []
     together = [name for name, metric in chosen if name in shared and metric in (bleu, gleu)]
     if len(together) > 1:
-        sums = _overlap_sums(examples, keys, unit)
+        sums = _overlap_sums(_grouped(examples, keys), unit)
         pairs = F.array(
             *[F.struct(F.lit(n).alias("metric"), shared[n]().cast("double").alias("score")) for n in together]
         )
-        parts.append(sums.select(*keys, F.inline(pairs)))
+        parts.append(sums.select(*_keys_of(keys), F.inline(pairs)))
         chosen = [(name, metric) for name, metric in chosen if name not in together]
     parts += [metric(examples, keys, unit) for _, metric in chosen]
     return reduce(DataFrame.unionByName, parts)
