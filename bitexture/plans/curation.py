@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bitexture.functions.hashing import seeded_hash
 from bitexture.functions.prompts import PromptComposer
 from bitexture.functions.text import TokenCounter
 from bitexture.operators.curate import curate_top, training_texts
-from bitexture.operators.ranking import seeded_shuffle
 from bitexture.operators.splits import split_three_way
 from bitexture.session import scratch_dir
 from bitexture.sources.store import build_if_missing, load_dataset, save_splits
@@ -54,6 +54,11 @@ def build_pairs_and_texts(
 
 
 def seeded_shuffle_texts(texts: DataFrame, seed: int) -> DataFrame:
-    """Instruction texts in seeded random order; the two directions of a pair land apart."""
-    keyed = texts.withColumn("_key", F.concat_ws("|", F.col("pair_id").cast("string"), "direction"))
-    return seeded_shuffle(keyed, "_key", seed).drop("_key")
+    """Instruction texts in seeded random order within their split; the two directions of a pair land apart.
+
+    Sorting by split first inside a task is what a partitioned write asks for, so it leaves the order alone.
+    """
+    key = F.concat_ws("|", F.col("pair_id").cast("string"), "direction")
+    keyed = texts.withColumn("_key", key).withColumn("_h", seeded_hash("_key", seed))
+    ordered = keyed.repartitionByRange("_h", "_key").sortWithinPartitions("split", "_h", "_key")
+    return ordered.drop("_h", "_key")

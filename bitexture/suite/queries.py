@@ -338,11 +338,10 @@ def strip_text(spark, sf):
 
 @query
 def source_union(spark, sf):
-    """Documents written as one gzip line file per source, read back as named line corpora with running keys."""
+    """Documents written as gzip line files per source, read back as named line corpora with running keys."""
     out = scratch_dir(spark, "lines")
     docs = fx.corpus(spark, sf).select("source", "text")
-    by_source = docs.repartition("source").sortWithinPartitions("source", F.md5("text"))
-    by_source.write.partitionBy("source").option("compression", "gzip").text(out)
+    docs.write.partitionBy("source").option("compression", "gzip").text(out)
     paths = {folder.removeprefix("source="): f"{out}/{folder}" for folder in store.child_folders(spark, out)}
     lines = readers.read_line_sources(spark, paths, partitions=8)
     return lines.groupBy("source", "text").agg(

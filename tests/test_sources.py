@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from bitexture.functions.hashing import seeded_hash
 from bitexture.functions.prompts import FixedPrompt, Template, TemplatePrompt
 from bitexture.functions.text import count_words
 from bitexture.operators.generate import echo_generator
@@ -180,6 +181,12 @@ def test_curation_job(spark, tmp_path):
         "validation": 3,
     }
     assert {r.split: r["count"] for r in texts.groupBy("split").count().collect()} == {"train": 28, "validation": 6}
+    # In every file the texts lie in the order of the seeded shuffle.
+    key = F.concat_ws("|", F.col("pair_id").cast("string"), "direction")
+    files = {}
+    for r in texts.select("_metadata.file_path", seeded_hash(key, 1337).alias("h")).collect():
+        files.setdefault(r.file_path, []).append(r.h)
+    assert all(hashes == sorted(hashes) for hashes in files.values())
 
 
 def test_evaluation_job(spark, tmp_path):
