@@ -59,8 +59,13 @@ def fixed_length_rows(df: DataFrame, ids: Column, length: int, pad_id: int, text
     )
 
 
-def _encoder(spark: SparkSession, path: str, special: bool, take: Callable, result_type: str):
-    """Arrow UDF over a tokenizer file, which Spark sends to every executor and each task loads once."""
+def _encoder(
+    spark: SparkSession, path: str, special: bool, take: Callable, result_type: str, max_length: int | None = None
+):
+    """Arrow UDF over a tokenizer file, which Spark sends to every executor and each task loads once.
+
+    Padding or truncation set in the file is switched off; ``max_length`` truncates so that special tokens stay.
+    """
     spark.sparkContext.addFile(path)
     name = path.rsplit("/", 1)[-1]
 
@@ -69,6 +74,11 @@ def _encoder(spark: SparkSession, path: str, special: bool, take: Callable, resu
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(SparkFiles.get(name))
+        tokenizer.no_padding()
+        if max_length is None:
+            tokenizer.no_truncation()
+        else:
+            tokenizer.enable_truncation(max_length)
         for texts in batches:
             encoded = tokenizer.encode_batch(texts.fillna("").tolist(), add_special_tokens=special)
             yield pd.Series([take(e.ids) for e in encoded])
@@ -81,6 +91,6 @@ def file_token_counter(spark: SparkSession, path: str, special: bool = True):
     return _encoder(spark, path, special, len, "int")
 
 
-def file_token_ids(spark: SparkSession, path: str, special: bool = True):
-    """Token ids from a tokenizer file; padding and truncation stay in Spark expressions."""
-    return _encoder(spark, path, special, list, "array<int>")
+def file_token_ids(spark: SparkSession, path: str, special: bool = True, max_length: int | None = None):
+    """Token ids from a tokenizer file, unpadded."""
+    return _encoder(spark, path, special, list, "array<int>", max_length)

@@ -15,7 +15,7 @@ def token_ids(
     """Ids from a tokenizer file, or code points without one."""
     if tokenizer_file is None:
         return codepoint_ids(text, max_length)
-    return file_token_ids(spark, tokenizer_file, special)(text)
+    return file_token_ids(spark, tokenizer_file, special, max_length)(text)
 
 
 def prepare_split(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bitexture.functions.hashing import seeded_hash
 from bitexture.functions.prompts import FixedPrompt, Template, TemplatePrompt
 from bitexture.functions.text import count_words
+from bitexture.functions.tokens import file_token_counter
 from bitexture.operators.generate import echo_generator
 from bitexture.plans import curation
 from bitexture.plans import evaluation as ev
@@ -168,6 +169,28 @@ def test_token_cache(spark, tmp_path):
     assert prepare_split(spark, texts.limit(1), None, **options).count() == 1
 
 
+def test_tokenizer_file(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers, processors
+
+    tokenizer = Tokenizer(models.WordLevel({"[B]": 1, "[E]": 2, "a": 3, "b": 4, "?": 5}, unk_token="?"))
+    tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    tokenizer.post_processor = processors.TemplateProcessing(single="[B] $A [E]", special_tokens=[("[B]", 1), ("[E]", 2)])
+    tokenizer.enable_padding(length=9, pad_id=7)
+    path = str(tmp_path / "words.json")
+    tokenizer.save(path)
+    texts = spark.createDataFrame([("a b x",), ("",), (None,)], "text string").coalesce(1)
+    counts = [r[0] for r in texts.select(file_token_counter(spark, path)(F.col("text"))).collect()]
+    assert counts == [5, 2, 2]
+    plain = [r[0] for r in texts.select(file_token_counter(spark, path, special=False)(F.col("text"))).collect()]
+    assert plain == [3, 0, 0]
+    options = dict(model="m", dataset="d", split="s", max_length=4, pad_id=0, tokenizer_file=path)
+    rows = prepare_split(spark, texts.limit(1), str(tmp_path), **options).collect()
+    assert [(r.input_ids, r.attention_mask, r.labels) for r in rows] == [([1, 3, 4, 2], [1] * 4, [1, 3, 4, 2])]
+    assert store.is_complete(spark, str(tmp_path / "tokenized_m_d_s_4_words.json"))
+    short = prepare_split(spark, texts.limit(2).where("text = ''"), None, **options).first()
+    assert (short.input_ids, short.attention_mask, short.labels) == ([1, 2, 0, 0], [1, 1, 0, 0], [1, 2, -100, -100])
+
+
 def test_curation_job(spark, tmp_path):
     pairs = spark.createDataFrame(
         [(i, f"s{i}", f"t{i}", 0.5, i / 50) for i in range(1, 41)], readers.PAIR_SCHEMA
