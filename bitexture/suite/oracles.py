@@ -263,6 +263,14 @@ GUARDED = """
 
 BATCH = 8
 
+PERPLEXITY = f"""with {SQL['tokens']},
+            shifted as (select logits, lead(label) over (partition by seq_id order by pos) as label from tokens),
+            nll as (
+              select ln(list_sum(list_transform(logits, lambda x: exp(x::double - list_max(logits)::double))))
+                + list_max(logits)::double - logits[label + 1]::double as nll
+              from shifted where label is not null and label <> -100)
+            select count(*) as n_tokens, round(exp(avg(nll)), 6) as perplexity from nll"""
+
 EVALUATION = f"""{PAIRS}, {three_way('pairs', 'pair_id')}"""
 PROMPT = "'RENDER: ENGLISH: ' || src_text || ' FRENCH: '"
 
@@ -441,13 +449,8 @@ def all_oracles() -> dict[str, str]:
         "metric_chrf": f"{EXAMPLES}, {chrf()} select dataset, metric, score from chrf",
         "metric_nist": f"{EXAMPLES}, {nist()} select dataset, metric, score from nist",
         "metric_report": " union all ".join(report),
-        "perplexity_score": f"""with {SQL['tokens']},
-            shifted as (select logits, lead(label) over (partition by seq_id order by pos) as label from tokens),
-            nll as (
-              select ln(list_sum(list_transform(logits, lambda x: exp(x::double - list_max(logits)::double))))
-                + list_max(logits)::double - logits[label + 1]::double as nll
-              from shifted where label is not null and label <> -100)
-            select count(*) as n_tokens, round(exp(avg(nll)), 6) as perplexity from nll""",
+        "perplexity_score": PERPLEXITY,
+        "perplexity_sequences": PERPLEXITY,
         "nan_guard": f"{LOG}, {GUARDED} select run_id, step, loss, nan_before from guarded",
         "smoothed_loss": f"""{LOG}, {GUARDED}
             select run_id, step, count(*) over w as n_smoothed,

@@ -597,6 +597,15 @@ def perplexity_score(spark, sf):
     return _rounded(perplexity.perplexity(fx.tokens(spark, sf)))
 
 
+@query
+def perplexity_sequences(spark, sf):
+    """The same from one row per sequence, as a model returns its batches."""
+    steps = F.array_sort(F.collect_list(F.struct("pos", "logits", "label")))
+    rows = fx.tokens(spark, sf).groupBy("seq_id").agg(steps.alias("s"))
+    batches = rows.select(F.col("s.logits").alias("logits"), F.col("s.label").alias("labels"))
+    return _rounded(perplexity.sequence_perplexity(batches))
+
+
 # Run logs -----------------------------------------------------------------------------------------------------------
 
 
