@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bitexture.functions.text import right_strip, strip
-from bitexture.operators.selection import one_row
+from bitexture.operators.selection import row_count
 from bitexture.operators.splits import seeded_subsample
+from bitexture.sources.store import written
 
 BROADCAST_BLOCKS = 200_000
 
@@ -40,12 +41,12 @@ def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "text")
 
 
-def read_line_sources(spark: SparkSession, paths: dict[str, str], partitions: int | None = None) -> DataFrame:
+def read_line_sources(spark: SparkSession, paths: dict[str, str], work_dir: str) -> DataFrame:
     """Named line corpora as ``(source, line_key, text)``: right-stripped, blank lines kept.
 
     ``line_key`` runs from 0 in every source. A file block is read in order by one task, so a line's place in its
-    block plus the lines in earlier blocks gives the key. Compressed files cannot be split; ``partitions`` spreads
-    their lines after the read.
+    block plus the lines in earlier blocks gives the key. The lines are written to ``work_dir`` once: where they
+    stood is then fixed for both passes, and compressed files, which cannot be split, become files that can.
     """
     files = spark.read.text(list(paths.values()))
     source: Column | None = None
@@ -59,24 +60,17 @@ def read_line_sources(spark: SparkSession, paths: dict[str, str], partitions: in
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     ).withColumn("source", source)
+    lines = written(lines, work_dir)
     # One row per file block, not per line.
     blocks = lines.groupBy("source", "file", "block").agg(F.min("line").alias("first"), F.count("*").alias("n"))
     earlier = Window.partitionBy("source").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    few = _block_bound(spark, list(paths.values())) <= BROADCAST_BLOCKS
-    keyed = lines.join(F.broadcast(offsets) if few else offsets, ["file", "block"]).select(
+    few = row_count(offsets) <= BROADCAST_BLOCKS
+    return lines.join(F.broadcast(offsets) if few else offsets, ["file", "block"]).select(
         "source",
         (F.col("before") + F.col("line") - F.col("first")).alias("line_key"),
         right_strip(F.col("text")).alias("text"),
     )
-    return keyed.repartition(partitions) if partitions else keyed
-
-
-def _block_bound(spark: SparkSession, paths: list[str]) -> int:
-    """Upper bound for the number of blocks Spark cuts files into, from file lengths alone."""
-    smallest = int(spark._jsparkSession.sessionState().conf().filesOpenCostInBytes())
-    sizes = spark.read.format("binaryFile").load(paths).select("length")
-    return one_row(sizes.agg(F.coalesce(F.sum(F.floor(F.col("length") / smallest) + 1), F.lit(0))))[0]
 
 
 def text_column(

@@ -343,7 +343,7 @@ def source_union(spark, sf):
     docs = fx.corpus(spark, sf).select("source", "text")
     docs.write.partitionBy("source").option("compression", "gzip").text(out)
     paths = {folder.removeprefix("source="): f"{out}/{folder}" for folder in store.child_folders(spark, out)}
-    lines = readers.read_line_sources(spark, paths, partitions=8)
+    lines = readers.read_line_sources(spark, paths, scratch_dir(spark, "lines"))
     return lines.groupBy("source", "text").agg(
         F.count("*").alias("n"),
         (F.count_distinct("line_key") == F.count("*")).alias("keys_distinct"),

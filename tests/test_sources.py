@@ -51,7 +51,7 @@ def test_line_sources_keep_order_and_blank_lines(spark, tmp_path):
     paths["plain"] = str(tmp_path / "plain.txt")
     lines["plain"] = ["p", "q"]
     (tmp_path / "plain.txt").write_text("p\nq\n")
-    got = readers.read_line_sources(spark, paths, partitions=3).orderBy("source", "line_key").collect()
+    got = readers.read_line_sources(spark, paths, str(tmp_path / "work")).orderBy("source", "line_key").collect()
     for name, texts in lines.items():
         mine = [r for r in got if r.source == name]
         assert [r.text for r in mine] == [t.rstrip() for t in texts]
@@ -64,7 +64,7 @@ def test_keys_of_a_file_read_in_blocks(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
     try:
-        got = readers.read_line_sources(spark, {"long": str(path)})
+        got = readers.read_line_sources(spark, {"long": str(path)}, str(tmp_path / "work"))
         assert got.where(F.col("text") != F.concat(F.lit("line "), "line_key")).count() == 0
         assert got.count() == 5000
     finally:
