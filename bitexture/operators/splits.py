@@ -90,8 +90,8 @@ def resplit_stratified(
     upto = by_label.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # At most STRATUM_BUCKETS rows per label.
     buckets = keys.groupBy("label", "bucket").agg(F.count("*").alias("n"))
-    buckets = buckets.select(
-        "label", "bucket", "n", (F.sum("n").over(upto) - F.col("n")).alias("before"), F.sum("n").over(by_label).alias("total")
+    buckets = buckets.withColumns(
+        {"before": F.sum("n").over(upto) - F.col("n"), "total": F.sum("n").over(by_label)}
     )
     total = F.col("total").cast("double")
     first = F.floor(total * F.lit(train_ratio))

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
+from bitexture.functions.wrappers import DEFAULT_SYSTEM_PROMPT
 from bitexture.suite.fixtures import SQL, sql_hash, with_fixtures
-from bitexture.suite.queries import (
-    DEFAULT_SYSTEM,
-    MAX_TOKENS,
-    ROW_LENGTH,
-    TOP,
-)
+from bitexture.suite.queries import MAX_TOKENS, ROW_LENGTH, TOP
 
 SPACE = (
     r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -423,7 +419,7 @@ def all_oracles() -> dict[str, str]:
                         from p, best)
             select id, length, place // {BATCH} as batch, (place % {BATCH})::int as slot from swapped""",
         "eval_inputs": f"""{EVALUATION} select pair_id as example_id,
-            {lines('<s>[INST] <<SYS>>' + chr(10) + DEFAULT_SYSTEM + chr(10) + '<</SYS>>' + chr(10) * 2)}
+            {lines('<s>[INST] <<SYS>>' + chr(10) + DEFAULT_SYSTEM_PROMPT + chr(10) + '<</SYS>>' + chr(10) * 2)}
               || {PROMPT} || ' [/INST]' as inputs,
             trg_text as outputs, 'pairs' as dataset from splitted where split = 'test'""",
         "prompt_preview": f"""{EVALUATION} select 'pairs' as dataset, pair_id as example_id, {PROMPT} as prompt,

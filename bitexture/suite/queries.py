@@ -18,7 +18,6 @@ from bitexture.functions.tokens import (
     loss_labels,
     real_length,
 )
-from bitexture.functions.wrappers import DEFAULT_SYSTEM_PROMPT as DEFAULT_SYSTEM
 from bitexture.functions.wrappers import get_wrapper, system_wrapper
 from bitexture.operators import batching, curate, metrics, perplexity, ranking, runlog, splits, stats
 from bitexture.operators.generate import cut_prompt, echo_generator, generate
