@@ -2,8 +2,57 @@
 
 from __future__ import annotations
 
+from bitexture.llm.line_dedup import MIN_WORDS
+
+WORD = r"[^\x20\x09-\x0D]+"
+
 ORACLES: dict[str, str] = {}
 
+ORACLES["op10_line_dedup"] = rf"""
+with split as (
+    select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as no
+    from documents
+),
+lines as (
+    select *, len(regexp_extract_all(line, '{WORD}')) as words from split
+),
+worded as (
+    select doc_id, line, no, words, row_number() over d - 1 as at, sum(words) over d as upto
+    from lines where words > 0 window d as (partition by doc_id order by no)
+),
+forwards as (
+    select a.doc_id, a.at as first, min(b.at) as last
+    from worded a join worded b on a.doc_id = b.doc_id and b.at >= a.at and b.upto - a.upto + a.words >= {MIN_WORDS}
+    group by 1, 2
+),
+backwards as (
+    select b.doc_id, max(a.at) as first, b.at as last
+    from worded a join worded b on a.doc_id = b.doc_id and b.at >= a.at and b.upto - a.upto + a.words >= {MIN_WORDS}
+    group by 1, 3
+),
+runs as (
+    select r.doc_id, r.first, r.last, string_agg(w.line, chr(10) order by w.at) as content
+    from (select * from forwards union select * from backwards) r
+    join worded w on w.doc_id = r.doc_id and w.at between r.first and r.last
+    group by 1, 2, 3
+),
+placed as (
+    select *, row_number() over (partition by content order by doc_id, first) as copy from runs
+),
+gone as (
+    select distinct w.doc_id, w.no
+    from placed p join worded w on w.doc_id = p.doc_id and w.at between p.first and p.last
+    where p.copy > 1
+),
+kept as (
+    select l.doc_id, string_agg(l.line, chr(10) order by l.no) filter (where g.no is null) as text,
+           count(g.no) as n_removed_lines
+    from lines l left join gone g on g.doc_id = l.doc_id and g.no = l.no
+    group by 1
+)
+select doc_id, n_removed_lines, coalesce(text, '') as text from kept
+"""
+
 
 def all_oracles() -> dict[str, str]:
     return dict(ORACLES)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bitexture.llm.common import table
+from bitexture.llm.line_dedup import dedupe_lines
 from bitexture.llm.minhash_dedup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +27,10 @@ def all_queries() -> dict[str, Query]:
 @query
 def op1_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), percent=85)
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without later copies of repeated line runs."""
+    cleaned = dedupe_lines(table(spark, sf, "documents"))
+    return cleaned.select("doc_id", "n_removed_lines", "text")
