@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bitexture.llm.common import table
+from bitexture.llm.importance import importance_sample
 from bitexture.llm.line_dedup import dedupe_lines
 from bitexture.llm.minhash_dedup import near_duplicates
+from bitexture.llm.quality_rules import quality_verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,3 +36,13 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without later copies of repeated line runs."""
     cleaned = dedupe_lines(table(spark, sf, "documents"))
     return cleaned.select("doc_id", "n_removed_lines", "text")
+
+
+@query
+def op6_importance_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return importance_sample(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf, "documents"), table(spark, sf, "labels"))
