@@ -24,6 +24,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bitexture.llm.common import staged
 
@@ -143,7 +144,7 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int =
     return staged(gone.groupBy(*PLACE).agg(F.collect_list("at").alias("gone")), "gone")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def without_lines(text: pd.Series, gone: pd.Series) -> pd.Series:
     def cut(text, gone):
         if text is None or gone is None:
