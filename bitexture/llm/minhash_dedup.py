@@ -5,9 +5,10 @@ one representative first, so a group of exact copies costs one row per map task
 low bits are kept and packed into longs. Bands of minima give candidates, bit counts of the packed signatures give a
 similarity corrected for chance collisions, and what may reach the threshold is confirmed on full sets.
 
-No bucket is compared pair by pair. In each round a bucket has a few leaders and every member is held against the
-leaders of other components. Members that no leader could place meet eight times as many leaders in the next round,
-until no two members of a bucket are left that are neither compared nor in one component.
+First every member of a bucket is held against the bucket's leader, which places most of a group of copies. Where
+members with different labels remain, those outside the most frequent label meet all others of their cluster in blocks
+of bounded size. A task compares the signatures of two blocks, tries the most similar pairs first and skips pairs that
+links have joined already, so that only links leave it, never the pairs of a group.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import math
 from collections import OrderedDict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -29,8 +31,9 @@ SHINGLE = 5
 ROWS_PER_BAND = 4
 MISS = 1e-8  # chance that a pair exactly at the threshold shares no band
 BITS = 2  # kept of each minimum
-SIGMAS = 6  # how far below the threshold an estimate may lie
-MORE_LEADERS = 8
+HASHES = 192  # minima in a signature at least; the bands use the first of them
+SIGMAS = 5  # how far below the threshold an estimate may lie, in standard errors
+BLOCK = 256
 EVEN_BITS = 0x5555555555555555
 
 
@@ -77,28 +80,6 @@ def band_keys(lows: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _signer(bands: int, rows: int, width: int):
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        draw = np.random.default_rng(20240229)
-        factors = draw.integers(0, 2**63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
-        offsets = draw.integers(0, 2**63, bands * rows, np.uint64)
-        for batch in batches:
-            for start in range(0, len(batch), 1000):
-                part = batch.iloc[start : start + 1000]
-                out = []
-                for doc, text in zip(part["doc"], part["text"]):
-                    shingles = shingle_set(text, width)
-                    if not len(shingles):
-                        out.append((doc, 0, None, None, None))
-                        continue
-                    lows = minima(shingles, factors, offsets)
-                    digest = xxhash.xxh128_digest(shingles.tobytes())
-                    out.append((doc, len(shingles), digest, packed(lows), band_keys(lows, bands, rows)))
-                yield pd.DataFrame(out, columns=["doc", "n_shingles", "digest", "signature", "bands"])
-
-    return sign
-
-
 def mismatches(one: Column, other: Column, longs: int) -> Column:
     """In how many places two packed signatures differ."""
     total = F.lit(0)
@@ -109,10 +90,10 @@ def mismatches(one: Column, other: Column, longs: int) -> Column:
     return total
 
 
-def estimate(differing: Column, hashes: int) -> Column:
+def estimate(differing, hashes: int):
     """Jaccard similarity from differing places, without the matches that the kept bits give by chance."""
     chance = 1 / (1 << BITS)
-    return (1 - differing / F.lit(hashes) - chance) / (1 - chance)
+    return (1 - differing / hashes - chance) / (1 - chance)
 
 
 def lowest_estimate(threshold: float, hashes: int) -> float:
@@ -122,80 +103,163 @@ def lowest_estimate(threshold: float, hashes: int) -> float:
     return threshold - SIGMAS * math.sqrt(match * (1 - match) / hashes) / (1 - chance)
 
 
-def _confirmer(percent: int, width: int):
+@dataclass(frozen=True)
+class _Plan:
+    """What two representatives need to be compared."""
+
+    percent: int
+    hashes: int
+    width: int
+
+    @property
+    def lowest(self) -> float:
+        return lowest_estimate(self.percent / 100, self.hashes)
+
+    def likely(self, one: str, other: str) -> Column:
+        """Whether sizes and packed signatures of two rows leave the threshold within reach."""
+        n, m, s, t = f"{one}.n_shingles", f"{other}.n_shingles", f"{one}.signature", f"{other}.signature"
+        similar = estimate(mismatches(F.col(s), F.col(t), -(-self.hashes // 32)), self.hashes)
+        return (100 * F.least(n, m) >= self.percent * F.greatest(n, m)) & (similar >= self.lowest)
+
+    def enough(self, one: np.ndarray, other: np.ndarray) -> bool:
+        common = len(np.intersect1d(one, other, assume_unique=True))
+        return 100 * common >= self.percent * (len(one) + len(other) - common)
+
+
+def _signer(bands: int, rows: int, plan: _Plan):
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        draw = np.random.default_rng(20240229)
+        factors = draw.integers(0, 2**63, plan.hashes, np.uint64) * np.uint64(2) + np.uint64(1)
+        offsets = draw.integers(0, 2**63, plan.hashes, np.uint64)
+        for batch in batches:
+            for start in range(0, len(batch), 1000):
+                part = batch.iloc[start : start + 1000]
+                out = []
+                for doc, text in zip(part["doc"], part["text"]):
+                    shingles = shingle_set(text, plan.width)
+                    if not len(shingles):
+                        out.append((doc, 0, None, None, None))
+                        continue
+                    lows = minima(shingles, factors, offsets)
+                    digest = xxhash.xxh128_digest(shingles.tobytes())
+                    out.append((doc, len(shingles), digest, packed(lows), band_keys(lows[: bands * rows], bands, rows)))
+                yield pd.DataFrame(out, columns=["doc", "n_shingles", "digest", "signature", "bands"])
+
+    return sign
+
+
+def _confirmer(plan: _Plan):
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         recent: OrderedDict[bytes, np.ndarray] = OrderedDict()
 
         def known(digest: bytes, text: str) -> np.ndarray:
             if digest not in recent:
-                recent[digest] = shingle_set(text, width)
+                recent[digest] = shingle_set(text, plan.width)
                 if len(recent) > 64:
                     recent.popitem(last=False)
             return recent[digest]
 
         for batch in batches:
-            linked = []
-            for a, b, text_a, text_b in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"]):
-                one, other = known(a, text_a), known(b, text_b)
-                common = len(np.intersect1d(one, other, assume_unique=True))
-                linked.append(100 * common >= percent * (len(one) + len(other) - common))
+            rows = zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"])
+            linked = [plan.enough(known(a, text_a), known(b, text_b)) for a, b, text_a, text_b in rows]
             yield batch.loc[linked, ["a", "b"]]
 
     return confirm
 
 
-class _Corpus:
-    """The representatives of one run, what is needed to compare them, and the comparison."""
-
-    def __init__(self, reps: DataFrame, texts: DataFrame, percent: int, bands: int, rows: int, width: int):
-        self.reps = reps.select("digest", "n_shingles", "signature")
-        self.texts, self.percent, self.width = texts, percent, width
-        self.hashes = bands * rows
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that reach the threshold on full sets."""
-        for end in ("a", "b"):
-            side = self.reps.select(
-                F.col("digest").alias(end), F.col("n_shingles").alias(f"n_{end}"), F.col("signature").alias(f"s_{end}")
-            )
-            pairs = pairs.join(side, end)
-        similar = estimate(mismatches(F.col("s_a"), F.col("s_b"), -(-self.hashes // 32)), self.hashes)
-        fits = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
-        likely = pairs.where(fits & (similar >= lowest_estimate(self.percent / 100, self.hashes))).select("a", "b")
-        likely = staged(likely, "candidates")
-        for end in ("a", "b"):
-            likely = likely.join(self.texts.select(F.col("digest").alias(end), F.col("text").alias(f"text_{end}")), end)
-        return staged(likely.mapInPandas(_confirmer(self.percent, self.width), "a binary, b binary"), "links")
-
-
-def _linked_labels(corpus: _Corpus, members: DataFrame) -> DataFrame:
-    """Component labels of the representatives in shared buckets ``(key, digest)``."""
-    labels = members.sparkSession.createDataFrame([], "node binary, label binary")
-    current = members.withColumns({"label": F.col("digest"), "led": F.lit(False)})
-    lanes = 1
-    while not current.isEmpty():
-        lane = F.pmod(F.xxhash64("digest"), F.lit(lanes))
-        leaders = current.where("not led").groupBy("key", lane.alias("lane")).agg(F.min(F.struct("digest", "label")).alias("l"))
-        leaders = staged(leaders.select("key", F.col("l.digest").alias("leader"), F.col("l.label").alias("of")), "leaders")
-        met = current.join(leaders, "key").where("label != of")
-        pairs = met.select(F.least("digest", "leader").alias("a"), F.greatest("digest", "leader").alias("b")).distinct()
-        links = corpus.links(pairs)
-        if not links.isEmpty():
-            labels = merge_labels(labels, links)
-        led = leaders.select("key", F.col("leader").alias("digest"), F.lit(True).alias("leads"))
-        after = current.drop("label").join(led, ["key", "digest"], "left")
-        after = after.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select(
-            "key",
-            "digest",
-            F.coalesce("label", "digest").alias("label"),
-            (F.col("led") | F.coalesce("leads", F.lit(False))).alias("led"),
-        )
-        after = staged(after, "members")
-        spread = after.where("not led").groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        undecided = staged(spread.where("lo != hi").select("key"), "undecided")
-        current = staged(after.join(undecided, "key"), "members")
-        lanes *= MORE_LEADERS
-    return labels
+def _leader_links(members: DataFrame, texts: DataFrame, plan: _Plan) -> DataFrame:
+    """Links (a, b) between the members of a bucket and its leader, the one with the smallest digest."""
+    leaders = members.groupBy("key").agg(F.min(F.struct("digest", "n_shingles", "signature")).alias("l"))
+    leaders = staged(leaders.select("key", "l.*"), "leaders")
+    joined = members.alias("m").join(
+        leaders.alias("l"), (F.col("m.key") == F.col("l.key")) & F.expr("m.digest > l.digest") & plan.likely("m", "l")
+    )
+    pairs = staged(joined.select(F.col("l.digest").alias("a"), F.col("m.digest").alias("b")).distinct(), "pairs")
+    for end in ("a", "b"):
+        side = texts.select(F.col("digest").alias(end), F.col("text").alias(f"text_{end}"))
+        pairs = pairs.join(side.hint("merge"), end)
+    return staged(pairs.mapInPandas(_confirmer(plan), "a binary, b binary"), "links")
+
+
+def _block_comparer(plan: _Plan):
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        """Links that join different labels, between the odd members and the others of a block."""
+        odd, rest = block[block["odd"]], block[~block["odd"]]
+        texts = dict(zip(block["digest"], block["text"]))
+        sets: dict[bytes, np.ndarray] = {}
+        root: dict[bytes, bytes] = {}
+
+        def label(x: bytes) -> bytes:
+            while x in root:
+                x = root[x]
+            return x
+
+        def known(digest: bytes) -> np.ndarray:
+            if digest not in sets:
+                sets[digest] = shingle_set(texts[digest], plan.width)
+            return sets[digest]
+
+        one, other = (np.array(x["signature"].tolist(), np.int64).view(np.uint64).reshape(len(x), -1) for x in (odd, rest))
+        sizes, others = odd["n_shingles"].to_numpy()[:, None], rest["n_shingles"].to_numpy()[None, :]
+        similar = np.zeros((len(odd), len(rest)), np.int64)
+        for i in range(one.shape[1]):
+            differ = one[:, i][:, None] ^ other[:, i][None, :]
+            similar += np.bitwise_count((differ | differ >> np.uint64(1)) & np.uint64(EVEN_BITS))
+        similar = estimate(similar, plan.hashes)
+        fits = 100 * np.minimum(sizes, others) >= plan.percent * np.maximum(sizes, others)
+        i, j = np.nonzero(fits & (similar >= plan.lowest))
+        names, labels = odd["digest"].tolist(), odd["label"].tolist()
+        mates, mate_labels = rest["digest"].tolist(), rest["label"].tolist()
+        links = []
+        for at in np.argsort(-similar[i, j], kind="stable"):
+            x, y = i[at], j[at]
+            a, b = label(labels[x]), label(mate_labels[y])
+            if a != b and plan.enough(known(names[x]), known(mates[y])):
+                root[max(a, b)] = min(a, b)
+                links.append((names[x], mates[y]))
+        return pd.DataFrame(links, columns=["a", "b"])
+
+    return compare
+
+
+def _block_links(members: DataFrame, labels: DataFrame, texts: DataFrame, plan: _Plan) -> DataFrame:
+    """Links between members of buckets that still hold different labels, found block by block inside tasks.
+
+    Buckets with common members form a cluster. Its members outside the most frequent label are the odd ones; blocks
+    of odd members meet blocks of all members. Only links leave a task, at most one per label it joins.
+    """
+    label = labels.withColumnRenamed("node", "digest")
+    now = members.select("key", "digest").join(label, "digest", "left")
+    now = staged(now.select("key", "digest", F.coalesce("label", "digest").alias("label")), "members")
+    spread = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("digest").alias("first"), F.count("*").alias("n"))
+    undecided = staged(spread.where("lo != hi and n > 2").select("key", "first"), "undecided")
+    if undecided.isEmpty():
+        return undecided.select(F.col("first").alias("a"), F.col("first").alias("b"))
+    within = staged(now.join(undecided, "key"), "undecided")
+    nobody = labels.limit(0)
+    clusters = merge_labels(nobody, within.where("digest != first").select(F.col("digest").alias("a"), F.col("first").alias("b")).distinct())
+    placed = within.select("digest", "label").distinct().join(clusters.select(F.col("node").alias("digest"), F.col("label").alias("cluster")), "digest")
+    placed = staged(placed, "placed")
+    sizes = placed.groupBy("cluster", "label").agg(F.count("*").alias("n")).groupBy("cluster")
+    sizes = sizes.agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("most"))
+    sizes = staged(sizes.select("cluster", "all", F.expr("all - most.n").alias("odd"), F.expr("most.label").alias("main")), "clusters")
+    sized = placed.join(sizes, "cluster").withColumns(
+        {
+            "odd_blocks": F.ceil(F.col("odd") / BLOCK).cast("int"),
+            "all_blocks": F.ceil(F.col("all") / BLOCK).cast("int"),
+            "is_odd": F.col("label") != F.col("main"),
+        }
+    )
+    sized = sized.select("cluster", "digest", "label", "is_odd", "odd_blocks", "all_blocks").where("odd_blocks > 0")
+    facts = members.select("digest", "n_shingles", "signature").distinct()
+    sized = staged(sized.join(facts, "digest").join(texts.hint("merge"), "digest"), "sized")
+    place = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "digest"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["cluster", "digest", "label", "n_shingles", "signature", "text"]
+    odd = sized.where("is_odd").select(*columns, F.lit(True).alias("odd"), place("odd_blocks", 1).alias("row"), every("all_blocks").alias("column"))
+    rest = sized.select(*columns, F.lit(False).alias("odd"), every("odd_blocks").alias("row"), place("all_blocks", 2).alias("column"))
+    blocks = odd.union(rest).groupBy("cluster", "row", "column")
+    return staged(blocks.applyInPandas(_block_comparer(plan), "a binary, b binary"), "links")
 
 
 def near_duplicates(
@@ -216,24 +280,30 @@ def near_duplicates(
     with the smallest id of a group are kept. Other columns play no part. An empty table gives an empty table.
     """
     bands = bands_for(percent / 100, rows)
+    plan = _Plan(percent, max(HASHES, bands * rows), width)
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     shape = f"doc {kind}, n_shingles bigint, digest binary, signature array<bigint>, bands array<bigint>"
-    signed = staged(texts.mapInPandas(_signer(bands, rows, width), shape), "signed")
+    signed = staged(texts.mapInPandas(_signer(bands, rows, plan), shape), "signed")
 
     first = F.min(F.struct("doc", "n_shingles", "signature", "bands")).alias("first")
     reps = signed.where("doc is not null and digest is not null").groupBy("digest").agg(first)
     reps = staged(reps.select("digest", "first.*"), "representatives")
-    banded = reps.select(F.explode("bands").alias("key"), "digest")
+    banded = reps.select(F.explode("bands").alias("key"), "digest", "n_shingles", "signature")
     shared = staged(banded.groupBy("key").count().where("count > 1").select("key"), "shared")
     members = staged(banded.join(shared, "key"), "members")
 
-    wanted = reps.join(members.select("digest").distinct(), "digest").select("doc", "digest", "n_shingles")
+    wanted = reps.join(members.select("digest").distinct(), "digest", "left_semi").select("doc", "digest")
     wanted = staged(wanted, "wanted")
-    own = staged(texts.join(wanted, "doc"), "texts")
+    own = staged(texts.join(wanted.hint("merge"), "doc"), "texts")
     if own.select("doc").count() > wanted.count():  # ids repeat with other texts: keep the text of the digest
         own = own.mapInPandas(_right_texts(width), own.schema)
-    labels = _linked_labels(_Corpus(reps, own.select("digest", "text"), percent, bands, rows, width), members)
+    own = own.select("digest", "text")
+    labels = texts.sparkSession.createDataFrame([], "node binary, label binary")
+    for find in (lambda: _leader_links(members, own, plan), lambda: _block_links(members, labels, own, plan)):
+        links = find()
+        if not links.isEmpty():
+            labels = merge_labels(labels, links)
 
     labelled = reps.select("digest", "doc").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
     labelled = staged(labelled.select("digest", "doc", F.coalesce("label", "digest").alias("label")), "labelled")
