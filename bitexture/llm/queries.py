@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bitexture.llm.common import table
 from bitexture.llm.importance import importance_sample
+from bitexture.llm.license_scan import scan_licenses
 from bitexture.llm.line_dedup import dedupe_lines
 from bitexture.llm.minhash_dedup import near_duplicates
 from bitexture.llm.quality_rules import quality_verdicts
@@ -46,3 +47,8 @@ def op6_importance_sample(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_verdicts(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_licenses(table(spark, sf, "documents"))
