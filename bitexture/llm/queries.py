@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bitexture.llm.common import table
 from bitexture.llm.importance import importance_sample
 from bitexture.llm.license_scan import scan_licenses
 from bitexture.llm.line_dedup import dedupe_lines
 from bitexture.llm.minhash_dedup import near_duplicates
+from bitexture.llm.piece_sampling import decoded, sample_pieces
 from bitexture.llm.quality_rules import quality_verdicts
+from bitexture.llm.token_store import read_token_store, write_token_store
+from bitexture.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,3 +56,17 @@ def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan_licenses(table(spark, sf, "documents"))
+
+
+@query
+def op7_piece_sampling(spark: SparkSession, sf: str) -> DataFrame:
+    """A sampled segmentation of every document, and the text that decoding it gives back."""
+    sampled = sample_pieces(table(spark, sf, "documents"))
+    return sampled.select("doc_id", F.size("pieces").alias("n_pieces"), "pieces", decoded("pieces").alias("text"))
+
+
+@query
+def op3_token_store(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_dir(spark, "token-store")
+    write_token_store(table(spark, sf, "documents"), path)
+    return read_token_store(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
