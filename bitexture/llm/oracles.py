@@ -53,6 +53,23 @@ kept as (
 select doc_id, n_removed_lines, coalesce(text, '') as text from kept
 """
 
+ORACLES["op2_topk_products"] = """
+with vectors as (
+    select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as vector
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.vector, c.vector), lambda p: p[1] * p[2])) as bigint) as score
+    from vectors q join vectors c on c.vec_id <> q.vec_id and len(c.vector) = len(q.vector)
+    where q.vec_id % 20 = 0
+),
+ranked as (
+    select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
 
 def all_oracles() -> dict[str, str]:
     return dict(ORACLES)

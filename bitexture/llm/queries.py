@@ -15,6 +15,7 @@ from bitexture.llm.minhash_dedup import near_duplicates
 from bitexture.llm.piece_sampling import decoded, sample_pieces
 from bitexture.llm.quality_rules import quality_verdicts
 from bitexture.llm.token_store import read_token_store, write_token_store
+from bitexture.llm.topk_search import top_k_products, usable
 from bitexture.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +71,12 @@ def op3_token_store(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "token-store")
     write_token_store(table(spark, sf, "documents"), path)
     return read_token_store(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op2_topk_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors scaled to integers; every twentieth id is a query against all other rows."""
+    rows = table(spark, sf, "embeddings").where(usable(F.col("embedding")))
+    scaled = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")))
+    vectors = rows.select("vec_id", scaled.alias("vector"))
+    return top_k_products(vectors, vectors.where(F.col("vec_id") % 20 == 0))
