@@ -12,6 +12,7 @@ from bitexture.llm.importance import importance_sample
 from bitexture.llm.license_scan import scan_licenses
 from bitexture.llm.line_dedup import dedupe_lines
 from bitexture.llm.minhash_dedup import near_duplicates
+from bitexture.llm.mixing import standard_mix
 from bitexture.llm.piece_sampling import decoded, sample_pieces
 from bitexture.llm.quality_rules import quality_verdicts
 from bitexture.llm.token_store import read_token_store, write_token_store
@@ -80,3 +81,8 @@ def op2_topk_products(spark: SparkSession, sf: str) -> DataFrame:
     scaled = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")))
     vectors = rows.select("vec_id", scaled.alias("vector"))
     return top_k_products(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query
+def op9_mix_to_targets(spark: SparkSession, sf: str) -> DataFrame:
+    return standard_mix(table(spark, sf, "documents"), budget=0.5)
