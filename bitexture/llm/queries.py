@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitexture.llm.common import table
+from bitexture.llm.html_extract import extract_main_text
 from bitexture.llm.importance import importance_sample
 from bitexture.llm.license_scan import scan_licenses
 from bitexture.llm.line_dedup import dedupe_lines
@@ -86,3 +87,8 @@ def op2_topk_products(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_mix_to_targets(spark: SparkSession, sf: str) -> DataFrame:
     return standard_mix(table(spark, sf, "documents"), budget=0.5)
+
+
+@query
+def op4_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_main_text(table(spark, sf, "pages"), keep=("url",))
