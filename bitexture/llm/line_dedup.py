@@ -184,7 +184,7 @@ def dedupe_lines(
     counted, doc, version, cut = (fresh_name(docs, n) for n in ("n_removed_lines", "doc", "version", "gone"))
     gone = gone.select(F.col("doc").alias(doc), F.col("version").alias(version), F.col("gone").alias(cut))
     here = docs.withColumns({doc: F.col(id_col), version: F.xxhash64(text_col)})
-    joined = here.join(gone, [doc, version], "left")
+    joined = here.join(gone.hint("merge"), [doc, version], "left")  # the same plan at every size
     touched = F.when(F.col(cut).isNotNull(), F.col(text_col))
     text = F.when(F.col(cut).isNull(), F.col(text_col)).otherwise(without_lines(touched, F.col(cut)))
     columns = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
