@@ -25,8 +25,10 @@ from bitexture.functions.hashing import HASH_SPAN, seeded_hash
 from bitexture.llm.common import MULTIPLIER, id_sample, mixed, staged
 from bitexture.operators.selection import among_top, row_count
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 11  # few enough to be well filled by small corpora, so that documents outside the target score alike
 TARGET_DOCS = 20_000  # bound of the labelled sample
+HELD_OUT = 4  # one in so many of the labelled good documents sets the cut instead of fitting the target
+LOSS_WEIGHT = 10  # a share of good documents lost counts as much as ten times that share of bad ones passed
 SMOOTHING = 1.0
 SEED = 17
 SHAPE_SEED = 1
@@ -145,7 +147,7 @@ def trusted_and_rejected(labels: DataFrame, id_col: str, quality_col: str, at_mo
 
 
 def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
-    """The cut between scores of good and bad documents with the fewest errors; the middle of the widest such gap.
+    """The cut between scores of good and bad documents with the least weighted errors; the middle of the widest such gap.
 
     Without bad examples nothing lies below the cut, without good ones neither.
     """
@@ -154,8 +156,8 @@ def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
     scores = np.unique(np.concatenate((good, bad)))
     lost = np.searchsorted(np.sort(good), scores)  # good ones below a cut at each score
     passed = len(bad) - np.searchsorted(np.sort(bad), scores)
-    errors = lost / len(good) + passed / len(bad)
-    errors = np.append(errors, 1.0)  # a cut above all
+    errors = LOSS_WEIGHT * lost / len(good) + passed / len(bad)
+    errors = np.append(errors, LOSS_WEIGHT)  # a cut above all
     low = np.concatenate((scores[:1], scores))
     high = np.append(scores, scores[-1] + 1)
     best = np.flatnonzero(errors == errors.min())
@@ -178,7 +180,8 @@ def importance_sample(
     ``k`` documents are kept, or all if there are fewer. If it is not given, it is the number of documents whose log
     ratio lies above the cut that separates the labelled good from the labelled bad ones best.
     The target and the cut come from at most ``target_docs`` labelled documents of each kind, the raw model and the
-    selection from all documents.
+    selection from all documents. Good documents that set the cut take no part in the target, because documents the
+    target has seen score higher than equally good ones it has not.
 
     A missing text and one without tokens have a log ratio of 0. A missing id draws its Gumbel variable like any other
     value; rows that repeat an id share it. Ties go to the smaller id, and rows equal in both are kept or not together,
@@ -187,7 +190,8 @@ def importance_sample(
     """
     good, bad = trusted_and_rejected(labels, id_col, quality_col, target_docs)
     good, bad = staged(good, "trusted"), staged(bad, "rejected")
-    model = fit_ratio(docs, good, id_col, text_col)
+    held_out = (seeded_hash(id_col, seed) % HELD_OUT == 0) if k is None else F.lit(False)
+    model = fit_ratio(docs, good.where(~held_out), id_col, text_col)
     scored = docs.select(
         F.col(id_col).alias("doc"), model.of(F.col(text_col)).alias("log_ratio"), gumbel(id_col, seed).alias("noise")
     )
@@ -196,7 +200,7 @@ def importance_sample(
     if k is None:
         ratios = [
             scored.join(F.broadcast(ids.withColumnRenamed(id_col, "doc")), "doc").select("log_ratio").toPandas()
-            for ids in (good, bad)
+            for ids in (good.where(held_out), bad)
         ]
         cut = best_cut(*(r["log_ratio"].to_numpy() for r in ratios))
         k = row_count(scored.where(F.col("log_ratio") >= F.lit(cut)))

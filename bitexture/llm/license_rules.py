@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Rule:
-    priority: int  # smaller wins
+    priority: int  # of its phrasing; smaller wins, and of equal ones the longer match
     label: str
     keyword: str
     pattern: str
@@ -98,10 +98,10 @@ SENTENCES = [
 
 def signature_rules() -> list[Rule]:
     rules = []
-    for keyword, words, weight in PHRASINGS:
+    for rank, (keyword, words, weight) in enumerate(PHRASINGS):
         for label, names in FAMILIES.items():
             pattern = words.replace("{name}", f"(?:{names})")
-            rules.append(Rule(len(rules), label, keyword, pattern, weight))
+            rules.append(Rule(rank, label, keyword, pattern, weight))
     for label, keyword, words, weight in SENTENCES:
-        rules.append(Rule(len(rules), label, keyword, words, weight))
+        rules.append(Rule(len(PHRASINGS), label, keyword, words, weight))
     return rules

@@ -2,7 +2,8 @@
 
 One case-insensitive search for the rules' keywords gates the rows; most texts end there. A gated text becomes its words
 in lower case with one blank between them. Each rule whose keyword occurs gives the intervals of its matches. Intervals
-are swept from left to right, and one that lies inside an accepted interval of an earlier rule is suppressed.
+are swept from left to right, and one that lies inside an accepted interval of the same or an earlier priority is
+suppressed.
 """
 
 from __future__ import annotations
@@ -93,7 +94,7 @@ def _accepted(found: str) -> Column:
 
     def step(acc, d):
         still = F.filter(acc["open"], lambda o: o["end"] > d["start"])
-        inside = F.exists(acc["open"], lambda o: (o["end"] >= d["end"]) & (o["priority"] < d["priority"]))
+        inside = F.exists(acc["open"], lambda o: (o["end"] >= d["end"]) & (o["priority"] <= d["priority"]))
         one = F.array(d)
         return F.struct(
             F.when(inside, acc["kept"]).otherwise(F.concat(acc["kept"], one)).alias("kept"),
@@ -112,7 +113,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the interval of characters in the normalised text.
 
     A missing text counts as empty and finds nothing. Of rules that match one place the first wins; a match inside an
-    accepted match of an earlier rule is suppressed, one that overlaps it partly or encloses it stays. Base labels
+    accepted match of the same or an earlier priority is suppressed, one that overlaps it partly or encloses it stays. Base labels
     always stay. Rows are independent, so repeated rows, missing ids and other columns change nothing.
     """
     rules = signature_rules() if rules is None else rules
