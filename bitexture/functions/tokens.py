@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,21 +58,25 @@ def fixed_length_rows(df: DataFrame, ids: Column, length: int, pad_id: int, text
     )
 
 
+def file_content(spark: SparkSession, path: str) -> bytes:
+    """Bytes of one small file on any storage that Spark reads."""
+    return bytes(spark.read.format("binaryFile").load(path).select("content").first().content)
+
+
 def _encoder(
     spark: SparkSession, path: str, special: bool, take: Callable, result_type: str, max_length: int | None = None
 ):
-    """Arrow UDF over a tokenizer file, which Spark sends to every executor and each task loads once.
+    """Arrow UDF over a tokenizer file of some MB, which is broadcast as it is and which each task loads once.
 
     Padding or truncation set in the file is switched off; ``max_length`` truncates so that special tokens stay.
     """
-    spark.sparkContext.addFile(path)
-    name = path.rsplit("/", 1)[-1]
+    content = spark.sparkContext.broadcast(file_content(spark, path))
 
     @F.pandas_udf(result_type)
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(SparkFiles.get(name))
+        tokenizer = Tokenizer.from_buffer(content.value)
         tokenizer.no_padding()
         if max_length is None:
             tokenizer.no_truncation()

@@ -26,10 +26,11 @@ def clean_pairs(pairs: DataFrame, id_col: str = "pair_id") -> DataFrame:
 
 def numbered_calls(df: DataFrame, composer: PromptComposer, id_col: str) -> tuple[DataFrame, Column]:
     """The table and the column that numbers its prompts: a ``position`` column it has, or else its dense rank by
-    id for composers that go round robin, or the id itself."""
+    id for composers that go round robin, or the id itself. Rows of a stream have no rank: there the id numbers the
+    calls of every composer, so a wording does not depend on how the rows arrive."""
     if "position" in df.columns:
         return df, F.col("position")
-    if composer.sequential:
+    if composer.sequential and not df.isStreaming:
         return id_position(df, id_col, "_call"), F.col("_call")
     return df, F.col(id_col)
 
@@ -68,19 +69,21 @@ def curate_top(
     src_lang: str = "hr",
     trg_lang: str = "en",
     work_dir: str | None = None,
+    heap: int = DIRECT_TOP_K,
 ) -> DataFrame:
     """The ``size`` best pairs by the harmonic mean of both scores among those within the token budget.
 
-    A large ``size`` looks at the scores in several passes. ``work_dir`` takes the ids and scores of the fitting
-    pairs, so that tokens are counted in the first pass only.
+    More than ``heap`` pairs are selected in several passes over their scores. ``work_dir`` takes the ids and scores of
+    the fitting pairs, so that prompts are numbered and tokens counted once, whatever the size; the pairs are then
+    looked up by id.
     """
     scored = pairs.dropna(subset=["src_text", "trg_text"]).withColumn("sort_score", harmonic_mean(*map(F.col, scores)))
     fitting = within_budget(scored, composer, counter, max_tokens, src_lang, trg_lang)
-    if work_dir is None or size <= DIRECT_TOP_K:
-        return top_k(fitting, "sort_score", "pair_id", size)
+    if work_dir is None or size <= heap:
+        return top_k(fitting, "sort_score", "pair_id", size, heap)
     ranking = written(fitting.select("pair_id", "sort_score"), work_dir)
-    best = scored.where(among_top(ranking, "sort_score", "pair_id", size))
-    return within_budget(best, composer, counter, max_tokens, src_lang, trg_lang)
+    best = ranking.where(among_top(ranking, "sort_score", "pair_id", size)).select("pair_id")
+    return scored.join(best, "pair_id", "left_semi")
 
 
 def top_by_score(pairs: DataFrame, score: str = "bicleaner_ai_score", top_n: int = 1000) -> DataFrame:

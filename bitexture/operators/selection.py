@@ -31,10 +31,18 @@ def row_count(df: DataFrame) -> int:
 
 
 def bucket_of(value: Column, low: float, high: float, buckets: int) -> Column:
-    """Equal-width bucket of a value in [low, high]; the last bucket is closed."""
+    """Equal-width bucket of a value in [low, high], both finite; the last bucket is closed.
+
+    Integers are compared before they become floating-point numbers, and other values at half their size, so that
+    neither ids beyond 2^53 nor a range beyond the largest number end up in one bucket.
+    """
     if high <= low:
         return F.lit(0)
-    position = F.floor((value.cast("double") - F.lit(float(low))) / F.lit(float(high) - float(low)) * buckets)
+    if isinstance(low, int) and isinstance(high, int):
+        share = (value - F.lit(low)).cast("double") / F.lit(float(high - low))
+    else:
+        share = (value.cast("double") / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)
+    position = F.floor(share * buckets)
     return F.greatest(F.least(position, F.lit(buckets - 1)), F.lit(0)).cast("int")
 
 
@@ -77,20 +85,51 @@ def _running(counts: DataFrame, key: str, descending: bool) -> DataFrame:
     return counts.withColumn("before", F.sum("n").over(upto) - F.col("n"))
 
 
+def present(value: Column | str) -> Column:
+    """Whether a number is there: neither NULL nor NaN."""
+    value = F.col(value) if isinstance(value, str) else value
+    return value.isNotNull() & ~F.isnan(value)
+
+
+def _parts(values: DataFrame, ranks: list[int], descending: bool) -> list[_Range]:
+    """The ranges to start from: the finite values, and each infinity as a range of its own."""
+    infinity = float("inf")
+    value = F.col("value")
+    finite = F.abs(value.cast("double")) < infinity
+    row = one_row(
+        values.agg(
+            F.min(F.when(finite, value)).alias("low"),
+            F.max(F.when(finite, value)).alias("high"),
+            F.count_if(finite).alias("n"),
+            F.count_if(value == F.lit(-infinity)).alias("lowest"),
+            F.count_if(value == F.lit(infinity)).alias("highest"),
+        )
+    )
+    ends = [(-infinity, -infinity, row.lowest), (row.low, row.high, row.n), (infinity, infinity, row.highest)]
+    parts, before = [], 0
+    for low, high, n in reversed(ends) if descending else ends:
+        inside = tuple(sorted({r for r in ranks if before < r <= before + n}))
+        if inside:
+            parts.append(_Range(low, high, before, n, inside))
+        before += n
+    return parts
+
+
 def values_at(
     values: DataFrame, ranks: list[int], *, descending: bool = False, extent: tuple | None = None
 ) -> list[ValueAtRank | None]:
-    """What stands at the 1-based ``ranks`` of a one-column table free of NULL and NaN; None beyond its ends.
+    """What stands at the 1-based ``ranks`` of a one-column table; NULL and NaN do not count; None beyond its ends.
 
-    ``extent`` is ``(low, high, n)`` where it is known already.
+    ``extent`` is ``(low, high, n)``, both finite, where it is known already.
     """
     (name,) = values.columns
-    values = values.select(F.col(name).alias("value"))
+    values = values.select(F.col(name).alias("value")).where(present("value"))
     if extent is None:
-        extent = one_row(values.agg(F.min("value"), F.max("value"), F.count("*")))
-    low, high, n = extent
-    wanted = tuple(sorted({r for r in ranks if 0 < r <= n}))
-    pending = [_Range(low, high, 0, n, wanted)] if wanted else []
+        pending = _parts(values, ranks, descending)
+    else:
+        low, high, n = extent
+        wanted = tuple(sorted({r for r in ranks if 0 < r <= n}))
+        pending = [_Range(low, high, 0, n, wanted)] if wanted else []
     found: dict[int, ValueAtRank] = {}
     while pending:
         part = pending.pop()
@@ -110,14 +149,17 @@ def values_at(
             )
             counts = _running(buckets, "bucket", descending)
             holding = counts.where(_covers_any(part.ranks, part.before)).collect()  # at most len(ranks) rows
-            pending += [part.narrowed(row) for row in holding]
+            narrowed = [part.narrowed(row) for row in holding]
+            if any(x.n == part.n and (x.low, x.high) == (part.low, part.high) for x in narrowed):
+                raise RuntimeError(f"values between {part.low} and {part.high} cannot be told apart")
+            pending += narrowed
     return [found.get(r) for r in ranks]
 
 
 def first_k(df: DataFrame, value: str, id_col: str, k: int, *, descending: bool = True) -> Column:
     """True for the first ``k`` rows by ``value``, ties in order of the unique numeric ``id_col``.
 
-    With fewer than ``k`` rows every row qualifies. ``value`` must not hold NULL or NaN.
+    With fewer than ``k`` rows every row qualifies. Rows without a number must be filtered out.
     """
     (cut,) = values_at(df.select(value), [k], descending=descending)
     if cut is None:
@@ -130,27 +172,27 @@ def first_k(df: DataFrame, value: str, id_col: str, k: int, *, descending: bool
     return ahead | (level & (F.col(id_col) <= last.value))
 
 
-def top_k(df: DataFrame, score: str, id_col: str, k: int) -> DataFrame:
-    """The ``k`` rows with the highest score, ties by id, NULL scores last.
+def top_k(df: DataFrame, score: str, id_col: str, k: int, heap: int = DIRECT_TOP_K) -> DataFrame:
+    """The ``k`` rows with the highest score, ties by id, NULL and NaN scores last.
 
-    A small ``k`` is one bounded heap per task. A large one would send ``k`` rows of every task to a single
-    reducer, so it becomes a filter at the exact cut instead.
+    Up to ``heap`` rows are one bounded heap per task. More would send ``k`` rows of every task to a single
+    reducer, so they become a filter at the exact cut instead. Both ways give the same rows.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    if k <= DIRECT_TOP_K:
-        return df.orderBy(F.desc_nulls_last(score), F.asc(id_col)).limit(k)
+    if k <= heap:
+        return df.orderBy(F.when(present(score), F.col(score)).desc_nulls_last(), F.asc(id_col)).limit(k)
     return df.where(among_top(df.select(score, id_col), score, id_col, k))
 
 
 def among_top(ranking: DataFrame, score: str, id_col: str, k: int) -> Column:
-    """True for the ``k`` best rows of ``ranking``, NULL scores last; usable on any table with both columns."""
-    present = ranking.where(F.col(score).isNotNull())
-    n = row_count(present)
+    """True for the ``k`` best rows of ``ranking``, NULL and NaN scores last; usable on any table with both columns."""
+    there = ranking.where(present(score))
+    n = row_count(there)
     if n >= k:
-        return F.col(score).isNotNull() & first_k(present, score, id_col, k)
-    (last,) = values_at(ranking.where(F.col(score).isNull()).select(id_col), [k - n])
-    return F.lit(True) if last is None else F.col(score).isNotNull() | (F.col(id_col) <= last.value)
+        return present(score) & first_k(there, score, id_col, k)
+    (last,) = values_at(ranking.where(~present(score)).select(id_col), [k - n])
+    return F.lit(True) if last is None else present(score) | (F.col(id_col) <= last.value)
 
 
 def shuffle_cut(df: DataFrame, id_col: str, seed: int, cuts: list[int], n: int) -> list[Column]:

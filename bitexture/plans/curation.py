@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,11 +32,14 @@ def build_pairs_and_texts(
 ) -> tuple[DataFrame, DataFrame]:
     """Curate, split and write the pairs; expand train and validation into shuffled instruction texts.
 
-    The curated pairs are written once before they are split, so scoring and token counting run once.
+    The curated pairs are written once before they are split, so scoring and token counting run once. Their folder is
+    named after all parameters: a job that died goes on from there, one with other parameters curates anew, and
+    splits and texts are replaced. Corpora with other contents need an ``out_dir`` of their own.
     """
+    facts = (composer, getattr(counter, "__qualname__", counter), src_lang, trg_lang, size, max_tokens)
     curated = build_if_missing(
         spark,
-        f"{out_dir}/curated",
+        f"{out_dir}/curated-{hashlib.sha256(repr(facts).encode()).hexdigest()[:16]}",
         lambda: curate_top(
             pairs,
             composer,
@@ -46,10 +51,10 @@ def build_pairs_and_texts(
             work_dir=scratch_dir(spark, "scores"),
         ),
     )
-    save_splits(split_three_way(curated, "pair_id", *ratios), f"{out_dir}/pairs")
+    save_splits(split_three_way(curated, "pair_id", *ratios), f"{out_dir}/pairs", "overwrite")
     split_pairs = load_dataset(spark, f"{out_dir}/pairs")
     texts = training_texts(split_pairs, composer, src_lang, trg_lang)
-    save_splits(seeded_shuffle_texts(texts, text_seed), f"{out_dir}/texts")
+    save_splits(seeded_shuffle_texts(texts, text_seed), f"{out_dir}/texts", "overwrite")
     return split_pairs, load_dataset(spark, f"{out_dir}/texts")
 
 

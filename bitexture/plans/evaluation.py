@@ -16,7 +16,7 @@ from bitexture.operators.generate import Generator, cut_prompt, generate
 from bitexture.operators.metrics import evaluate
 from bitexture.operators.splits import limit_examples
 from bitexture.sources.registry import DatasetRegistry
-from bitexture.sources.store import RUN_KEYS, read_predictions, save_predictions, save_scores
+from bitexture.sources.store import RUN_KEYS, read_predictions, read_scores, save_predictions, save_scores
 
 
 @dataclass
@@ -74,10 +74,11 @@ def run_evaluation(
     out_dir: str,
     run: str,
 ) -> DataFrame:
-    """Predictions are written before they are scored, so generation runs once. Returns the scores."""
+    """Predictions and scores are written before they are read, so both are computed once. Returns the saved scores; a run
+    that is repeated replaces its earlier results."""
     examples = load_examples(spark, registry, job)
     save_predictions(predict(examples, make_generator), f"{out_dir}/predictions", job.experiment, run)
     saved = read_predictions(spark, f"{out_dir}/predictions", job.experiment, run)
     scores = evaluate(saved, job.metrics, RUN_KEYS, job.unit)
     save_scores(scores, f"{out_dir}/scores")
-    return scores
+    return read_scores(spark, f"{out_dir}/scores").where((F.col("experiment") == job.experiment) & (F.col("run_id") == run))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bitexture.functions.tokens import codepoint_ids, file_token_ids, fixed_length_rows, loss_labels
+from bitexture.functions.tokens import codepoint_ids, file_content, file_token_ids, fixed_length_rows, loss_labels
 from bitexture.sources.store import cache_label, token_cache
 
 
@@ -38,6 +38,7 @@ def prepare_split(
         ids = token_ids(spark, F.col("text"), max_length, tokenizer_file, special)
         return fixed_length_rows(text_only, ids, max_length, pad_id)
 
-    label = cache_label(model, dataset, split, max_length, tokenizer_file) if cache_dir else None
+    content = file_content(spark, tokenizer_file) if cache_dir and tokenizer_file else None
+    label = cache_label(model, dataset, split, max_length, content, pad_id, special) if cache_dir else None
     rows = token_cache(spark, cache_dir or "", label, tokenize)
     return rows.withColumn("labels", loss_labels(F.col("input_ids"), pad_id))

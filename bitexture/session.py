@@ -38,5 +38,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = _local_scratch.setdefault(context.applicationId, tempfile.mkdtemp(prefix="bitexture-"))
+        if context.applicationId not in _local_scratch:
+            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="bitexture-")
+        base = _local_scratch[context.applicationId]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -13,28 +13,23 @@ from bitexture.sources.store import written
 
 BROADCAST_BLOCKS = 200_000
 
-PAIR_SCHEMA = T.StructType(
-    [
-        T.StructField("pair_id", T.LongType()),
-        T.StructField("src_text", T.StringType()),
-        T.StructField("trg_text", T.StringType()),
-        T.StructField("bicleaner_ai_score", T.DoubleType()),
-        T.StructField("bleualign_score", T.DoubleType()),
-    ]
-)
-
-
-def read_pairs_tsv(spark: SparkSession, path: str, schema: T.StructType = PAIR_SCHEMA) -> DataFrame:
-    """Tab-separated pairs with a header row. Quoting is off: every character between tabs is text."""
-    return (
-        spark.read.schema(schema)
-        .option("sep", "\t")
-        .option("header", True)
-        .option("quote", "")
-        .option("escape", "")
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+SCORE_COLUMNS = ("bicleaner_ai_score", "bleualign_score")
+
+
+def read_pairs_tsv(spark: SparkSession, path: str, scores: tuple[str, ...] = SCORE_COLUMNS) -> DataFrame:
+    """Tab-separated pairs with a header row. Quoting is off: every character between tabs is text.
+
+    Columns go by the names in the header, in any order: scores become numbers, all others stay text. A file
+    without ``pair_id`` gets one that is unique within the read and grows with file and line; write the pairs
+    before two passes rely on it.
+    """
+    tabs = spark.read.option("sep", "\t").option("header", True).option("quote", "").option("escape", "")
+    names = tabs.csv(path).columns  # reads one line
+    schema = T.StructType([T.StructField(n, T.DoubleType() if n in scores else T.StringType()) for n in names])
+    pairs = tabs.schema(schema).option("enforceSchema", False).csv(path)
+    if "pair_id" in names:
+        return pairs.withColumn("pair_id", F.col("pair_id").cast("long"))
+    return pairs.select(F.monotonically_increasing_id().alias("pair_id"), "*")
 
 
 def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -74,9 +69,9 @@ def read_line_sources(spark: SparkSession, paths: dict[str, str], work_dir: str)
 
 
 def text_column(
-    df: DataFrame, column: str, id_col: str, subsample: int | None = 5000, seed: int = 5439
+    df: DataFrame, column: str, id_col: str, subsample: int | None = None, seed: int = 5439
 ) -> DataFrame:
-    """One column, stripped and renamed to ``text``, of a seeded subsample."""
+    """One column, stripped and renamed to ``text``; of a seeded sample of ``subsample`` rows if that is given."""
     narrow = df.select(id_col, F.col(column).alias("text"))
     return seeded_subsample(narrow, id_col, subsample, seed).withColumn("text", strip(F.col("text")))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime
 from pathlib import PurePosixPath
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 RUN_KEYS = ["experiment", "run_id", "dataset"]
@@ -63,14 +66,18 @@ def align_predictions(examples: DataFrame, predictions: DataFrame) -> DataFrame:
     return examples.join(predictions.select("dataset", "example_id", "predictions"), ["dataset", "example_id"])
 
 
-def save_predictions(predictions: DataFrame, path: str, experiment: str, run: str, mode: str = "append") -> None:
-    (
+def _replacing(df: DataFrame, keys: list[str]) -> DataFrameWriter:
+    """A writer that replaces the folders of the keys in ``df`` and leaves all others."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
+
+
+def save_predictions(predictions: DataFrame, path: str, experiment: str, run: str) -> None:
+    """Predictions of one run; saving a run again replaces what it had for the same datasets."""
+    named = (
         predictions.select("dataset", "example_id", *PREDICTION_COLUMNS)
         .withColumns({"experiment": F.lit(experiment), "run_id": F.lit(run)})
-        .write.mode(mode)
-        .partitionBy(*RUN_KEYS)
-        .parquet(path)
     )
+    _replacing(named, RUN_KEYS).parquet(path)
 
 
 def read_predictions(
@@ -109,8 +116,9 @@ def score_documents(scores: DataFrame) -> DataFrame:
     return scores.groupBy(*RUN_KEYS).agg(F.map_from_entries(entries).alias("scores"))
 
 
-def save_scores(scores: DataFrame, path: str, mode: str = "append") -> None:
-    score_documents(scores).write.mode(mode).partitionBy(*RUN_KEYS).json(path)
+def save_scores(scores: DataFrame, path: str) -> None:
+    """One document per run and dataset; saving a run again replaces its document."""
+    _replacing(score_documents(scores), RUN_KEYS).json(path)
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
@@ -119,16 +127,42 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
     return documents.select(*RUN_KEYS, F.explode("scores").alias("metric", "score"))
 
 
-def cache_label(model: str, dataset: str, split: str, max_length: int, tokenizer: str | None = None) -> str:
-    """Folder name of cached token rows: everything that makes them other rows, length and tokenizer included."""
+def cache_label(
+    model: str,
+    dataset: str,
+    split: str,
+    max_length: int,
+    tokenizer: bytes | None = None,
+    pad_id: int = 0,
+    special: bool = True,
+) -> str:
+    """Folder name of cached token rows: everything that makes them other rows.
+
+    A tokenizer file counts by its content, ``tokenizer``, and dataset and model by their whole names.
+    """
     names = [PurePosixPath(part).name for part in (model, dataset)]
-    return "_".join(["tokenized", *names, split, str(max_length), PurePosixPath(tokenizer or "codepoints").name])
+    identity = "codepoints" if tokenizer is None else hashlib.sha256(tokenizer).hexdigest()
+    facts = "|".join([model, dataset, split, str(max_length), identity, str(pad_id), str(special)])
+    return "_".join(["tokenized", *names, split, str(max_length), hashlib.sha256(facts.encode()).hexdigest()[:16]])
+
+
+def _readable(spark: SparkSession, path: str) -> bool:
+    """Whether a complete dataset can be opened; counting reads every file's footer."""
+    if not is_complete(spark, path):
+        return False
+    try:
+        spark.read.parquet(path).count()
+        return True
+    except (PySparkException, Py4JJavaError):
+        return False
 
 
 def token_cache(spark: SparkSession, folder: str, label: str | None, tokenize: Callable[[], DataFrame]) -> DataFrame:
-    """Cached token rows (ids and mask only), tokenized and saved when there are none; no label, no cache."""
+    """Cached token rows (ids and mask only), tokenized and saved when there are none or they cannot be read; no
+    label, no cache."""
     if not label:
         return tokenize()
-    return build_if_missing(
-        spark, f"{folder}/{label}", lambda: tokenize().drop("labels")
-    )
+    path = f"{folder}/{label}"
+    if not _readable(spark, path):
+        tokenize().drop("labels").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

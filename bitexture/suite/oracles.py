@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bitexture.functions.wrappers import DEFAULT_SYSTEM_PROMPT
 from bitexture.suite.fixtures import SQL, sql_hash, with_fixtures
-from bitexture.suite.queries import MAX_TOKENS, ROW_LENGTH, TOP
+from bitexture.suite.queries import CUT, MAX_TOKENS, ROW_LENGTH, TOP
 
 SPACE = (
     r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -119,8 +119,12 @@ PLAIN_FR = {
     ],
 }
 GRID_FR = {
-    "en": [("De l'anglais en français.\n", "\n\n"), ("français voulu.\n", "\n")],
-    "fr": [("De le français en anglais.\n", "\n\n"), ("anglais voulu.\n", "\n")],
+    "en": [("anglais -> français.\n", "\n\n"), ("français voulu.\n", "\n")],
+    "fr": [("français -> anglais.\n", "\n\n"), ("anglais voulu.\n", "\n")],
+}
+GRID_EN = {
+    "en": [("From English to French.\n", "\n\n"), ("French wanted.\n", "\n")],
+    "fr": [("From French to English.\n", "\n\n"), ("English wanted.\n", "\n")],
 }
 
 
@@ -286,6 +290,11 @@ def all_oracles() -> dict[str, str]:
     return {
         "curate_topk": f"{PAIRS}, {curated(TOP)} select pair_id, src_text, trg_text, round(hm, 6) as sort_score from curated",
         "curate_large": f"{PAIRS}, {curated(100_000)} select pair_id, round(hm, 6) as sort_score from curated",
+        "curate_cut": f"""{PAIRS}, fitting as (
+              select pair_id from ({expanded(PLAIN_EN, ROUND_ROBIN)}) group by 1 having max(strlen(text)) <= 1200)
+            select pair_id, round(hm, 6) as sort_score from (
+              select pair_id, {harmonic()} as hm from pairs join fitting using (pair_id))
+            order by hm desc nulls last, pair_id limit {CUT}""",
         "token_budget": f"""{PAIRS} select pair_id, src_text, trg_text from pairs
             where greatest(strlen({FWD}), strlen({BWD})) <= 1200""",
         "token_budget_plugin": f"""{PAIRS} select pair_id, src_text, trg_text from pairs
@@ -332,8 +341,8 @@ def all_oracles() -> dict[str, str]:
         "stratified_resplit": f"""{LABELLED}, r as (
               select doc_id, label, count(*) over (partition by label) as total,
                 row_number() over (partition by label order by {sql_hash('doc_id', 42)}, doc_id) as rn
-              from labelled where label is not null)
-            select doc_id, label, case when total < 2 or rn <= floor(total::double * 0.7::double) then 'train'
+              from labelled)
+            select doc_id, coalesce(label::varchar, 'none') as label, case when total < 2 or rn <= floor(total::double * 0.7::double) then 'train'
               when rn <= floor(total::double * 0.7::double) + floor(total::double * 0.15::double) then 'test'
               else 'validation' end as split from r""",
         "class_distribution": f"""{LABELLED} select split, label, n, round(n::double / sum(n) over (partition by split), 6)
@@ -369,7 +378,8 @@ def all_oracles() -> dict[str, str]:
             templated("<start_of_turn>user\n", "src_text", "<end_of_turn>\n<start_of_turn>model\n", "trg_text", "<end_of_turn>"),
             templated("<start_of_turn>user\n", "src_text", "<end_of_turn>\n<start_of_turn>model\n", "''"),
         ),
-        "template_grid_prompts": expanded(GRID_FR, ROUND_ROBIN),
+        "template_grid_prompts": f"""select *, 'fr' as written_in from ({expanded(GRID_FR, ROUND_ROBIN)})
+            union all select *, 'en' as written_in from ({expanded(GRID_EN, ROUND_ROBIN)})""",
         "bidirectional_expand": f"""{PAIRS} select pair_id, 'fwd' as direction, {FWD} as text from pairs
             union all select pair_id, 'bwd' as direction, {BWD} as text from pairs""",
         "training_texts": f"""{PAIRS}, {three_way('pairs', 'pair_id')}
@@ -383,7 +393,7 @@ def all_oracles() -> dict[str, str]:
             from (select source, unnest(string_split_regex(text, '\r\n|\r|\n')) as line from corpus) group by 1, 2""",
         "text_lines": rf"""{CORPUS} select line as text, count(*) as n
             from (select unnest(string_split_regex(text, '\r\n|\r|\n')) as line from corpus) group by 1""",
-        "tsv_roundtrip": rf"""{PAIRS} select pair_id,
+        "tsv_roundtrip": rf"""{PAIRS} select 'http://x/' || pair_id as src_url, 1::bigint as rows_with_id,
               '"NA" ' || regexp_replace(src_text, '[\r\n\t]', ' ', 'g') as src_text,
               '"NA" ' || regexp_replace(trg_text, '[\r\n\t]', ' ', 'g') as trg_text,
               bicleaner_ai_score, bleualign_score from pairs""",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +81,26 @@ def curate_large(spark, sf):
     return _curated(spark, sf, 100_000).select("pair_id", F.round("sort_score", 6).alias("sort_score"))
 
 
+CUT = 150
+
+
+@query
+def curate_cut(spark, sf):
+    """A cut beyond the heap that leaves pairs out, with prompts numbered round robin and missing scores."""
+    best = curate.curate_top(
+        fx.pairs(spark, sf),
+        catalog.template_prompt(spark, "plain"),
+        txt.count_bytes,
+        max_tokens=1200,
+        size=CUT,
+        src_lang=SRC,
+        trg_lang=TRG,
+        work_dir=scratch_dir(spark, "scores"),
+        heap=10,
+    )
+    return best.select("pair_id", F.round("sort_score", 6).alias("sort_score"))
+
+
 @query
 def token_budget(spark, sf):
     fitting = curate.within_budget(fx.pairs(spark, sf), FIXED, txt.count_bytes, 1200, SRC, TRG)
@@ -190,10 +211,12 @@ def split_counts(spark, sf):
 
 @query
 def stratified_resplit(spark, sf):
-    data = fx.labelled(spark, sf).where(F.col("label").isNotNull())
+    """Rows without a label are a stratum of their own."""
+    data = fx.labelled(spark, sf)
     by_split = {name: data.where(F.col("split") == name) for name in ("train", "test", "validation")}
     merged = splits.concat_splits({name: part.drop("split") for name, part in by_split.items()})
-    return splits.resplit_stratified(merged, "doc_id").select("doc_id", "label", "split")
+    resplit = splits.resplit_stratified(merged, "doc_id")
+    return resplit.select("doc_id", F.coalesce(F.col("label").cast("string"), F.lit("none")).alias("label"), "split")
 
 
 @query
@@ -304,15 +327,18 @@ GRID_NAMES = {
 }
 GRID_WORDINGS = {
     "en": ["From {source:from} to {target:plain}.\n{input}\n\n{output}", "{target:plain} wanted.\n{input}\n{output}"],
-    "fr": ["De {source:from} en {target:plain}.\n{input}\n\n{output}", "{target:plain} voulu.\n{input}\n{output}"],
+    "fr": ["{source:plain} -> {target:plain}.\n{input}\n\n{output}", "{target:plain} voulu.\n{input}\n{output}"],
 }
 
 
 @query
 def template_grid_prompts(spark, sf):
     grid = template_grid(GRID_NAMES, GRID_WORDINGS)
-    composer = TemplatePrompt(catalog.parse_wordings(grid["fr"]))
-    return _expanded(spark, sf, composer)
+    rendered = [
+        _expanded(spark, sf, TemplatePrompt(catalog.parse_wordings(wordings))).withColumn("written_in", F.lit(language))
+        for language, wordings in grid.items()
+    ]
+    return reduce(DataFrame.unionByName, rendered)
 
 
 @query
@@ -368,10 +394,15 @@ def _flat_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def tsv_roundtrip(spark, sf):
+    """A file without ids, with its columns in another order and one that only passes through."""
     out = scratch_dir(spark, "tsv")
-    writer = _flat_pairs(spark, sf).write.option("sep", "\t").option("header", True)
+    address = F.concat(F.lit("http://x/"), F.col("pair_id").cast("string")).alias("src_url")
+    flat = _flat_pairs(spark, sf).select(address, "bleualign_score", "trg_text", "src_text", "bicleaner_ai_score")
+    writer = flat.write.option("sep", "\t").option("header", True)
     writer.option("quote", "\u0000").option("escapeQuotes", False).option("emptyValue", "").csv(out)
-    return readers.read_pairs_tsv(spark, out)
+    pairs = readers.read_pairs_tsv(spark, out)
+    same_id = F.count("*").over(Window.partitionBy("pair_id"))
+    return pairs.withColumn("rows_with_id", same_id).drop("pair_id")
 
 
 def _registered(spark: SparkSession, sf: str) -> DatasetRegistry:

@@ -161,3 +161,25 @@ def test_counts_and_classes(spark):
 def test_concat_splits(spark):
     merged = splits.concat_splits({"x": spark.range(2), "y": spark.range(3)})
     assert {r.split: r["count"] for r in merged.groupBy("split").count().collect()} == {"x": 2, "y": 3}
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_infinite_and_missing_values_beyond_the_direct_bound(spark, monkeypatch, descending):
+    monkeypatch.setattr(selection, "DIRECT_ROWS", 5)
+    inf, nan = float("inf"), float("nan")
+    numbers = [float(i) for i in range(40)] + [inf, inf, -inf, 1e308, -1e308]
+    df = spark.createDataFrame([(x,) for x in numbers + [nan, None]], "v double")
+    ordered = sorted(numbers, reverse=descending)
+    ranks = [1, 2, 3, 20, 44, 45, 46]
+    got = selection.values_at(df, ranks, descending=descending)
+    assert [g and g.value for g in got] == [ordered[r - 1] if r <= 45 else None for r in ranks]
+
+
+def test_top_k_is_the_same_by_heap_and_by_cut(spark):
+    nan, inf = float("nan"), float("inf")
+    scores = [1.0, nan, None, 3.0, 3.0, inf, -inf, nan, 2.0, 3.0, None]
+    df = spark.createDataFrame(list(enumerate(scores)), "id int, s double")
+    for k in range(1, 13):
+        one, other = ([r.id for r in selection.top_k(df, "s", "id", k, heap).collect()] for heap in (1000, 0))
+        assert sorted(one) == sorted(other) and len(one) == min(k, 11)
+    assert one[:8] == [5, 3, 4, 9, 8, 0, 6, 1]

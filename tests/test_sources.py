@@ -19,6 +19,7 @@ from bitexture.sources.registry import DatasetRegistry
 from bitexture.streaming import monitor
 from bitexture.streaming import prompts as prompt_stream
 
+PAIRS = "pair_id long, src_text string, trg_text string, bicleaner_ai_score double, bleualign_score double"
 PROMPT = FixedPrompt("hr", "en", "CROATIAN", "ENGLISH", "GO:")
 
 
@@ -155,6 +156,10 @@ def test_predictions_and_scores(spark, tmp_path):
     documents = spark.read.text(str(tmp_path / "s")).collect()
     assert [r.value for r in documents] == ['{"scores":{"bleu":1.0,"nist":2.0}}']
     assert store.read_scores(spark, str(tmp_path / "s")).count() == 2
+    store.save_scores(scores, str(tmp_path / "s"))
+    store.save_predictions(aligned.withColumn("example_id", F.col("example_id").cast("long")), out, "exp", run)
+    assert store.read_scores(spark, str(tmp_path / "s")).count() == 2
+    assert store.read_predictions(spark, out, "exp", run).count() == 2
 
 
 def test_token_cache(spark, tmp_path):
@@ -162,11 +167,17 @@ def test_token_cache(spark, tmp_path):
     options = dict(model="org/m", dataset="/x/d", split="train", max_length=3)
     first = prepare_split(spark, texts, str(tmp_path), **options)
     assert sorted(r.labels for r in first.collect()) == [[97, 98, -100], [99, -100, -100]]
-    cached = spark.read.parquet(str(tmp_path / "tokenized_m_d_train_3_codepoints"))
+    (folder,) = tmp_path.glob("tokenized_m_d_train_3_*")
+    cached = spark.read.parquet(str(folder))
     assert cached.columns == ["input_ids", "attention_mask"]
     again = prepare_split(spark, texts.limit(0), str(tmp_path), **options)
     assert again.count() == 2
     assert prepare_split(spark, texts.limit(1), None, **options).count() == 1
+    padded = prepare_split(spark, texts, str(tmp_path), **options, pad_id=9)
+    assert sorted(r.input_ids for r in padded.collect()) == [[97, 98, 9], [99, 9, 9]]
+    for part in folder.glob("part-*"):
+        part.write_bytes(b"broken")
+    assert prepare_split(spark, texts, str(tmp_path), **options).count() == 2
 
 
 def test_tokenizer_file(spark, tmp_path):
@@ -186,14 +197,15 @@ def test_tokenizer_file(spark, tmp_path):
     options = dict(model="m", dataset="d", split="s", max_length=4, pad_id=0, tokenizer_file=path)
     rows = prepare_split(spark, texts.limit(1), str(tmp_path), **options).collect()
     assert [(r.input_ids, r.attention_mask, r.labels) for r in rows] == [([1, 3, 4, 2], [1] * 4, [1, 3, 4, 2])]
-    assert store.is_complete(spark, str(tmp_path / "tokenized_m_d_s_4_words.json"))
+    (folder,) = tmp_path.glob("tokenized_m_d_s_4_*")
+    assert store.is_complete(spark, str(folder))
     short = prepare_split(spark, texts.limit(2).where("text = ''"), None, **options).first()
     assert (short.input_ids, short.attention_mask, short.labels) == ([1, 2, 0, 0], [1, 1, 0, 0], [1, 2, -100, -100])
 
 
 def test_curation_job(spark, tmp_path):
     pairs = spark.createDataFrame(
-        [(i, f"s{i}", f"t{i}", 0.5, i / 50) for i in range(1, 41)], readers.PAIR_SCHEMA
+        [(i, f"s{i}", f"t{i}", 0.5, i / 50) for i in range(1, 41)], PAIRS
     )
     options = dict(src_lang="hr", trg_lang="en", size=20, max_tokens=9)
     split_pairs, texts = curation.build_pairs_and_texts(spark, pairs, str(tmp_path / "o"), PROMPT, count_words, **options)
