@@ -289,9 +289,10 @@ def near_duplicates(
     first = F.min(F.struct("doc", "n_shingles", "signature", "bands")).alias("first")
     reps = signed.where("doc is not null and digest is not null").groupBy("digest").agg(first)
     reps = staged(reps.select("digest", "first.*"), "representatives")
-    banded = reps.select(F.explode("bands").alias("key"), "digest", "n_shingles", "signature")
+    banded = reps.select(F.explode("bands").alias("key"), "digest")
     shared = staged(banded.groupBy("key").count().where("count > 1").select("key"), "shared")
-    members = staged(banded.join(shared, "key"), "members")
+    members = staged(banded.join(shared, "key"), "members")  # most keys occur once: signatures follow only now
+    members = staged(members.join(reps.select("digest", "n_shingles", "signature"), "digest"), "members")
 
     wanted = reps.join(members.select("digest").distinct(), "digest", "left_semi").select("doc", "digest")
     wanted = staged(wanted, "wanted")
