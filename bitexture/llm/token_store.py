@@ -2,7 +2,8 @@
 
 A store is a folder of three parquet tables, so that any file system Spark writes to can hold it:
 
-``shards``      ``shard``, ``dictionary_hash``, ``frames``: the frames of consecutive documents, one after another
+``shards``      ``shard``, ``dictionary_hash``, ``frames``: the frames of consecutive documents, one after another; beside
+                them the documents' ids, lengths and token counts, so that a scan needs no index
 ``index``       ``doc_id``, ``place``, ``shard``, ``offset``, ``length`` (bytes in the shard), ``start`` (ids of all
                 documents before), ``n_tokens``
 ``dictionary``  ``dictionary_hash``, ``dictionary``, ``id_bytes`` (2 or 4: little-endian unsigned width of an id),
@@ -15,6 +16,7 @@ the bytes of its frame alone are decompressed.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -39,7 +41,7 @@ SAMPLE_CHUNK = 16_384  # bytes; longer documents of the sample are cut into seve
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
 SHARD_BYTES = 1 << 20
-KNOWN_UNITS = 200_000
+KNOWN_UNITS = 300_000  # units a task remembers
 
 
 @lru_cache(maxsize=2)
@@ -53,46 +55,67 @@ def file_hash(path: str) -> str:
 
 
 class UnitEncoder:
-    """Ids of whole texts through ids of blank-separated units, each of which is encoded once.
+    """Ids of whole texts through ids of their lines' blank-separated units, each of which is encoded once.
 
-    The pre-tokenizer of a byte-level model always cuts before a single blank between two characters that are no white
-    space, so encoding ``a`` and `` b`` apart equals encoding ``a b``. A text in which a unit is empty or has white
-    space at an end is encoded as a whole.
+    The pre-tokenizer of a byte-level model always cuts around a single line break and before a single blank between
+    two characters that are no white space, and between a letter and a full stop or comma. So the ids of the parts, one
+    after another, are the ids of the whole. A text with any other white space at such a place is encoded as a whole.
     """
 
     def __init__(self, path: str):
         self._model = tokenizer(path)
-        self._clear()
+        self._forget()
 
-    def _clear(self) -> None:
-        self._known: dict[str, int] = {}  # unit with its blank, to its number; -1 if it forbids the cut
-        self._ids: list[list[int]] = []
+    def _forget(self) -> None:
+        # Units with their blank, to their ids as 32-bit integers; None forbids the cut.
+        self._known: dict[str, bytes | None] = {"": None}
+        self._encode(["\n", ".", ","])
+
+    def _encode(self, units: list[str]) -> None:
+        found = self._model.encode_batch_fast(units, add_special_tokens=False)
+        self._known.update((unit, array("I", encoding.ids).tobytes()) for unit, encoding in zip(units, found))
 
     def _learn(self, units: list[str]) -> None:
-        fit = [u for u in units if u.strip() and not u[-1].isspace() and not u[u[0] == " " :][0].isspace()]
+        known = self._known
+        bare, marked = set(), []
         for unit in units:
-            self._known[unit] = -1
-        for unit, encoding in zip(fit, self._model.encode_batch(fit, add_special_tokens=False)):
-            self._known[unit] = len(self._ids)
-            self._ids.append(encoding.ids)
+            word = unit[1:] if unit[0] == " " else unit
+            if not word or word[0].isspace() or word[-1].isspace():
+                known[unit] = None
+            elif unit[-1] in ".," and word[-2:-1].isalpha():
+                marked.append(unit)
+                bare.add(unit[:-1])
+            else:
+                bare.add(unit)
+        self._encode([unit for unit in bare if unit not in known])
+        for unit in marked:
+            known[unit] = known[unit[:-1]] + known[unit[-1]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self._known) > KNOWN_UNITS:
-            self._clear()
-        split = [[part if i == 0 else " " + part for i, part in enumerate(text.split(" "))] if text else [] for text in texts]
-        new = dict.fromkeys(u for units in split for u in units if u not in self._known)
-        self._learn(list(new))
+            self._forget()
+        known = self._known
+        split = [text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0") if text else [] for text in texts]
+        seen: set[str] = set()
+        for units in split:
+            seen.update(units)
+        self._learn([unit for unit in seen if unit not in known])
         out: list[np.ndarray] = []
         for text, units in zip(texts, split):
-            numbers = [self._known[u] for u in units]
-            if -1 in numbers:
-                ids = self._model.encode(text, add_special_tokens=False).ids
+            parts = list(map(known.__getitem__, units))
+            if None in parts or "\0" in text:  # a unit forbids the cut, or the mark of the cuts is part of the text
+                out.append(np.array(self._model.encode(text, add_special_tokens=False).ids, np.uint32))
             else:
-                ids = [i for n in numbers for i in self._ids[n]]
-            out.append(np.array(ids, np.uint32))
+                out.append(np.frombuffer(b"".join(parts), np.uint32))
         return out
 
 
+@lru_cache(maxsize=2)
+def unit_encoder(path: str) -> UnitEncoder:
+    """One per worker process, so that later tasks know the units of earlier ones."""
+    return UnitEncoder(path)
+
+
 @dataclass(frozen=True)
 class Codec:
     """How ids become frames."""
@@ -140,7 +163,7 @@ def train_dictionary(texts: DataFrame, model_file: str, end_id: int, id_bytes: i
     plain, encode = Codec(b"", id_bytes), _encoded(model_file, end_id)
 
     def serialize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = UnitEncoder(model_file)
+        encoder = unit_encoder(model_file)
         for batch in batches:
             yield pd.DataFrame({"raw": [plain.serialized(ids) for ids in encode(encoder, batch["text"].tolist())]})
 
@@ -156,7 +179,7 @@ def _frames(codec: Codec, model_file: str, end_id: int):
     encode = _encoded(model_file, end_id)
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, compressor = UnitEncoder(model_file), codec.compressor()
+        encoder, compressor = unit_encoder(model_file), codec.compressor()
         for batch in batches:
             for start in range(0, len(batch), 500):
                 part = batch.slice(start, 500)
@@ -224,7 +247,10 @@ def write_token_store(
     shape = (
         f"part int, shard int, doc_ids array<{kind}>, n_tokens array<bigint>, lengths array<int>, tokens bigint, frames binary"
     )
-    shards = staged(ordered.mapInPandas(_sharded, shape), "shards")
+    number = (F.col("part").cast("long") * F.lit(1 << 32)) + F.col("shard")
+    shards = ordered.mapInPandas(_sharded, shape).withColumn("shard", number)
+    shards.withColumn("dictionary_hash", F.lit(codec.hash)).write.parquet(f"{path}/shards")
+    shards = spark.read.parquet(f"{path}/shards").drop("frames")
 
     totals = shards.groupBy("part").agg(F.sum("tokens").alias("tokens"), F.sum(F.size("doc_ids")).alias("docs"))
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task of the sort
@@ -241,11 +267,9 @@ def write_token_store(
             "docs_before": F.col("docs_before") + F.coalesce(F.sum(F.size("doc_ids")).over(within), F.lit(0)),
         }
     )
-    number = ((F.col("part").cast("long") * F.lit(1 << 32)) + F.col("shard")).alias("shard")
-    entries = places.select(number, "tokens_before", "docs_before", "doc_ids", "n_tokens", "lengths")
+    entries = places.select("shard", "tokens_before", "docs_before", "doc_ids", "n_tokens", "lengths")
     shape = f"doc_id {kind}, place bigint, shard bigint, offset bigint, length int, start bigint, n_tokens bigint"
     entries.mapInPandas(_index_rows, shape).write.parquet(f"{path}/index")
-    shards.select(number, F.lit(codec.hash).alias("dictionary_hash"), "frames").write.parquet(f"{path}/shards")
     facts = [(codec.hash, bytearray(codec.dictionary), id_bytes, end_id, file_hash(model_file))]
     names = "dictionary_hash string, dictionary binary, id_bytes int, end_id long, tokenizer_hash string"
     spark.createDataFrame(facts, names).coalesce(1).write.parquet(f"{path}/dictionary")
@@ -276,31 +300,27 @@ def _codec(spark: SparkSession, path: str) -> Codec:
     return codec
 
 
-def _reader(codec: Codec):
+def _reader(codec: Codec, with_ids: bool):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         decompressor = codec.decompressor()
         for batch in batches:
             for row in batch.itertuples():
                 if row.dictionary_hash != codec.hash:
                     raise ValueError(f"shard {row.shard} was written with another dictionary")
-                docs, places, starts, tokens, ids = [], [], [], [], []
-                for entry in row.entries:
-                    raw = decompressor.decompress(row.frames[entry["offset"] : entry["offset"] + entry["length"]])
-                    docs.append(entry["doc_id"])
-                    places.append(entry["place"])
-                    starts.append(entry["start"])
-                    ids.append(codec.ids(raw))
-                    tokens.append(len(ids[-1]))
-                yield pd.DataFrame(
-                    {
-                        "doc_id": pd.Series(docs, dtype=object),
-                        "place": places,
-                        "start": starts,
-                        "n_tokens": tokens,
+                lengths = np.asarray(row.lengths, np.int64)
+                offsets = np.cumsum(lengths) - lengths if row.offsets is None else np.asarray(row.offsets, np.int64)
+                for start in range(0, len(lengths), 500):
+                    part = slice(start, start + 500)
+                    spans = zip(offsets[part], lengths[part])
+                    ids = [codec.ids(decompressor.decompress(row.frames[at : at + length])) for at, length in spans]
+                    found = {
+                        "doc_id": pd.Series(list(row.doc_ids[part]), dtype=object),
+                        "shard": row.shard,
+                        "offset": offsets[part],
+                        "n_tokens": [len(x) for x in ids],
                         "ids_crc32": [zlib.crc32(x.tobytes()) for x in ids],
-                        "ids": [x.astype(np.int64) for x in ids],
                     }
-                )
+                    yield pd.DataFrame(found | ({"ids": [x.astype(np.int64) for x in ids]} if with_ids else {}))
 
     return read
 
@@ -310,16 +330,19 @@ def read_token_store(spark: SparkSession, path: str, doc_ids: DataFrame | None =
     little-endian 32-bit integers), ``ids``. ``doc_ids`` restricts it to documents whose frames alone are decompressed."""
     codec = _codec(spark, path)
     index = spark.read.parquet(f"{path}/index")
-    if doc_ids is not None:
-        index = index.join(doc_ids.select(F.col(doc_ids.columns[0]).alias("doc_id")).distinct(), "doc_id", "left_semi")
-    entry = F.struct("doc_id", "place", "offset", "length", "start")
-    entries = index.groupBy("shard").agg(F.collect_list(entry).alias("entries"))  # bounded by the size of a shard
-    shards = spark.read.parquet(f"{path}/shards").join(entries, "shard")
+    shards = spark.read.parquet(f"{path}/shards")
+    if doc_ids is None:
+        none = F.lit(None).cast("array<bigint>").alias("offsets")  # frames follow each other without gaps
+        shards = shards.select("shard", "dictionary_hash", "frames", "doc_ids", "lengths", none)
+    else:
+        wanted = doc_ids.select(F.col(doc_ids.columns[0]).alias("doc_id")).distinct()
+        index = index.join(wanted, "doc_id", "left_semi")
+        some = index.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("offset", "length", "doc_id"))).alias("e"))
+        frames = shards.select("shard", "dictionary_hash", "frames").join(some, "shard")  # a shard has a bounded size
+        shards = frames.select("shard", "dictionary_hash", "frames", F.col("e.doc_id").alias("doc_ids"), F.col("e.length").alias("lengths"), F.col("e.offset").alias("offsets"))
     kind = index.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {kind}, place bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<bigint>"
-    reader = _reader(codec)
-    if not with_ids:
-        shape = shape.removesuffix(", ids array<bigint>")
-        full = reader
-        reader = lambda batches: (x.drop(columns="ids") for x in full(batches))
-    return shards.mapInPandas(reader, shape)
+    shape = f"doc_id {kind}, shard bigint, offset bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids
+    found = shards.mapInPandas(_reader(codec, with_ids), shape)
+    where = index.select("shard", "offset", "place", "start")
+    columns = ["doc_id", "place", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
+    return found.join(where, ["shard", "offset"]).select(*columns)
