@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bitexture.llm.common import id_sample, staged
-from bitexture.llm.html_tree import GROUPS, Node, parse
+from bitexture.llm.html_tree import GROUPS, ROLE_WORDS, Node, parse
 
 TRAINING_PAGES = 2_000  # bound of the labelled sample
 PRIOR = 20.0  # pages that the starting counts stand for
@@ -84,7 +84,7 @@ def count_labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for node, label in zip(nodes, labels):
                 parent = nodes[node.parent] if node.parent >= 0 else None
                 counts.update((look, label) for look in looks(node, parent))
-                if parent is not None and node.role not in ("menu", "header", "footer", "sidebar", "notice", "form", "comment", "advert"):
+                if parent is not None and node.role not in ROLE_WORDS:
                     counts[f"edge:{kind_of(parent)}:{labels[node.parent]}", label] += 1
     yield pd.DataFrame([(k, label, n) for (k, label), n in counts.items()], columns=["feature", "label", "n"])
 
@@ -126,7 +126,7 @@ class TreeModel:
         """Per page the chance of every node to be content: sum-product over all trees side by side."""
         sizes = [len(p) for p in pages]
         starts = np.cumsum([0, *sizes])
-        parent = np.concatenate([np.array([n.parent for n in p]) + s * (np.array([n.parent for n in p]) >= 0) for p, s in zip(pages, starts)])
+        parent = np.concatenate([[n.parent + s if n.parent >= 0 else -1 for n in p] for p, s in zip(pages, starts)])
         depth = np.concatenate([[n.depth for n in p] for p in pages])
         kind = np.concatenate([[KINDS.index(kind_of(n)) for n in p] for p in pages])
         own = np.zeros((len(parent), 2))
@@ -143,9 +143,7 @@ class TreeModel:
         down = np.zeros_like(own)
         down[levels[0]] = np.log([0.9, 0.1])
         for level in levels[1:]:
-            above = (own + up + down)[parent[level]] - sent[level] if len(level) * 4 > len(own) else (
-                own[parent[level]] + up[parent[level]] + down[parent[level]] - sent[level]
-            )
+            above = own[parent[level]] + up[parent[level]] + down[parent[level]] - sent[level]
             edge = self.edges[kind[parent[level]]]
             down[level] = np.logaddexp.reduce(edge + above[:, :, None], axis=1)
         belief = own + up + down
