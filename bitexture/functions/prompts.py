@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -33,26 +34,25 @@ class PromptComposer(Protocol):
 
 @dataclass(frozen=True)
 class FixedPrompt:
-    """``[instruction ]LABEL1: source LABEL2: target`` for one language pair."""
+    """One wording for two languages: ``[instruction ]HEADING: source HEADING: target``.
 
-    lang1: str
-    lang2: str
-    label1: str | None = None
-    label2: str | None = None
+    ``headings`` has the heading of each language; prompts start with the heading of the start language.
+    """
+
+    headings: Mapping[str, str]
     instruction: str = ""
     sequential = False
 
-    def _labels(self, start_lang: str) -> tuple[str, str]:
-        labels = {self.lang1: self.label1 or self.lang1, self.lang2: self.label2 or self.lang2}
-        if start_lang not in labels:
-            raise ValueError(f"start_lang must be {self.lang1} or {self.lang2}, not {start_lang}")
-        other = self.lang2 if start_lang == self.lang1 else self.lang1
-        return labels[start_lang], labels[other]
+    def __post_init__(self) -> None:
+        if len(self.headings) != 2:
+            raise ValueError(f"headings of two languages are needed, not of {len(self.headings)}")
 
     def query(self, source: Column, start_lang: str, call: Column | None = None) -> Column:
-        first, second = self._labels(start_lang)
-        head = f"{self.instruction} " if self.instruction else ""
-        return F.concat(F.lit(f"{head}{first}: "), source, F.lit(f" {second}: "))
+        others = [heading for lang, heading in self.headings.items() if lang != start_lang]
+        if len(others) != 1:
+            raise ValueError(f"no heading for {start_lang}; there are {sorted(self.headings)}")
+        opening = " ".join(filter(None, [self.instruction, f"{self.headings[start_lang]}: "]))
+        return F.concat(F.lit(opening), source, F.lit(f" {others[0]}: "))
 
     def train(self, source: Column, target: Column, start_lang: str, call: Column | None = None) -> Column:
         return F.concat(self.query(source, start_lang), target)

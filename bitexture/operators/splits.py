@@ -13,6 +13,7 @@ from bitexture.functions.hashing import HASH_SPAN, seeded_hash
 from bitexture.operators.selection import DIRECT_TOP_K, covers, row_count, shuffle_cut, values_at
 
 STRATUM_BUCKETS = 1 << 10
+BROADCAST_LABELS = 10_000
 
 
 def split_three_way(
@@ -110,6 +111,9 @@ def resplit_stratified(
         F.max("total").alias("_total"),
     )
     limits = limits.withColumnRenamed("label", "_label")
+    # One row per label. Beyond the bound the join is a merge, whose hot keys adaptive execution splits.
+    if row_count(keys.select("label").distinct()) <= BROADCAST_LABELS:
+        limits = F.broadcast(limits)
 
     def up_to(end: str) -> Column:
         return (here < F.col(end)["h"]) | ((here == F.col(end)["h"]) & (F.col(id_col) <= F.col(end)["id"]))

@@ -11,6 +11,7 @@ from bitexture.functions.prompts import PromptComposer
 from bitexture.functions.text import TokenCounter
 from bitexture.operators.curate import render_both
 from bitexture.operators.selection import bucket_of, one_row, values_at
+from bitexture.operators.splits import seeded_subsample
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -122,10 +123,20 @@ def density(df: DataFrame, column: str, bins: int = 30, points: int = 200, fine_
 
 
 def pair_lengths(
-    pairs: DataFrame, composer: PromptComposer, counter: TokenCounter, src_lang: str, trg_lang: str
+    pairs: DataFrame,
+    composer: PromptComposer,
+    counter: TokenCounter,
+    src_lang: str,
+    trg_lang: str,
+    subsample: int | None = None,
+    seed: int = 42,
 ) -> DataFrame:
-    """``prompt_length``: mean token count of both rendered directions; ``raw_length``: tokens of both texts."""
-    rendered = render_both(pairs.dropna(subset=["src_text", "trg_text"]), composer, src_lang, trg_lang)
+    """``prompt_length``: mean token count of both rendered directions; ``raw_length``: tokens of both texts.
+
+    Of all complete pairs, or of a seeded sample of ``subsample`` of them.
+    """
+    complete = seeded_subsample(pairs.dropna(subset=["src_text", "trg_text"]), "pair_id", subsample, seed)
+    rendered = render_both(complete, composer, src_lang, trg_lang)
     return rendered.select(
         "pair_id",
         ((counter(F.col("prompt_fwd")) + counter(F.col("prompt_bwd"))) / 2).alias("prompt_length"),

@@ -39,7 +39,7 @@ MAX_TOKENS = 250
 TOP = 200
 ROW_LENGTH = 128
 PAD = 0
-FIXED = FixedPrompt(SRC, TRG, "ENGLISH", "FRENCH", "RENDER:")
+FIXED = FixedPrompt({SRC: "ENGLISH", TRG: "FRENCH"}, "RENDER:")
 
 _registry: dict[str, Query] = {}
 

@@ -70,17 +70,17 @@ def test_hash_is_stable_and_seeded(spark):
 
 
 def test_fixed_prompt(spark):
-    prompt = FixedPrompt("en", "fr", "ENGLISH", None, "GO:")
+    prompt = FixedPrompt({"en": "ENGLISH", "fr": "fr"}, "GO:")
     t = F.col("t")
     assert column_of(spark, ["a"], prompt.train(t, F.lit("b"), "en")) == ["GO: ENGLISH: a fr: b"]
     assert column_of(spark, ["a"], prompt.query(t, "fr")) == ["GO: fr: a ENGLISH: "]
-    assert column_of(spark, ["a"], FixedPrompt("en", "fr").query(t, "en")) == ["en: a fr: "]
-    with pytest.raises(ValueError, match="en or fr"):
+    assert column_of(spark, ["a"], FixedPrompt({"en": "en", "fr": "fr"}).query(t, "en")) == ["en: a fr: "]
+    with pytest.raises(ValueError, match="no heading for de"):
         prompt.query(t, "de")
 
 
 def test_start_language_column(spark):
-    prompt = FixedPrompt("en", "fr")
+    prompt = FixedPrompt({"en": "en", "fr": "fr"})
     rendered = {lang: prompt.query(F.lit("x"), lang) for lang in ("en", "fr")}
     assert column_of(spark, ["fr"], by_start_language(F.col("t"), rendered)) == ["fr: x en: "]
     with pytest.raises(Exception, match="unknown start language de"):

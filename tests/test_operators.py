@@ -12,7 +12,7 @@ from bitexture.operators import batching, curate, perplexity, ranking, runlog, s
 from bitexture.operators.generate import cut_prompt, echo_generator, generate
 
 rng = random.Random(3)
-PROMPT = FixedPrompt("hr", "en", "CROATIAN", "ENGLISH", "GO:")
+PROMPT = FixedPrompt({"hr": "H", "en": "E"}, "GO:")
 PAIRS = "pair_id long, src_text string, trg_text string, bicleaner_ai_score double, bleualign_score double"
 
 

@@ -20,7 +20,7 @@ from bitexture.streaming import monitor
 from bitexture.streaming import prompts as prompt_stream
 
 PAIRS = "pair_id long, src_text string, trg_text string, bicleaner_ai_score double, bleualign_score double"
-PROMPT = FixedPrompt("hr", "en", "CROATIAN", "ENGLISH", "GO:")
+PROMPT = FixedPrompt({"hr": "H", "en": "E"}, "GO:")
 
 
 def test_tsv_is_taken_literally(spark, tmp_path):
