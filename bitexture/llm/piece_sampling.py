@@ -37,7 +37,8 @@ BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 SEED = 7
 SHARPNESS = 1.0  # exponent of the piece probabilities: 0 draws all segmentations alike, large values the most likely
 LITERAL_MARK = 0x110000  # no code point: the mark as a character of the text, which has no piece
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
+BATCH_ROWS = 500
 
 
 class Vocabulary:
@@ -265,14 +266,15 @@ def sample_pieces(
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model_file)
-        for batch in batches:
-            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            keys = row_keys(ids.to_pylist(), seed)
-            for part in _chunks(texts):
-                pieces, counts = sample_batch(texts[part], keys[part], vocab, sharpness)
-                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(pieces, pa.int32()))
-                yield pa.RecordBatch.from_arrays([ids[part.start : part.stop], lists], names=["id", "pieces"])
+        for whole in batches:
+            for batch in (whole.slice(start, BATCH_ROWS) for start in range(0, len(whole), BATCH_ROWS)):
+                ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
+                keys = row_keys(ids.to_pylist(), seed)
+                for part in _chunks(texts):
+                    pieces, counts = sample_batch(texts[part], keys[part], vocab, sharpness)
+                    offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(pieces, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([ids[part.start : part.stop], lists], names=["id", "pieces"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
