@@ -183,3 +183,11 @@ def test_top_k_is_the_same_by_heap_and_by_cut(spark):
         one, other = ([r.id for r in selection.top_k(df, "s", "id", k, heap).collect()] for heap in (1000, 0))
         assert sorted(one) == sorted(other) and len(one) == min(k, 11)
     assert one[:8] == [5, 3, 4, 9, 8, 0, 6, 1]
+
+
+def test_positions_of_a_dense_cluster_beside_an_outlier(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 16)
+    ids = list(range(1000, 1300)) + [10**15]
+    df = spark.createDataFrame([(i,) for i in rng.sample(ids, len(ids))], "id long")
+    got = {r.id: r.position for r in ranking.id_position(df, "id").collect()}
+    assert got == {i: n for n, i in enumerate(ids)}
