@@ -68,7 +68,7 @@ def test_expansion_and_training_texts(spark):
         "pair_id int, src_text string, trg_text string, split string",
     )
     got = {(r.pair_id, r.direction): r.text for r in curate.expand_directions(df, PROMPT, "hr", "en").collect()}
-    assert len(got) == 6 and got[1, "bwd"] == "GO: ENGLISH: b CROATIAN: a"
+    assert len(got) == 6 and got[1, "bwd"] == "GO: E: b H: a"
     texts = curate.training_texts(df, PROMPT, "hr", "en").collect()
     assert sorted((r.pair_id, r.split) for r in texts) == [(1, "train")] * 2 + [(3, "validation")] * 2
 
@@ -117,7 +117,7 @@ def test_density(spark):
 def test_pair_lengths(spark):
     df = spark.createDataFrame([(1, "a b", "c"), (2, None, "c")], "pair_id int, src_text string, trg_text string")
     (row,) = stats.pair_lengths(df, PROMPT, txt.count_chars, "hr", "en").collect()
-    forward, backward = "GO: CROATIAN: a b ENGLISH: c", "GO: ENGLISH: c CROATIAN: a b"
+    forward, backward = "GO: H: a b E: c", "GO: E: c H: a b"
     assert (row.prompt_length, row.raw_length) == ((len(forward) + len(backward)) / 2, 4)
 
 

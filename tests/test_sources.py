@@ -238,7 +238,7 @@ def test_evaluation_job(spark, tmp_path):
     saved = store.read_predictions(spark, str(tmp_path / "o" / "predictions"))
     assert {r.dataset: r["count"] for r in saved.groupBy("dataset").count().collect()} == {"one": 5, "two": 4}
     row = saved.where("dataset = 'two' and example_id = 0").first()
-    assert row.inputs == "GO: CROATIAN: a0 ENGLISH: " and row.predictions == " ENGLISH: a0 CROATIAN: GO:"
+    assert row.inputs == "GO: H: a0 E: " and row.predictions == " E: a0 H: GO:"
     preview = ev.preview_prompts(spark, registry, ev.EvaluationJob("e", ["one"], PROMPT, "hr", split="train"))
     assert sorted(r.expected for r in preview.collect()) == ["b6", "b7", "b8", "b9"]
 
