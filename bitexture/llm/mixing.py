@@ -110,6 +110,16 @@ def _folded(column: Column, targets: Mapping[str, float]) -> Column:
     return F.when(column.isin(list(targets)), column).otherwise(F.lit(REST))
 
 
+def _wanted(target: Mapping[str, float], levels: list[str], natural: np.ndarray) -> np.ndarray:
+    """Target shares of all categories; a rest without an entry has its natural share."""
+    share = np.array([float(target.get(c, 0.0)) for c in levels])
+    if REST not in target:
+        rest = natural[-1] if share.sum() and natural[:-1].any() else 1.0
+        share = share * (1 - rest) / max(share.sum(), 1e-300)
+        share[-1] = rest
+    return share / share.sum() if share.sum() else share
+
+
 def mix_to_targets(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float]],
@@ -122,8 +132,9 @@ def mix_to_targets(
     """One row per input row: id, the folded category of each marginal, ``n_tokens``, ``weight`` (raked share over the
     natural one), ``probability``, ``kept``.
 
-    ``targets`` has per marginal the wanted token share of its categories; they are scaled to 1, and a category that is
-    not named, or missing, belongs to the rest, whose target is its ``(rest)`` entry or 0. ``categories`` has the column
+    ``targets`` has per marginal the wanted token share of its categories. A category that is not named, or missing, belongs
+    to the rest. A ``(rest)`` entry is its target, and all are scaled to 1; without one the rest keeps the share of tokens
+    that it has, and the named targets are scaled to what is left. ``categories`` has the column
     of each marginal. A document is kept if its hash lies below the probability of its cell, so decisions do not depend on
     the partitioning and rows with one id share theirs; a missing id is a key like any other. Documents without tokens
     have the probability of their cell; a cell without tokens has 0. An empty table gives an empty table.
@@ -144,10 +155,7 @@ def mix_to_targets(
     cells = np.zeros(shape)
     for row in sized.groupBy(*names).agg(F.sum("n_tokens").alias("n")).collect():  # bounded by the targets
         cells[tuple(levels[n].index(row[n]) for n in names)] = row["n"]
-    wanted = []
-    for name in names:
-        share = np.array([float(targets[name].get(c, 0.0)) for c in levels[name]])
-        wanted.append(share / share.sum() if share.sum() else share)
+    wanted = [_wanted(targets[n], levels[n], _shares(cells, axis)) for axis, n in enumerate(names)]
     raked = calibrate(cells, wanted, budget)
     expected = cells * raked.probability
     scale = max(expected.sum(), 1e-300) / max(cells.sum(), 1e-300)

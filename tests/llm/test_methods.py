@@ -200,6 +200,18 @@ def test_raking_meets_targets():
     assert tight.probability.max() <= 1 and abs((cells * tight.probability).sum() / cells.sum() - 0.95) < 0.01
 
 
+def test_rows_outside_the_targets_are_sampled(spark):
+    """A hot source that no target names, missing sources and languages and a fifth language keep their share."""
+    kinds = [("hot", "en")] * 4 + [(None, "en"), ("src1", None), ("src2", "it"), ("src3", "en"), ("src4", "de"), ("src5", "fr")]
+    rows = [(i, " ".join(["word"] * 20), *kinds[i % 10]) for i in range(4000)]
+    got = mixing.standard_mix(frame(spark, rows, "doc_id long, text string, source string, lang string"), 0.5).toPandas()
+    kept = got[got.kept]
+    assert abs(len(kept) / len(got) - 0.5) < 0.03
+    assert abs((kept.source == mixing.REST).mean() - 0.5) < 0.04 and abs((kept.lang == mixing.REST).mean() - 0.2) < 0.04
+    made = got.merge(got.doc_id.map(lambda i: kinds[i % 10]).rename("kind"), left_index=True, right_index=True)
+    assert made.groupby("kind", dropna=False).kept.sum().min() > 0
+
+
 def test_sampled_segmentations(spark):
     vocab = piece_sampling.vocabulary(piece_sampling.MODEL)
     texts = ["", "a▁b  c\n\n x▁", "日本語 \U0001f600 ok\t\x00end", "x" * 3000 + " y", " the  the the the"] * 3
