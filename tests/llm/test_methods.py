@@ -9,11 +9,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from bitexture.llm import importance, mixing, piece_sampling, token_store, topk_search
 from bitexture.llm.html_extract import count_labelled, TreeModel, extract_main_text
 from bitexture.llm.license_scan import BASE, scan_licenses
 from bitexture.llm.line_dedup import dedupe_lines
 from bitexture.llm.minhash_dedup import bands_for, estimate, lowest_estimate, near_duplicates
+from bitexture.llm.passage_dedup import dedupe_passages
 from bitexture.llm.quality_rules import quality_verdicts
 
 SMALL = "/root/testdata/sf0.001"
@@ -111,6 +113,36 @@ def test_passages_over_fifty_words_go_and_short_lines_stay(spark):
     assert all(greeting in t for t in got.values())
 
 
+def test_passages_inside_lines_go(spark, tmp_path):
+    """Word runs by definition: every window with an earlier copy, with passages that start and end inside lines."""
+    rng = random.Random(6)
+    passages = [words(rng, n, 5000) for n in (50, 53, 61, 90)]
+    texts = []
+    for i in range(60):
+        found = words(rng, rng.randrange(30), 5000)
+        for _ in range(rng.randrange(4)):
+            part = rng.choice(passages)
+            found += part[rng.randrange(12) :] + words(rng, rng.randrange(9), 5000)
+        texts.append((i, "".join(w + rng.choice([" "] * 9 + ["\n"]) for w in found)))
+    seen, want = set(), {}
+    for i, text in texts:
+        found, drop = text.split(), set()
+        for a in range(len(found) - 49):
+            window = tuple(found[a : a + 50])
+            drop |= set(range(a, a + 50)) if window in seen else set()
+            seen.add(window)
+        want[i] = [w for k, w in enumerate(found) if k not in drop]
+    got = {r.doc_id: r.text for r in dedupe_passages(frame(spark, texts)).collect()}
+    assert {i: t.split() for i, t in got.items()} == want
+    assert sum(map(len, want.values())) < 0.6 * sum(len(t.split()) for _, t in texts)
+    inside = [(1, "Start here " + " ".join(passages[0]) + " and end."), (2, "Other\nline  " + "\n".join(passages[0]) + " it is.\n\nx")]
+    got = {r.doc_id: (r.text, r.n_removed_lines) for r in dedupe_passages(frame(spark, inside)).collect()}
+    assert got == {1: (inside[0][1], 0), 2: ("Other\nline\nit is.\n\nx", 50)}
+    docs = frame(spark, inside).withColumns({"n_chars": F.length("text").cast("long")})
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()}
+    assert got == {1: inside[0][1], 2: "Other\nline\nit is.\n\nx"}
+
+
 def labelled(spark):
     return (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
 
