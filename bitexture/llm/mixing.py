@@ -24,6 +24,8 @@ MAX_CATEGORIES = 10_000  # per marginal: the bound of the table of cells
 ROUNDS = 200
 TOLERANCE = 1e-6
 SEED = 23
+SHARE_TOLERANCE = 0.005  # how far a reached share may be from its target if the budget is derived
+LEAST_BUDGET = 0.05  # a derived budget is not below this, whatever the targets
 
 # Fixed values of the topic rule, tried in this order.
 TOPICS = [
@@ -52,6 +54,7 @@ class Raked:
 
     probability: np.ndarray
     shares: list[np.ndarray]
+    budget: float
 
 
 def _shares(cells: np.ndarray, axis: int) -> np.ndarray:
@@ -102,7 +105,39 @@ def calibrate(cells: np.ndarray, targets: list[np.ndarray], budget: float) -> Ra
             break
         full |= over
     probability = np.where(full, 1.0, np.minimum(probability, 1.0))
-    return Raked(probability, [_shares(cells * probability, a) for a in range(cells.ndim)])
+    return Raked(probability, [_shares(cells * probability, a) for a in range(cells.ndim)], budget)
+
+
+def _reachable(cells: np.ndarray, targets: list[np.ndarray]) -> list[np.ndarray]:
+    """Targets with the shares of categories without tokens given to the others."""
+    found = [np.where(_shares(cells, a) > 0, t, 0) for a, t in enumerate(targets)]
+    return [f / f.sum() if f.sum() else _shares(cells, a) for a, f in enumerate(found)]
+
+
+def largest_budget(cells: np.ndarray, targets: list[np.ndarray], tolerance: float = SHARE_TOLERANCE) -> float:
+    """The largest budget, to a hundredth of itself, at which every reached share is within ``tolerance`` of its target.
+
+    A category with too few tokens bounds it; below ``LEAST_BUDGET`` it is that, and such categories miss their target.
+    """
+    wanted = _reachable(cells, targets)
+
+    def met(budget: float) -> bool:
+        reached = calibrate(cells, targets, budget).shares
+        return all(np.abs(r - w).max(initial=0) <= tolerance for r, w in zip(reached, wanted))
+
+    # No share can be met beyond this, as its category would need more tokens than it has.
+    least = [np.maximum(w - tolerance, 0) for w in wanted]
+    bounds = [_shares(cells, a)[x > 0] / x[x > 0] for a, x in enumerate(least)]
+    high = min([1.0, *(float(b.min()) for b in bounds if b.size)])
+    if not cells.any() or high <= LEAST_BUDGET or not met(LEAST_BUDGET):
+        return 1.0 if not cells.any() else LEAST_BUDGET
+    if met(high):
+        return high
+    low = LEAST_BUDGET
+    while high - low > 0.01 * low:
+        middle = (low + high) / 2
+        low, high = (middle, high) if met(middle) else (low, middle)
+    return low
 
 
 def _folded(column: Column, targets: Mapping[str, float]) -> Column:
@@ -120,25 +155,15 @@ def _wanted(target: Mapping[str, float], levels: list[str], natural: np.ndarray)
     return share / share.sum() if share.sum() else share
 
 
-def mix_to_targets(
+def _fitted(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float]],
     categories: Mapping[str, Column],
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    budget: float = 0.5,
-    seed: int = SEED,
-) -> DataFrame:
-    """One row per input row: id, the folded category of each marginal, ``n_tokens``, ``weight`` (raked share over the
-    natural one), ``probability``, ``kept``.
-
-    ``targets`` has per marginal the wanted token share of its categories. A category that is not named, or missing, belongs
-    to the rest. A ``(rest)`` entry is its target, and all are scaled to 1; without one the rest keeps the share of tokens
-    that it has, and the named targets are scaled to what is left. ``categories`` has the column
-    of each marginal. A document is kept if its hash lies below the probability of its cell, so decisions do not depend on
-    the partitioning and rows with one id share theirs; a missing id is a key like any other. Documents without tokens
-    have the probability of their cell; a cell without tokens has 0. An empty table gives an empty table.
-    """
+    id_col: str,
+    text_col: str,
+    budget: float | None,
+) -> tuple[DataFrame, dict[str, list[str]], np.ndarray, list[np.ndarray], Raked]:
+    """The sized documents, the categories of each marginal, the cells, the target shares and the fitted probabilities."""
     names = list(targets)
     levels = {}
     for name in names:
@@ -151,12 +176,58 @@ def mix_to_targets(
         token_count(F.col(text_col)).alias("n_tokens"),
     )
     sized = staged(sized, "sized")
-    shape = [len(levels[name]) for name in names]
-    cells = np.zeros(shape)
+    cells = np.zeros([len(levels[name]) for name in names])
     for row in sized.groupBy(*names).agg(F.sum("n_tokens").alias("n")).collect():  # bounded by the targets
         cells[tuple(levels[n].index(row[n]) for n in names)] = row["n"]
     wanted = [_wanted(targets[n], levels[n], _shares(cells, axis)) for axis, n in enumerate(names)]
-    raked = calibrate(cells, wanted, budget)
+    raked = calibrate(cells, wanted, largest_budget(cells, wanted) if budget is None else budget)
+    return sized, levels, cells, wanted, raked
+
+
+def mix_shares(
+    docs: DataFrame,
+    targets: Mapping[str, Mapping[str, float]],
+    categories: Mapping[str, Column],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    budget: float | None = 0.5,
+) -> DataFrame:
+    """One row per marginal and category: its ``natural``, ``target`` and ``reached`` token share, and the ``budget``.
+
+    ``reached`` is what the probabilities of ``mix_to_targets`` with the same arguments give in expectation.
+    """
+    _, levels, cells, wanted, raked = _fitted(docs, targets, categories, id_col, text_col, budget)
+    rows = [
+        (name, c, *(float(x[i]) for x in (_shares(cells, axis), wanted[axis], raked.shares[axis])), float(raked.budget))
+        for axis, name in enumerate(levels)
+        for i, c in enumerate(levels[name])
+    ]
+    shape = "marginal string, category string, natural double, target double, reached double, budget double"
+    return docs.sparkSession.createDataFrame(rows, shape)
+
+
+def mix_to_targets(
+    docs: DataFrame,
+    targets: Mapping[str, Mapping[str, float]],
+    categories: Mapping[str, Column],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    budget: float | None = 0.5,
+    seed: int = SEED,
+) -> DataFrame:
+    """One row per input row: id, the folded category of each marginal, ``n_tokens``, ``weight`` (raked share over the
+    natural one), ``probability``, ``kept``.
+
+    ``targets`` has per marginal the wanted token share of its categories. A category that is not named, or missing, belongs
+    to the rest. A ``(rest)`` entry is its target, and all are scaled to 1; without one the rest keeps the share of tokens
+    that it has, and the named targets are scaled to what is left. ``categories`` has the column
+    of each marginal. ``budget`` is the share of all tokens to keep; None takes the largest that meets the targets, see
+    ``largest_budget``, and ``mix_shares`` tells which shares are reached. A document is kept if its hash lies below the probability of its cell, so decisions do not depend on
+    the partitioning and rows with one id share theirs; a missing id is a key like any other. Documents without tokens
+    have the probability of their cell; a cell without tokens has 0. An empty table gives an empty table.
+    """
+    sized, levels, cells, _, raked = _fitted(docs, targets, categories, id_col, text_col, budget)
+    names, shape = list(levels), cells.shape
     expected = cells * raked.probability
     scale = max(expected.sum(), 1e-300) / max(cells.sum(), 1e-300)
     rows = [
@@ -187,6 +258,13 @@ TARGETS = {
 }
 
 
-def standard_mix(docs: DataFrame, budget: float) -> DataFrame:
-    categories = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of(F.col("text"))}
-    return mix_to_targets(docs, TARGETS, categories, budget=budget)
+def standard_categories() -> dict[str, Column]:
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of(F.col("text"))}
+
+
+def standard_mix(docs: DataFrame, budget: float | None) -> DataFrame:
+    return mix_to_targets(docs, TARGETS, standard_categories(), budget=budget)
+
+
+def standard_shares(docs: DataFrame, budget: float | None) -> DataFrame:
+    return mix_shares(docs, TARGETS, standard_categories(), budget=budget)

@@ -244,6 +244,29 @@ def test_rows_outside_the_targets_are_sampled(spark):
     assert made.groupby("kind", dropna=False).kept.sum().min() > 0
 
 
+def test_the_pipeline_mix_meets_its_targets_with_a_hot_source(spark, tmp_path):
+    """A third of all tokens from one source, and one topic far below its target."""
+    rng = random.Random(12)
+    texts = ["plain " * 20, "licence " * 20, "a@b.org " * 20, "a | b | c " * 4]
+    rows = []
+    for i in range(12_000):
+        source = 0 if i % 3 == 0 else rng.randrange(1, 20)
+        text = texts[rng.choices(range(4), [85, 4, 4, 7])[0]]
+        rows.append((i, text, f"src{source}", rng.choices(["en", "de", "fr", "es"], [60, 15, 15, 10])[0], len(text)))
+    docs = frame(spark, rows, "doc_id long, text string, source string, lang string, n_chars long")
+    shares = mixing.standard_shares(docs, corpus_pipeline.MIX_BUDGET).toPandas()
+    assert (shares.reached - shares.target).abs().max() <= mixing.SHARE_TOLERANCE + 1e-9
+    assert 0.4 < shares.budget[0] < 0.65
+    got = corpus_pipeline.mixing(spark, docs, str(tmp_path)).toPandas()
+    assert abs((got.source == "src0").mean() - 0.05) < 0.02 and len(got) > 4000
+
+
+def test_derived_budget_has_a_floor():
+    cells, targets = np.array([[1000.0, 1.0]]), [np.array([1.0]), np.array([0.5, 0.5])]
+    assert mixing.largest_budget(cells, targets) == mixing.LEAST_BUDGET
+    assert mixing.largest_budget(cells, [np.array([1.0]), np.array([1.0, 0.0])]) > 0.99
+
+
 def test_sampled_segmentations(spark):
     vocab = piece_sampling.vocabulary(piece_sampling.MODEL)
     texts = ["", "a▁b  c\n\n x▁", "日本語 \U0001f600 ok\t\x00end", "x" * 3000 + " y", " the  the the the"] * 3
