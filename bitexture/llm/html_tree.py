@@ -23,6 +23,7 @@ INLINE = set(
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style title textarea noscript template iframe noembed noframes xmp svg math object canvas audio video select".split())
+NEVER_OPEN = {"script", "style", "title", "textarea"}  # without an end tag they take the rest of the page
 CLOSES_P = set(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
@@ -70,6 +71,24 @@ class Node:
     text: str = ""
 
 
+HEADINGS = {f"h{i}" for i in range(1, 7)}
+COMMENT_IDS = {"comments", "disqus", "respond"}
+
+
+def role_inside(tag: str, attributes: str) -> tuple[str, bool]:
+    """Role of an element inside a marked article, where anchors of headings and sections name topics: there an id counts
+    only if it is one of a comment list, and of headings and paragraphs only adverts are told by attributes."""
+    role, marked = role_of(tag, attributes)
+    if marked or role in ("", "main") or tag not in HEADINGS | {"p", "section"}:
+        return role, marked
+    if tag == "section":
+        plain = ATTRIBUTE.sub(
+            lambda m: "" if m[1].lower() == "id" and (m[2] or m[3] or m[4] or "").lower() not in COMMENT_IDS else m[0], attributes
+        )
+        return role_of(tag, plain)
+    return (role, marked) if role == "advert" else ("", False)
+
+
 def role_of(tag: str, attributes: str) -> tuple[str, bool]:
     if tag in ROLE_OF_TAG:
         return ROLE_OF_TAG[tag], True
@@ -107,7 +126,8 @@ class _Builder:
             self._close({"p"}, SCOPE)
         if tag in CLOSES:
             self._close(CLOSES[tag], SCOPE - {"td", "th"} if tag in ("tr", "thead", "tbody", "tfoot", "td", "th") else SCOPE)
-        role, marked = role_of(tag, attributes)
+        inside = any(self.nodes[i].role == "main" and self.nodes[i].marked for i in self.open)
+        role, marked = (role_inside if inside else role_of)(tag, attributes)
         self.nodes.append(Node(tag, self.open[-1], len(self.open), role, marked))
         self.open.append(len(self.nodes) - 1)
 
@@ -146,7 +166,12 @@ def parse(page: str | None) -> list[Node]:
         if tag in RAW:
             if not token["close"] and not token[0].endswith("/>"):
                 stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = stop.end() if stop else len(page)
+                if stop is None and tag not in NEVER_OPEN:  # ends with its parent; on the page itself only the tag goes
+                    parent = builder.nodes[builder.open[-1]].tag
+                    outer = re.compile(rf"</{re.escape(parent)}\s*>", re.I).search(page, at)
+                    at = outer.start() if outer else at
+                else:
+                    at = stop.end() if stop else len(page)
         elif tag in INLINE:
             if tag == "a":
                 builder.links = max(0, builder.links - 1) if token["close"] else 1

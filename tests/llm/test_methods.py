@@ -368,3 +368,15 @@ def test_main_text_without_marked_articles(spark):
     got = {r.page_id: r.text for r in extract_main_text(rows).collect()}
     assert got[1] == "Té One two three, four fivesix seven. Next one is here, and long enough to be content. a b & c"
     assert got[2] == "Only a paragraph, with commas, that is long enough to count as text."
+
+
+def test_main_text_with_anchors_and_unclosed_elements():
+    long = "This sentence is long enough, with commas, to count as text of an article."
+    page = (
+        f"<body><nav>Menu</nav><article><h1>Title</h1><p>{long}</p><h2 id='related-work'>Related work</h2><p class=popular>{long}</p>"
+        f"<section id='discussion'><h2 id=search-results>Results</h2><p>{long}</p></section>"
+        f"<section id=comments><p>{long}</p></section><div class=ad><p>{long}</p></div>"
+        f"<div><video src=a>old browser</div><p>{long} End.</p></article></body>"
+    )
+    (got,) = TreeModel.from_counts([]).texts([page])
+    assert got == f"Title {long} Related work {long} Results {long} {long} End."
