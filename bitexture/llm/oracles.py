@@ -70,6 +70,30 @@ ranked as (
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
 
+ORACLES["op12_phrase_dedup"] = rf"""
+with worded as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') as words from documents
+),
+windows as (
+    select doc_id, pos, sha256(array_to_string(words[pos : pos + 12], ' ')) as content
+    from (select doc_id, words, unnest(generate_series(1, len(words) - 12)) as pos from worded where len(words) >= 13)
+),
+owners as (
+    select content, min(doc_id) as owner from windows group by 1 having min(doc_id) < max(doc_id)
+),
+gone as (
+    select w.doc_id, list(distinct p.pos) as places
+    from windows w join owners o on o.content = w.content and o.owner < w.doc_id,
+         lateral (select unnest(generate_series(w.pos, w.pos + 12)) as pos) p
+    group by 1
+)
+select w.doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(len(places), 0) as bigint) as n_removed,
+       sha256(case when places is null then array_to_string(words, ' ') else coalesce(array_to_string(
+           list_transform(list_filter(list_zip(words, generate_series(1, len(words))), lambda p: not list_contains(places, p[2])), lambda p: p[1]), ' '), '') end)
+       as kept_sha256
+from worded w left join gone g on g.doc_id = w.doc_id
+"""
+
 
 def all_oracles() -> dict[str, str]:
     return dict(ORACLES)

@@ -14,6 +14,7 @@ from bitexture.llm.license_scan import scan_licenses
 from bitexture.llm.line_dedup import dedupe_lines
 from bitexture.llm.minhash_dedup import near_duplicates
 from bitexture.llm.mixing import standard_mix
+from bitexture.llm.phrase_dedup import dedupe_phrases
 from bitexture.llm.piece_sampling import decoded, sample_pieces
 from bitexture.llm.quality_rules import quality_verdicts
 from bitexture.llm.token_store import read_token_store, write_token_store
@@ -92,3 +93,10 @@ def op9_mix_to_targets(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op4_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return extract_main_text(table(spark, sf, "pages"), keep=("url",))
+
+
+@query
+def op12_phrase_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the words that repeat a 13-word window of an earlier one."""
+    cleaned = dedupe_phrases(table(spark, sf, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
