@@ -120,7 +120,7 @@ def _stretches(width: int):
                         place = np.uint64(xxhash.xxh64_intdigest(window, 1)).view(np.int64)
                         out.append((int(place), window, doc, key, i))
             table = pd.DataFrame(out, columns=["place", "stretch", "doc", "key", "first"])
-            yield table.assign(stretch=[s.decode() for s in table["stretch"]])
+            yield table.assign(stretch=pd.Series([s.decode() for s in table["stretch"]], dtype=object))
 
     return stretches
 
@@ -176,7 +176,7 @@ class Shard:
             hits = list(automaton.iter(letters)) if self.phrases else []
             if hits:
                 rows.append((place, stretch, [end - self.width + 1 for end, _ in hits], [owner for _, owner in hits]))
-        return pd.DataFrame(rows, columns=["place", "stretch", "offsets", "owners"])
+        return pd.DataFrame(rows, columns=["place", "stretch", "offsets", "owners"], dtype=object)
 
 
 def _located(width: int):
@@ -220,7 +220,9 @@ def _kept(width: int):
                 texts.append(b" ".join(left).decode())
                 counts.append(len(words))
                 removed.append(len(words) - len(left))
-            yield batch.drop(columns=["_text", "_verdicts"]).assign(_kept=texts, _n_words=counts, _n_removed=removed)
+            yield batch.drop(columns=["_text", "_verdicts"]).assign(
+                _kept=pd.Series(texts, batch.index, dtype=object), _n_words=counts, _n_removed=removed
+            )
 
     return kept
 

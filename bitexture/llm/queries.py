@@ -17,6 +17,7 @@ from bitexture.llm.mixing import standard_mix
 from bitexture.llm.phrase_dedup import dedupe_phrases
 from bitexture.llm.piece_sampling import decoded, sample_pieces
 from bitexture.llm.quality_rules import quality_verdicts
+from bitexture.llm.spelling_groups import spelling_groups, vocabulary
 from bitexture.llm.token_store import read_token_store, write_token_store
 from bitexture.llm.topk_search import top_k_products, usable
 from bitexture.session import scratch_dir
@@ -100,3 +101,9 @@ def op12_phrase_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without the words that repeat a 13-word window of an earlier one."""
     cleaned = dedupe_phrases(table(spark, sf, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query
+def op13_spelling_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of all documents, some of which lose a letter by checksum, with their near words, forms and roots."""
+    return spelling_groups(vocabulary(table(spark, sf, "documents"), drop_letter_every=97))
