@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitexture.llm.common import table
+from bitexture.llm.conversation_repair import conversation_digests, damaged_conversations, repair_conversations
 from bitexture.llm.html_extract import extract_main_text
 from bitexture.llm.importance import importance_sample
 from bitexture.llm.license_scan import scan_licenses
@@ -107,3 +108,21 @@ def op12_phrase_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op13_spelling_groups(spark: SparkSession, sf: str) -> DataFrame:
     """Words of all documents, some of which lose a letter by checksum, with their near words, forms and roots."""
     return spelling_groups(vocabulary(table(spark, sf, "documents"), drop_letter_every=97))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Every conversation after damage by checksum: its faults, the cheapest repair and a digest of the repaired lines."""
+    rows = table(spark, sf, "conversations")
+    found, repaired = repair_conversations(damaged_conversations(rows))
+    result = rows.select("conv_id").distinct()
+    for part in (found, conversation_digests(repaired)):
+        part = part.withColumnRenamed("conv_id", "_id")
+        result = result.join(part, F.col("conv_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    empty = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    return result.select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts),
+        *(F.coalesce(c, value).alias(c) for c, value in empty.items()),
+    )
