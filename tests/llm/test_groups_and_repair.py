@@ -230,8 +230,8 @@ def repaired(rows):
 
 def expected(rows, damage=True):
     convs = defaultdict(list)
-    for conv, *row in harm(rows) if damage else rows:
-        convs[conv].append(tuple(row))
+    for conv, turn, role, text in harm(rows) if damage else rows:
+        convs[conv].append((turn, " " if role is None else role, " " if text is None else text))
     for conv, *_ in rows:
         convs[conv]
     order = lambda r: (r[0] is not None, r[0] or 0)
@@ -262,7 +262,7 @@ def test_conversations_of_a_table(spark):
 def test_conversations_against_brute_force(spark):
     rng = random.Random(5)
     rows = [row for conv in range(150) for row in talk(rng, conv, rng.randrange(1, 9))]
-    rows += [(None, None, "user", "One."), (None, 3, "assistant", " "), (200, None, None, "x"), (201, 1, "user", "Twice."), (201, 1, "user", "Twice.")]
+    rows += [(None, None, "user", "One."), (None, 3, "assistant", None), (200, None, None, "x"), (201, 1, "user", "Twice."), (201, 1, "user", "Twice.")]
     rows += [(202, 5, "user", "long " * 50_000), (202, 9, "assistant", "end.")]
     rng.shuffle(rows)
     assert results(spark, rows) == expected(rows, damage=False)
