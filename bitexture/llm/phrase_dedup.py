@@ -19,13 +19,13 @@ Documents with the same words are one text: its first one stands for all, and th
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pandas as pd
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,33 +37,75 @@ WIDTH = 13
 ANCHOR_WORDS = 5
 CROWD = 10_000
 SHARD_PHRASES = 1_000
-KNOWN_WORDS = 1_000_000
+SLICE = 1 << 20
+PORTION = 1 << 20
+INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 2**64))
+LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * MULTIPLIER)  # a number per byte
+IS_SPACE = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
+NEXT_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _slices(buffer: bytes) -> Iterator[np.ndarray]:
+    """The bytes in slices that end with white space, as the buffer does; only a longer word makes one longer than ``SLICE``."""
+    start = 0
+    while start < len(buffer):
+        stop = len(buffer)
+        if stop - start > SLICE:
+            after = NEXT_SPACE.search(buffer, start + SLICE)
+            stop = after.end()
+        yield np.frombuffer(buffer, np.uint8, stop - start, start)
+        start = stop
 
 
 class WordHashes:
-    """Hashes of words, remembered up to ``KNOWN_WORDS`` different ones."""
+    """Hashes of all words of a list of texts: sums of their letters' numbers times powers of an odd multiplier."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        known = self.known
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        self.powers = np.zeros(0, np.uint64)
+
+    def _grown(self, n: int) -> None:
+        if len(self.powers) < n:
+            self.powers, self.inverses = (np.cumprod(np.full(n, p, np.uint64)) for p in (MULTIPLIER, INVERSE))
+
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes, and for each text the number of words before it, and that of all."""
+        hashes, begins, offset = [], [], 0
+        for data in _slices(b"\n".join([*texts, b""])):
+            self._grown(len(data))
+            space = IS_SPACE[data]
+            edge = np.flatnonzero(np.diff(np.r_[True, space].astype(np.int8)))
+            first, end = edge[0::2], edge[1::2]
+            sums = np.r_[np.uint64(0), np.cumsum(LETTERS[data] * self.powers[: len(data)])]
+            hashes.append(mixed((sums[end] - sums[first]) * self.inverses[first]))
+            begins.append(first + offset)
+            offset += len(data)
+        lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+        starts = np.r_[0, np.cumsum(lengths)]
+        if not hashes:
+            return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+        return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), starts)
 
 
 def anchors(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``ANCHOR_WORDS`` words, and for each window the place of its smallest, the leftmost of equals."""
-    n_runs = len(hashes) - ANCHOR_WORDS + 1
-    runs = np.zeros(n_runs, np.uint64)
+    """Hashes of all runs of ``ANCHOR_WORDS`` words, and for each window the place of its smallest, the leftmost of equals.
+
+    Runs and windows that leave the sequence read on at its last word.
+    """
+    runs = np.zeros(len(hashes), np.uint64)
     for k in range(ANCHOR_WORDS):
-        runs = runs * MULTIPLIER + hashes[k : k + n_runs]
+        runs = runs * MULTIPLIER + _ahead(hashes, k)
     runs = mixed(runs)
-    inside = sliding_window_view(runs, width - ANCHOR_WORDS + 1)
-    return runs, inside.argmin(axis=1) + np.arange(len(inside))
+    best, reach, n_runs = np.arange(len(runs)), 1, width - ANCHOR_WORDS + 1
+    while reach < n_runs:
+        step = min(reach, n_runs - reach)
+        other = _ahead(best, step)
+        best = np.where(runs[other] < runs[best], other, best)
+        reach += step
+    return runs, best
+
+
+def _ahead(values: np.ndarray, step: int) -> np.ndarray:
+    return values[np.minimum(np.arange(len(values)) + step, len(values) - 1)]
 
 
 def text_key(words: list[bytes]) -> tuple[bytes, int]:
@@ -72,59 +114,78 @@ def text_key(words: list[bytes]) -> tuple[bytes, int]:
     return digest, int.from_bytes(digest[:8], "little", signed=True)
 
 
+def _segments(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end of the runs of equal values."""
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    return starts, np.r_[starts[1:], len(at)]
+
+
 def _described(width: int):
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes_of = WordHashes()
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc"], batch["text"]):
-                words = (text or "").encode().split()
-                digest, key = text_key(words)
-                found = np.zeros(0, np.uint64)
-                if len(words) >= width:
-                    runs, at = anchors(hashes_of(words), width)
-                    found = np.unique(runs[np.unique(at)])
-                rows.append((doc, digest, key, len(words), found.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc", "digest", "key", "n_words", "anchors"])
+            for part in _portions(batch):
+                texts = [(t or "").encode() for t in part["text"]]
+                hashes, place = hashes_of(texts)
+                runs, at = anchors(hashes, width)
+                rows = []
+                for doc, text, first, end in zip(part["doc"], texts, place[:-1].tolist(), place[1:].tolist()):
+                    windows = at[first : end - width + 1] if end - first >= width else at[:0]
+                    found = runs[windows[_segments(windows)[0]]] if len(windows) else runs[:0]
+                    rows.append((doc, *text_key(text.split()), end - first, found.view(np.int64)))
+                yield pd.DataFrame(rows, columns=["doc", "digest", "key", "n_words", "anchors"])
 
     return described
 
 
+def _portions(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows of a batch with about ``PORTION`` letters, one row at least."""
+    upto = batch["text"].str.len().fillna(0).cumsum().to_numpy()
+    start = 0
+    while start < len(batch):
+        before = upto[start - 1] if start else 0
+        stop = max(int(np.searchsorted(upto, before + PORTION, side="right")), start + 1)
+        yield batch.iloc[start:stop]
+        start = stop
+
+
 def _stretches(width: int):
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes_of = WordHashes()
         for batch in batches:
-            out: list[tuple] = []
-            for doc, text, marked in zip(batch["doc"], batch["text"], batch["marked"]):
-                if marked is None or not len(marked):
-                    continue
-                words = (text or "").encode().split()
-                _, key = text_key(words)
-                wanted = {a: crowded for m in marked if m["key"] == key for a, crowded in zip(m["anchors"], m["crowded"])}
-                if not wanted:
-                    continue
-                runs, at = anchors(hashes_of(words), width)
+            for part in _portions(batch[batch["marked"].notna()]):
+                texts = [(t or "").encode() for t in part["text"]]
+                hashes, place = hashes_of(texts)
+                runs, at = anchors(hashes, width)
                 runs = runs.view(np.int64)
-                starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-                ends = np.r_[starts[1:], len(at)]
-                for first, end in zip(starts.tolist(), ends.tolist()):
-                    anchor = int(runs[at[first]])
-                    crowded = wanted.get(anchor)
-                    if crowded is None:
-                        continue
-                    if not crowded:
-                        out.append((anchor, b" ".join(words[first : end + width - 1]), doc, key, first))
-                        continue
-                    for i in range(first, end):
-                        window = b" ".join(words[i : i + width])
-                        place = np.uint64(xxhash.xxh64_intdigest(window, 1)).view(np.int64)
-                        out.append((int(place), window, doc, key, i))
-            table = pd.DataFrame(out, columns=["place", "stretch", "doc", "key", "first"])
-            yield table.assign(stretch=pd.Series([s.decode() for s in table["stretch"]], dtype=object))
+                out: list[tuple] = []
+                for i, (doc, marked) in enumerate(zip(part["doc"], part["marked"])):
+                    words = texts[i].split()
+                    _, key = text_key(words)
+                    wanted = {a: crowded for m in marked if m["key"] == key for a, crowded in zip(m["anchors"], m["crowded"])}
+                    if wanted:
+                        own = at[place[i] : place[i + 1] - width + 1]
+                        firsts, ends = _segments(own)
+                        for first, end, anchor in zip(firsts.tolist(), ends.tolist(), runs[own[firsts]].tolist()):
+                            if anchor in wanted:
+                                out += _sent(words, first, end, anchor, wanted[anchor], width, doc, key)
+                table = pd.DataFrame(out, columns=["place", "stretch", "doc", "key", "first"])
+                yield table.assign(stretch=pd.Series([s.decode() for s in table["stretch"]], dtype=object))
 
     return stretches
 
 
+def _sent(words: list[bytes], first: int, end: int, anchor: int, crowded: bool, width: int, doc, key: int) -> list[tuple]:
+    """The windows ``first <= i < end`` as one stretch to their anchor's place, or one by one to their own."""
+    if not crowded:
+        return [(anchor, b" ".join(words[first : end + width - 1]), doc, key, first)]
+    out = []
+    for i in range(first, end):
+        window = b" ".join(words[i : i + width])
+        out.append((int(np.uint64(xxhash.xxh64_intdigest(window, 1)).view(np.int64)), window, doc, key, i))
+    return out
+
+
 def _confirmed(stretches: list[tuple], width: int) -> dict[tuple, int]:
     """Windows of several documents, and the smallest of these."""
     extents: dict[tuple, tuple] = {}
