@@ -1,24 +1,74 @@
-"""N-gram tables of hypothesis and reference texts.
+"""N-gram tables of hypotheses and their references.
 
 The rows are partitioned by example once, while they are still plain text. Counting n-grams per example needs no
-further shuffle, because every n-gram of an example is already in the example's partition.
+further shuffle, because every n-gram of an example is already in the example's partition. Examples with a text beyond
+``LONG_TEXT`` are cut into overlapping pieces that are dealt out on their own, and their counts are merged per n-gram. One
+aggregate over the texts finds out how many tasks the texts are worth, and whether there are any such examples.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from bitexture.operators.selection import one_row
 
 EXAMPLE = "example_id"
+LONG_TEXT = 1 << 18
+PIECE_UNITS = 1 << 16
+TASK_BYTES = 1 << 20
+LEAST_TASK_BYTES = 1 << 16
+
+
+@dataclass(frozen=True)
+class Extent:
+    """What the texts of a table of examples amount to."""
+
+    size: int  # bytes of all texts
+    longest: int  # characters
+    references: int  # the most that one example has
+    tasks: int
+
+    @property
+    def has_long(self) -> bool:
+        return self.longest > LONG_TEXT
+
 
+def reference_list(examples: DataFrame, column: Column) -> Column:
+    """References as an array: a single text is a list of one; a missing or empty list holds one empty text."""
+    kind = examples.select(column.alias("c")).schema["c"].dataType
+    if not isinstance(kind, T.ArrayType):
+        return F.array(F.coalesce(column, F.lit("")))
+    filled = F.transform(column, lambda text: F.coalesce(text, F.lit("")))
+    return F.when(F.size(filled) > 0, filled).otherwise(F.array(F.lit("")))
 
-def by_example(df: DataFrame) -> DataFrame:
-    """Partition by example, into as many tasks as a shuffle has.
+
+def extent_of(examples: DataFrame) -> Extent:
+    """One pass over ``predictions`` and the list ``outputs``."""
+    texts = F.concat(F.array(F.coalesce("predictions", F.lit(""))), "outputs")
+    total = F.aggregate(texts, F.lit(0).cast("bigint"), lambda n, text: n + F.octet_length(text))
+    row = one_row(
+        examples.agg(F.sum(total).alias("size"), F.max(_longest(texts)).alias("longest"), F.max(F.size("outputs")).alias("k"))
+    )
+    size, cores = row["size"] or 0, examples.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-size // TASK_BYTES), min(cores, -(-size // LEAST_TASK_BYTES)), 1)
+    return Extent(size, row.longest or 0, row.k or 1, tasks)
+
+
+def _longest(texts: Column) -> Column:
+    return F.array_max(F.transform(texts, F.length))
+
+
+def by_example(df: DataFrame, tasks: int) -> DataFrame:
+    """Partition by example into ``tasks`` parts.
 
     The count is given because the work per byte is far above a plain shuffle's: sized by bytes alone, adaptive
     execution would merge these partitions into too few tasks.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(tasks, EXAMPLE)
 
 
@@ -45,47 +95,91 @@ def gram_order(gram: Column, unit: str) -> Column:
     return F.length(gram) if unit == "char" else F.regexp_count(gram, F.lit(unit_separator(unit))) + 1
 
 
-def example_ngrams(
-    examples: DataFrame, hypothesis: Column, reference: Column, keys: list[str], max_n: int, unit: str = "char"
-) -> DataFrame:
-    """Rows ``(*keys, example_id, gram, n, h, r)`` with the counts of a gram on both sides of an example."""
-    sides = F.array(
-        F.struct(F.lit(1).alias("h"), F.lit(0).alias("r"), hypothesis.alias("text")),
-        F.struct(F.lit(0).alias("h"), F.lit(1).alias("r"), reference.alias("text")),
-    )
-    placed = by_example(examples.select(*keys, EXAMPLE, F.explode(sides).alias("s")))
-    grams = _occurrences(placed.select(*keys, EXAMPLE, "s.*"), max_n, unit)
-    counts = grams.groupBy(*keys, EXAMPLE, "gram").agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
-    return counts.withColumn("n", gram_order(F.col("gram"), unit))
+def counts_of(j: int) -> str:
+    """Column with the counts in the j-th reference."""
+    return f"r{j}"
+
+
+def _most(columns: list[Column]) -> Column:
+    return F.greatest(*columns) if len(columns) > 1 else columns[0]
+
 
+def example_ngrams(examples: DataFrame, extent: Extent, keys: list[str], max_n: int, unit: str = "char") -> DataFrame:
+    """Rows ``(*keys, example_id, gram, n, h, r0, r1, ...)``: counts of a gram in the hypothesis and in each reference.
 
-def corpus_ngrams(examples: DataFrame, text: Column, keys: list[str], max_n: int, unit: str = "char") -> DataFrame:
-    """Rows ``(*keys, gram, n, count)`` over all texts of a group; repeats collapse before they are shuffled."""
-    placed = by_example(examples.select(*keys, EXAMPLE, text.alias("text"))).drop(EXAMPLE)
-    counts = _occurrences(placed, max_n, unit).groupBy(*keys, "gram").agg(F.count("*").alias("count"))
+    ``examples`` has ``predictions`` and the list ``outputs``.
+    """
+    listed = F.transform("outputs", lambda text, j: F.struct(j.alias("side"), text.alias("text")))
+    sides = F.concat(F.array(F.struct(F.lit(-1).alias("side"), F.coalesce("predictions", F.lit("")).alias("text"))), listed)
+    spread = examples.select(*keys, EXAMPLE, "predictions", "outputs", F.explode(sides).alias("s"))
+
+    def counted(occurrences: DataFrame) -> DataFrame:
+        of = lambda side: F.sum(F.when(F.col("side") == side, 1).otherwise(0))
+        refs = [of(j).alias(counts_of(j)) for j in range(extent.references)]
+        return occurrences.groupBy(*keys, EXAMPLE, "gram").agg(of(-1).alias("h"), *refs)
+
+    columns = [*keys, EXAMPLE, "s.*"]
+    if extent.has_long:
+        texts = F.concat(F.array(F.coalesce("predictions", F.lit(""))), F.col("outputs"))
+        is_long = _longest(texts) > LONG_TEXT
+        pieces = _pieces(spread.where(is_long).select(*columns), max_n, unit)
+        pieces = pieces.repartition(extent.tasks, EXAMPLE, "side", "piece").drop("piece")
+        long_counts = counted(_occurrences(pieces, max_n, unit, PIECE_UNITS))
+        spread = spread.where(~is_long)
+    counts = counted(_occurrences(by_example(spread.select(*columns), extent.tasks), max_n, unit))
+    if extent.has_long:
+        counts = counts.unionByName(long_counts)
     return counts.withColumn("n", gram_order(F.col("gram"), unit))
 
 
-def _occurrences(texts: DataFrame, max_n: int, unit: str) -> DataFrame:
-    """Replace ``text`` by one row ``gram`` per n-gram occurrence of orders 1 to ``max_n``."""
+def _pieces(texts: DataFrame, max_n: int, unit: str) -> DataFrame:
+    """Texts in pieces of ``PIECE_UNITS`` units, each with the ``max_n - 1`` units behind it."""
+    others = [c for c in texts.columns if c != "text"]
+    if unit == "char":
+        whole, n_units = F.col("text"), F.length("text")
+        cut = lambda i: F.substring(F.col("text"), i * PIECE_UNITS + 1, F.lit(PIECE_UNITS + max_n - 1))
+    else:
+        texts = texts.where(F.col("text") != "").select(*others, units(F.col("text"), unit).alias("text"))
+        whole, n_units = F.col("text"), F.size("text")
+        cut = lambda i: F.array_join(F.slice(F.col("text"), i * PIECE_UNITS + 1, F.lit(PIECE_UNITS + max_n - 1)), " ")
+    last = F.floor((F.greatest(n_units, F.lit(1)) - 1) / PIECE_UNITS).cast("int")
+    numbered = texts.select(*others, whole.alias("text"), F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+    return numbered.select(*others, "piece", cut(F.col("piece")).alias("text"))
+
+
+def _occurrences(texts: DataFrame, max_n: int, unit: str, starts: int | None = None) -> DataFrame:
+    """Replace ``text`` by one row ``gram`` per n-gram occurrence of orders 1 to ``max_n`` that starts in its first ``starts``
+    units, or anywhere."""
     sep = unit_separator(unit)
     others = [c for c in texts.columns if c != "text"]
     cut = texts.where(F.col("text") != "").select(*others, units(F.col("text"), unit).alias("u"))
     # A text of blanks has no words: its only starts lie outside the array and give no gram.
-    starts = cut.select("*", F.explode(F.sequence(F.lit(0), F.size("u") - 1)).alias("i"))
+    last = F.size("u") - 1 if starts is None else F.least(F.size("u"), F.lit(starts)) - 1
+    placed = cut.select("*", F.explode(F.sequence(F.lit(0), last)).alias("i"))
     window = [F.get("u", F.col("i") + k) for k in range(max_n)]
     # ``concat`` with a unit beyond the end is NULL.
     spaced = [[p for unit_at in window[:n] for p in (F.lit(sep), unit_at)][1:] for n in range(1, max_n + 1)]
     grams = F.array(*[F.concat(*(parts if sep else parts[::2])) for parts in spaced])
-    return starts.select(*others, F.explode(grams).alias("gram")).where(F.col("gram").isNotNull())
+    return placed.select(*others, F.explode(grams).alias("gram")).where(F.col("gram").isNotNull())
 
 
-def example_matches(
-    examples: DataFrame, hypothesis: Column, reference: Column, keys: list[str], max_n: int, unit: str = "char"
-) -> DataFrame:
-    """Clipped matches per example: columns ``m1 .. m<max_n>``, one row per example that has any unit."""
-    counts = example_ngrams(examples, hypothesis, reference, keys, max_n, unit)
-    clipped = F.least("h", "r")
-    return counts.groupBy(*keys, EXAMPLE).agg(
-        *[F.sum(F.when(F.col("n") == n, clipped).otherwise(0)).alias(f"m{n}") for n in range(1, max_n + 1)]
-    )
+def example_matches(examples: DataFrame, extent: Extent, keys: list[str], max_n: int, unit: str = "char") -> DataFrame:
+    """Matches per example, one row per example that has any unit.
+
+    ``m1 .. m<max_n>`` clip each gram at the most any reference has of it, ``m<n>_<j>`` at what the j-th has.
+    """
+    counts = example_ngrams(examples, extent, keys, max_n, unit)
+    refs = [F.col(counts_of(j)) for j in range(extent.references)]
+
+    def matched(n: int, limit: Column) -> Column:
+        return F.sum(F.when(F.col("n") == n, F.least("h", limit)).otherwise(0))
+
+    orders = range(1, max_n + 1)
+    clipped = [matched(n, _most(refs)).alias(f"m{n}") for n in orders]
+    single = [matched(n, limit).alias(f"m{n}_{j}") for j, limit in enumerate(refs) for n in orders]
+    return counts.groupBy(*keys, EXAMPLE).agg(*clipped, *(single if len(refs) > 1 else []))
+
+
+def reference_count(extent: Extent) -> Column:
+    """Occurrences of a gram in all references of its example."""
+    return reduce(lambda a, b: a + b, [F.col(counts_of(j)) for j in range(extent.references)])

@@ -165,8 +165,8 @@ def _chunked(hypotheses: list, references: list, unit: str, units_per_chunk: int
     return np.concatenate(parts)
 
 
-def sentence_ribes(examples: DataFrame, unit: str = "char") -> DataFrame:
-    """Add ``ribes`` to every example, spread over all tasks. An empty hypothesis scores 0."""
+def sentence_ribes(examples: DataFrame, unit: str = "char", tasks: int | None = None) -> DataFrame:
+    """Add ``ribes`` to every example, spread over ``tasks`` if given. An empty hypothesis scores 0."""
 
     def cut(texts: pd.Series) -> list:
         whole = texts.fillna("").tolist()
@@ -177,4 +177,5 @@ def sentence_ribes(examples: DataFrame, unit: str = "char") -> DataFrame:
         for hypotheses, references in batches:
             yield pd.Series(_chunked(cut(hypotheses), cut(references), unit))
 
-    return by_example(examples).withColumn("ribes", score("predictions", "outputs"))
+    placed = examples if tasks is None else by_example(examples, tasks)
+    return placed.withColumn("ribes", score("predictions", "outputs"))

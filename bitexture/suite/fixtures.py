@@ -2,6 +2,7 @@
 
 pairs        conversation turns with the turn that follows, and two scores
 noisy_pairs  pairs with copies and missing sides
+with_references  examples with one to three references
 examples     pairs as evaluation examples with damaged targets as predictions
 corpus       documents as monolingual texts
 labelled     documents with their quality label and a given split
@@ -79,6 +80,13 @@ def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The examples with one to three references each."""
+    k = (seeded_hash("example_id", "references") % 3 + 1).cast("int")
+    options = F.array("outputs", F.replace("outputs", F.lit("a"), F.lit("o")), "inputs")
+    return examples(spark, sf_dir).withColumn("outputs", F.slice(options, F.lit(1), k))
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
 
@@ -152,6 +160,11 @@ SQL = {
               when 4 then substr(trg_text, 1, length(trg_text) // 2)
               else case when {_E} = 0 then '' else replace(trg_text, ' ', '  ') end end as predictions
           from pairs)""",
+    "with_references": f"""
+        with_references as (
+          select * exclude (outputs), list_slice([outputs, replace(outputs, 'a', 'o'), inputs], 1,
+            {sql_hash('example_id', 'references')} % 3 + 1) as outputs
+          from examples)""",
     "corpus": "corpus as (select doc_id, source, lang, text from documents)",
     "labelled": """
         labelled as (
@@ -172,7 +185,7 @@ SQL = {
           from embeddings)""",
 }
 
-_NEEDS = {"noisy_pairs": ["pairs"], "examples": ["pairs"]}
+_NEEDS = {"noisy_pairs": ["pairs"], "examples": ["pairs"], "with_references": ["pairs", "examples"]}
 
 
 def with_fixtures(*names: str) -> str:

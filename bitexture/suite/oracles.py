@@ -253,6 +253,96 @@ def nist(keys: str = "dataset") -> str:
         from prec join l using ({keys}))"""
 
 
+def _referenced(orders: int, name: str, text: str) -> str:
+    """CTEs ``<name>hc`` and ``<name>rc`` (grams of hypotheses and of each reference) and ``<name>len`` (lengths per reference)."""
+    return f"""
+      {name}sides as (
+        select dataset, example_id, -1 as j, predictions as raw, {text.format('predictions')} as t from with_references
+        union all
+        select dataset, example_id, j, raw, {text.format('raw')} as t
+        from (select dataset, example_id, unnest(outputs) as raw, generate_subscripts(outputs, 1) - 1 as j from with_references)),
+      {name}all as (
+        select dataset, example_id, j, n, substr(t, i, n) as gram, count(*) as c
+        from (select *, unnest(range(1, length(t) - n + 2)) as i from {name}sides cross join range(1, {orders + 1}) q(n))
+        group by all),
+      {name}hc as (select dataset, example_id, n, gram, c as h from {name}all where j < 0),
+      {name}rc as (select dataset, example_id, j, n, gram, c as r from {name}all where j >= 0),
+      {name}len as (
+        select r.dataset, r.example_id, r.j, length(h.t) as hl, length(r.t) as rl
+        from {name}sides h join {name}sides r on h.dataset is not distinct from r.dataset and h.example_id = r.example_id
+        where h.j < 0 and r.j >= 0)"""
+
+
+def _gram_sum(length: str) -> str:
+    return " + ".join(f"greatest({length} - {n - 1}, 0)" for n in range(1, 5))
+
+
+def references() -> str:
+    """Every metric over lists of references, from the grams of each reference on its own."""
+    both = "join rc using (dataset, example_id, n, gram)"
+    return f"""{with_fixtures('with_references')}, {_referenced(5, '', '{}')},
+      {_referenced(6, 'p', f"regexp_replace({{}}, '{SPACE}+', '', 'g')")},
+      most as (select dataset, example_id, n, gram, max(r) as r from rc group by all),
+      m as (select dataset, n, sum(least(h, r))::bigint as m from hc join most using (dataset, example_id, n, gram) group by all),
+      near as (
+        select dataset, example_id, any_value(hl) as hl, min(struct_pack(d := abs(rl - hl), l := rl)).l as rl from len group by all),
+      t as (select dataset, n, sum(greatest(hl - n + 1, 1))::bigint as t, sum(greatest(hl - n + 1, 0))::bigint as t0
+            from near cross join range(1, 6) q(n) group by all),
+      logs as (
+        select dataset, sum(ln(case when coalesce(m, 0) > 0 then m::double / t else 2.2250738585072014e-308 end)) / 4 as s,
+          max(case when n = 1 then coalesce(m, 0) end) as m1
+        from t left join m using (dataset, n) where n <= 4 group by all),
+      bleu as (
+        select dataset, 'bleu' as metric,
+          case when m1 = 0 then 0 else (case when hyp > ref then 1 when hyp = 0 then 0 else exp(1 - ref::double / hyp) end) * exp(s) end as score
+        from logs join (select dataset, sum(hl)::bigint as hyp, sum(rl)::bigint as ref from near group by all) using (dataset)),
+      overlap as (select dataset, example_id, j, sum(least(h, r))::bigint as tp from hc {both} where n <= 4 group by all),
+      shares as (
+        select dataset, example_id, j, coalesce(tp, 0) as tp, greatest({_gram_sum('hl')}, {_gram_sum('rl')}) as g
+        from len left join overlap using (dataset, example_id, j)),
+      gleu as (
+        select dataset, 'gleu' as metric, coalesce(sum(b.tp)::double / nullif(sum(b.g), 0), 0) as score
+        from (select dataset, example_id, max(struct_pack(s := tp::double / g, f := -j, tp := tp, g := g)) as b
+              from shares where g > 0 group by all)
+        group by all),
+      pm as (
+        select dataset, example_id, j, n, sum(least(h, r))::bigint as m
+        from phc join prc using (dataset, example_id, n, gram) group by all),
+      parts as (
+        select dataset, example_id, j, coalesce(m, 0)::double / nullif(greatest(hl - n + 1, 0), 0) as p,
+          coalesce(m, 0)::double / nullif(greatest(rl - n + 1, 0), 0) as rc
+        from plen cross join range(1, 7) q(n) left join pm using (dataset, example_id, j, n)),
+      chrf as (
+        select dataset, 'chrf' as metric, avg(f) / 6 as score
+        from (select dataset, example_id, max(f) as f
+              from (select dataset, example_id, j, sum(coalesce(10::double * (p * rc) / nullif(9::double * p + rc, 0), 1e-16::double)) as f
+                    from parts group by all)
+              group by all)
+        group by all),
+      seen as (select dataset, n, gram, sum(r)::bigint as r from rc group by all),
+      total as (select dataset, sum(rl)::bigint as ref_len from len group by all),
+      info as (
+        select a.dataset, a.n, a.gram, log2(coalesce(b.r, ref_len)::double / a.r) as info
+        from seen a left join seen b on a.dataset = b.dataset and b.n = a.n - 1 and b.gram = substr(a.gram, 1, a.n - 1)
+        join total on total.dataset = a.dataset),
+      gains as (
+        select dataset, example_id, j, n, sum(info * least(h, r)) as gain
+        from hc {both} join info using (dataset, n, gram) group by all),
+      picked as (
+        select dataset, example_id, n, any_value(hl) as hl, max(struct_pack(g := coalesce(gain, 0), l := rl)) as b
+        from len cross join range(1, 6) q(n) left join gains using (dataset, example_id, j, n) group by all),
+      per_order as (
+        select dataset, n, sum(b.g) as g, sum(b.l)::bigint as rl, sum(hl)::bigint as hl from picked group by all),
+      nist as (
+        select dataset, 'nist' as metric, p * case when hyp > 0 and hyp < ref
+            then exp(ln(0.5::double) / pow(ln(1.5::double), 2) * pow(ln(hyp::double / ref), 2))
+            else greatest(least(hyp::double / ref, 1), 0) end as score
+        from (select dataset, sum(coalesce(g / nullif(t0, 0), 0)) as p, sum(rl)::bigint as ref, sum(hl)::bigint as hyp
+              from per_order join t using (dataset, n) group by all))
+      select dataset, metric, round(score, 6) as score
+      from (select * from bleu union all select * from gleu union all select * from chrf union all select * from nist)"""
+
+
 GUARDED = """
       counted as (
         select *, sum(case when isnan(loss) then 1 else 0 end) over (
@@ -454,6 +544,7 @@ def all_oracles() -> dict[str, str]:
         "metric_gleu": f"{EXAMPLES}, {bleu()}, {gleu()} select dataset, metric, score from gleu",
         "metric_chrf": f"{EXAMPLES}, {chrf()} select dataset, metric, score from chrf",
         "metric_nist": f"{EXAMPLES}, {nist()} select dataset, metric, score from nist",
+        "metric_references": references(),
         "metric_report": " union all ".join(report),
         "perplexity_score": PERPLEXITY,
         "perplexity_sequences": PERPLEXITY,

@@ -614,6 +614,13 @@ def metric_ribes(spark, sf):
     return _score(spark, sf, "ribes")
 
 
+@query
+def metric_references(spark, sf):
+    """All metrics but rank correlation over examples with one to three references."""
+    many = fx.with_references(spark, sf)
+    return _rounded(metrics.evaluate(many, ["bleu", "gleu", "chrf", "nist"], ["dataset"]))
+
+
 @query
 def metric_report(spark, sf):
     scores = metrics.evaluate(fx.examples(spark, sf), ["bleu", "gleu", "chrf", "nist"], store.RUN_KEYS)

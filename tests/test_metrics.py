@@ -176,9 +176,10 @@ def test_dispatch(examples):
 
 def test_ngrams_take_one_shuffle(examples):
     """Text is partitioned by example once; counting its n-grams needs no exchange of its own."""
-    from bitexture.operators.ngrams import example_matches
+    from bitexture.operators.ngrams import example_matches, extent_of, reference_list
 
-    matches = example_matches(examples, F.col("predictions"), F.col("outputs"), ["dataset"], 4)
+    listed = examples.withColumn("outputs", reference_list(examples, F.col("outputs")))
+    matches = example_matches(listed, extent_of(listed), ["dataset"], 4)
     plan = matches._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
 
@@ -201,3 +202,122 @@ def test_rank_correlation_of_empty_input(spark):
     assert sentence_ribes(df).count() == 0
     df = spark.createDataFrame([(1, None, "x")], "example_id int, predictions string, outputs string")
     assert sentence_ribes(df).first().ribes == 0.0
+
+
+# Several references
+
+MANY = [(h, [r, *extra]) for (h, r), extra in zip(CASES, ([], ["the cat"], ["", "ab"], [CASES[0][0], "x y z", "aaab"]) * 20)]
+
+
+def clipped(h, refs, n):
+    most = Counter()
+    for r in refs:
+        most |= grams(r, n)
+    return total(grams(h, n) & most)
+
+
+def many_bleu(pairs):
+    hyp = sum(len(h) for h, _ in pairs)
+    ref = sum(min((abs(len(r) - len(h)), len(r)) for r in refs)[1] for h, refs in pairs)
+    logs = 0.0
+    for n in range(1, 5):
+        matched = sum(clipped(h, refs, n) for h, refs in pairs)
+        if n == 1 and not matched:
+            return 0.0
+        logs += math.log(matched / sum(max(1, total(grams(h, n))) for h, _ in pairs) if matched else 2.2250738585072014e-308)
+    return (1.0 if hyp > ref else math.exp(1 - ref / hyp)) * math.exp(logs / 4)
+
+
+def many_gleu(pairs):
+    matched = whole = 0
+    for h, refs in pairs:
+        options = []
+        for r in refs:
+            both = [(grams(h, n), grams(r, n)) for n in range(1, 5)]
+            size = max(sum(total(a) for a, _ in both), sum(total(b) for _, b in both))
+            if size:
+                options.append((sum(total(a & b) for a, b in both), size))
+        if options:
+            m, size = max(options, key=lambda o: o[0] / o[1])
+            matched, whole = matched + m, whole + size
+    return matched / whole
+
+
+def many_nist(pairs):
+    seen = sum((grams(r, n) for _, refs in pairs for r in refs for n in range(1, 6)), Counter())
+    units = sum(len(r) for _, refs in pairs for r in refs)
+    score, hyp, ref = 0.0, 0, 0
+    for n in range(1, 6):
+        gain = count = 0
+        for h, refs in pairs:
+            info = lambda g: math.log2((seen[g[:-1]] if len(g) > 1 else units) / seen[g])
+            best = max((sum(info(g) * c for g, c in (grams(h, n) & grams(r, n)).items()), len(r)) for r in refs)
+            gain, ref, hyp = gain + best[0], ref + best[1], hyp + len(h)
+            count += total(grams(h, n))
+        score += gain / count if count else 0.0
+    x = hyp / ref
+    return score * (math.exp(math.log(0.5) / math.log(1.5) ** 2 * math.log(x) ** 2) if 0 < x < 1 else max(min(x, 1.0), 0.0))
+
+
+MANY_BRUTE = {
+    "bleu": many_bleu,
+    "gleu": many_gleu,
+    "nist": many_nist,
+    "chrf": lambda pairs: sum(max(chrf([(h, r)]) for r in refs) for h, refs in pairs) / len(pairs),
+    "ribes": lambda pairs: sum(max(ribes_one(h, r) for r in refs) for h, refs in pairs) / len(pairs),
+}
+
+
+@pytest.mark.parametrize("unit", ["char", "word"])
+def test_lists_of_references(spark, unit):
+    rows = [(i, h, refs) for i, (h, refs) in enumerate(MANY)]
+    df = spark.createDataFrame(rows, "example_id long, predictions string, outputs array<string>")
+    got = {r.metric: r.score for r in metrics.evaluate(df, list(MANY_BRUTE), unit=unit).collect()}
+    for name, brute in MANY_BRUTE.items():
+        size = "char" if name == "chrf" else unit
+        assert got[name] == pytest.approx(brute([(cut(h, size), [cut(r, size) for r in refs]) for h, refs in MANY])), name
+
+
+def test_lists_of_one_and_missing_references(spark):
+    texts = [(1, "a b", ["a c"]), (2, "a", None), (3, "b", []), (4, "c d", [None]), (5, None, ["x"])]
+    single = [(i, h, r[0] if r else None) for i, h, r in texts]
+    lists = spark.createDataFrame(texts, "example_id long, predictions string, outputs array<string>")
+    plain = spark.createDataFrame(single, "example_id long, predictions string, outputs string")
+    names = list(MANY_BRUTE)
+    assert metrics.evaluate(lists, names).collect() == metrics.evaluate(plain, names).collect()
+
+
+@pytest.mark.parametrize("unit", ["char", "word"])
+def test_long_examples_in_pieces(spark, examples, monkeypatch, unit):
+    """Texts beyond the bound are cut, and every score stays what it was."""
+    from bitexture.operators import ngrams
+
+    names = ["bleu", "gleu", "chrf", "nist"]
+    want = {(r.dataset, r.metric): r.score for r in metrics.evaluate(examples, names, ["dataset"], unit).collect()}
+    monkeypatch.setattr(ngrams, "LONG_TEXT", 12)
+    monkeypatch.setattr(ngrams, "PIECE_UNITS", 5)
+    got = {(r.dataset, r.metric): r.score for r in metrics.evaluate(examples, names, ["dataset"], unit).collect()}
+    assert got == {k: pytest.approx(v) for k, v in want.items()}
+
+
+def test_one_long_example_is_spread(spark):
+    """The pieces of one example lie in many partitions, sized by bytes."""
+    from bitexture.operators import ngrams
+
+    text = " ".join(f"w{i % 977}" for i in range(700_000))
+    df = spark.createDataFrame([(1, text, text[:-9] + "x")], "example_id long, predictions string, outputs string")
+    df = metrics._grouped(df, [])
+    extent = ngrams.extent_of(df)
+    assert extent.has_long and extent.tasks == -(-extent.size // ngrams.TASK_BYTES) > 6
+    sides = df.select("example_id", F.lit(0).alias("side"), F.col("predictions").alias("text"))
+    pieces = ngrams._pieces(sides, 4, "char").repartition(extent.tasks, "example_id", "side", "piece")
+    per_task = [r.n for r in pieces.groupBy(F.spark_partition_id()).agg(F.sum(F.length("text")).alias("n")).collect()]
+    assert len(per_task) >= 4 and max(per_task) < len(text)
+
+
+def test_prefix_counts_follow_sort_order(spark):
+    """Weights of words that hold characters below the separator, over many range partitions."""
+    texts = ["a b", "a\x01 b", "a!b c", "a b c", "ab a b", "a"] * 3
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "example_id long, predictions string, outputs string")
+    want = nist([(t.split(), t.split()) for t in texts])
+    assert metrics.nist(df, unit="word").first().score == pytest.approx(want)
