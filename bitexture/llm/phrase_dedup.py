@@ -131,7 +131,7 @@ def _described(width: int):
                 rows = []
                 for doc, text, first, end in zip(part["doc"], texts, place[:-1].tolist(), place[1:].tolist()):
                     windows = at[first : end - width + 1] if end - first >= width else at[:0]
-                    found = runs[windows[_segments(windows)[0]]] if len(windows) else runs[:0]
+                    found = np.unique(runs[windows[_segments(windows)[0]]]) if len(windows) else runs[:0]
                     rows.append((doc, *text_key(text.split()), end - first, found.view(np.int64)))
                 yield pd.DataFrame(rows, columns=["doc", "digest", "key", "n_words", "anchors"])
 
