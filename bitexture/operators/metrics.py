@@ -263,14 +263,13 @@ def nist(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataF
         joined = lengths.join(gains, [GROUP, EXAMPLE], "left")
 
         def best(n: int) -> Column:
-            return F.array_max(
-                F.array(
-                    *[
-                        F.when(F.size("rls") > j, F.struct(F.coalesce(f"g{n}_{j}", F.lit(0.0)).alias("gain"), F.get("rls", F.lit(j)).alias("length")))
-                        for j in range(len(refs))
-                    ]
-                )
-            )
+            """Gain and length of the best reference; of gains equal to six places the longer reference, however summed."""
+            options = []
+            for j in range(len(refs)):
+                found, length = F.coalesce(f"g{n}_{j}", F.lit(0.0)), F.get("rls", F.lit(j))
+                fields = F.struct(F.round(found, 6).alias("level"), length.alias("length"), found.alias("gain"))
+                options.append(F.when(F.size("rls") > j, fields))
+            return F.array_max(F.array(*options))
 
         joined = joined.withColumns({f"b{n}": best(n) for n in orders})
         sums = joined.groupBy(GROUP).agg(

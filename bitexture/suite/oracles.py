@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from bitexture.functions.wrappers import DEFAULT_SYSTEM_PROMPT
 from bitexture.suite.fixtures import SQL, sql_hash, with_fixtures
 from bitexture.suite.queries import CUT, MAX_TOKENS, ROW_LENGTH, TOP
@@ -253,20 +255,20 @@ def nist(keys: str = "dataset") -> str:
         from prec join l using ({keys}))"""
 
 
-def _referenced(orders: int, name: str, text: str) -> str:
+def _referenced(orders: int, name: str, text: Callable[[str], str]) -> str:
     """CTEs ``<name>hc`` and ``<name>rc`` (grams of hypotheses and of each reference) and ``<name>len`` (lengths per reference)."""
     return f"""
       {name}sides as (
-        select dataset, example_id, -1 as j, predictions as raw, {text.format('predictions')} as t from with_references
+        select dataset, example_id, -1 as j, predictions as raw, {text('predictions')} as t from with_references
         union all
-        select dataset, example_id, j, raw, {text.format('raw')} as t
+        select dataset, example_id, j, raw, {text('raw')} as t
         from (select dataset, example_id, unnest(outputs) as raw, generate_subscripts(outputs, 1) - 1 as j from with_references)),
-      {name}all as (
+      {name}occ as (
         select dataset, example_id, j, n, substr(t, i, n) as gram, count(*) as c
         from (select *, unnest(range(1, length(t) - n + 2)) as i from {name}sides cross join range(1, {orders + 1}) q(n))
         group by all),
-      {name}hc as (select dataset, example_id, n, gram, c as h from {name}all where j < 0),
-      {name}rc as (select dataset, example_id, j, n, gram, c as r from {name}all where j >= 0),
+      {name}hc as (select dataset, example_id, n, gram, c as h from {name}occ where j < 0),
+      {name}rc as (select dataset, example_id, j, n, gram, c as r from {name}occ where j >= 0),
       {name}len as (
         select r.dataset, r.example_id, r.j, length(h.t) as hl, length(r.t) as rl
         from {name}sides h join {name}sides r on h.dataset is not distinct from r.dataset and h.example_id = r.example_id
@@ -280,8 +282,8 @@ def _gram_sum(length: str) -> str:
 def references() -> str:
     """Every metric over lists of references, from the grams of each reference on its own."""
     both = "join rc using (dataset, example_id, n, gram)"
-    return f"""{with_fixtures('with_references')}, {_referenced(5, '', '{}')},
-      {_referenced(6, 'p', f"regexp_replace({{}}, '{SPACE}+', '', 'g')")},
+    return f"""{with_fixtures('with_references')}, {_referenced(5, '', lambda t: t)},
+      {_referenced(6, 'p', lambda t: f"regexp_replace({t}, '{SPACE}+', '', 'g')")},
       most as (select dataset, example_id, n, gram, max(r) as r from rc group by all),
       m as (select dataset, n, sum(least(h, r))::bigint as m from hc join most using (dataset, example_id, n, gram) group by all),
       near as (
@@ -329,7 +331,7 @@ def references() -> str:
         select dataset, example_id, j, n, sum(info * least(h, r)) as gain
         from hc {both} join info using (dataset, n, gram) group by all),
       picked as (
-        select dataset, example_id, n, any_value(hl) as hl, max(struct_pack(g := coalesce(gain, 0), l := rl)) as b
+        select dataset, example_id, n, any_value(hl) as hl, max(struct_pack(s := round(coalesce(gain, 0), 6), l := rl, g := coalesce(gain, 0))) as b
         from len cross join range(1, 6) q(n) left join gains using (dataset, example_id, j, n) group by all),
       per_order as (
         select dataset, n, sum(b.g) as g, sum(b.l)::bigint as rl, sum(hl)::bigint as hl from picked group by all),
@@ -562,6 +564,10 @@ def all_oracles() -> dict[str, str]:
         "stream_prompts": f"""{PAIRS}, fit as (select * from pairs where {BUDGET})
             select pair_id, 'fwd' as direction, {FWD} as text from fit
             union all select pair_id, 'bwd' as direction, {BWD} as text from fit""",
+        "stream_runs": f"""{LOG}, {GUARDED}
+            select run_id, step, nan_before::integer as nan_before, (count(*) over w)::integer as n_smoothed,
+              (sum(cast(round(loss * 100) as bigint)) over w)::bigint as window_cents
+            from guarded window w as (partition by run_id order by step rows between 99 preceding and current row)""",
         "stream_monitor": f"""{LOG} select date_trunc('hour', ts) as window_start, event_type,
               count_if(not isnan(loss))::bigint as n_valid, count_if(isnan(loss))::bigint as n_nan,
               round(sum(case when isnan(loss) then null else loss end), 4) as loss_sum

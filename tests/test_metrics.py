@@ -251,8 +251,9 @@ def many_nist(pairs):
         gain = count = 0
         for h, refs in pairs:
             info = lambda g: math.log2((seen[g[:-1]] if len(g) > 1 else units) / seen[g])
-            best = max((sum(info(g) * c for g, c in (grams(h, n) & grams(r, n)).items()), len(r)) for r in refs)
-            gain, ref, hyp = gain + best[0], ref + best[1], hyp + len(h)
+            gains = [(sum(info(g) * c for g, c in (grams(h, n) & grams(r, n)).items()), len(r)) for r in refs]
+            best = max((round(g, 6), size, g) for g, size in gains)
+            gain, ref, hyp = gain + best[2], ref + best[1], hyp + len(h)
             count += total(grams(h, n))
         score += gain / count if count else 0.0
     x = hyp / ref
