@@ -10,9 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitexture.functions.hashing import HASH_SPAN, seeded_hash
-from bitexture.operators.selection import DIRECT_TOP_K, covers, row_count, shuffle_cut, values_at
+from bitexture.operators.selection import DIRECT_TOP_K, covers, one_row, row_count, shuffle_cut, values_at
+from bitexture.session import scratch_dir
+from bitexture.sources.store import written
 
-STRATUM_BUCKETS = 1 << 10
+HASH_BITS = HASH_SPAN.bit_length() - 1
+PREFIX_BITS = 10
+CUT_ROWS = 1 << 16
 BROADCAST_LABELS = 10_000
 
 
@@ -68,6 +72,18 @@ def concat_splits(splits: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, named)
 
 
+def _holds_end() -> Column:
+    """Whether the ``n`` rows after ``before`` hold the last row of train or of test."""
+    return reduce(or_, [covers(F.col(end), F.col("before"), F.col("n")) for end in ("first", "second")])
+
+
+def _inside(keys: DataFrame, cuts: DataFrame, bits: int) -> DataFrame:
+    """The keys in the buckets of ``cuts``, with the bucket as ``base`` and what is known about it."""
+    cuts = cuts.withColumnsRenamed({"label": "_label", "prefix": "base"}).drop("n")
+    at = F.col("label").eqNullSafe(F.col("_label")) & (F.shiftright("h", HASH_BITS - bits) == F.col("base"))
+    return keys.join(cuts, at).drop("_label")
+
+
 def resplit_stratified(
     df: DataFrame,
     id_col: str,
@@ -79,40 +95,49 @@ def resplit_stratified(
     """Re-assign ``split`` so that each label is divided by the same ratios.
 
     Per label the first ``floor(n*train_ratio)`` rows of the shuffle are train, the next ``floor(n*test_ratio)``
-    test and the rest validation; a label with fewer than two rows goes to train. Hash buckets inside each label show
-    where its cuts fall; only the rows of those buckets are ranked. The rows are then compared with their label's
-    cuts, so they stay where they are and one label may hold most of the table.
+    test and the rest validation; a label with fewer than two rows goes to train. The ends of train and test are found for
+    all labels at once, from histograms over ever longer prefixes of the hash: each round keeps the buckets that hold an
+    end, until they have at most ``CUT_ROWS`` rows or one hash value. The rows are then compared with their label's ends,
+    so they stay where they are and one label may hold most of the table.
     """
     here = seeded_hash(id_col, seed)
-    shift = (HASH_SPAN // STRATUM_BUCKETS).bit_length() - 1
     keys = df.select(F.col(label_col).alias("label"), F.col(id_col).alias("id"), here.alias("h"))
-    keys = keys.withColumn("bucket", F.shiftright("h", shift))
-    by_label = Window.partitionBy("label")
-    upto = by_label.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # At most STRATUM_BUCKETS rows per label.
-    buckets = keys.groupBy("label", "bucket").agg(F.count("*").alias("n"))
-    buckets = buckets.withColumns(
-        {"before": F.sum("n").over(upto) - F.col("n"), "total": F.sum("n").over(by_label)}
-    )
-    total = F.col("total").cast("double")
-    first = F.floor(total * F.lit(train_ratio))
-    second = first + F.floor(total * F.lit(test_ratio))
-    # The bucket of the very first row makes sure that every label has a row of limits.
-    cuts = buckets.withColumns({"first": first, "second": second}).where(
-        reduce(or_, [covers(r, F.col("before"), F.col("n")) for r in (F.lit(1), F.col("first"), F.col("second"))])
-    )
-    cuts = cuts.withColumnsRenamed({"label": "_label", "bucket": "_bucket"}).drop("n")
-    inside = Window.partitionBy("label", "bucket").orderBy("h", "id")
-    same_bucket = F.col("label").eqNullSafe(F.col("_label")) & (F.col("bucket") == F.col("_bucket"))
-    ranked = keys.join(cuts, same_bucket).withColumn("rank", F.col("before") + F.row_number().over(inside))
-    limits = ranked.groupBy("label").agg(
+    scratch = scratch_dir(df.sparkSession, "strata")
+    bits = PREFIX_BITS
+    prefix = F.shiftright("h", HASH_BITS - bits).alias("prefix")
+    # At most 2^PREFIX_BITS rows per label.
+    buckets = written(keys.groupBy("label", prefix).agg(F.count("*").alias("n")), f"{scratch}/{bits}")
+    upto = Window.partitionBy("label").orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum("n").over(Window.partitionBy("label"))
+    counted = buckets.withColumns({"before": F.sum("n").over(upto) - F.col("n"), "total": total})
+    first = F.floor(F.col("total").cast("double") * F.lit(train_ratio))
+    second = first + F.floor(F.col("total").cast("double") * F.lit(test_ratio))
+    counted = counted.withColumns({"first": first, "second": second})
+    totals = counted.where("before = 0").select("label", "total", "first", "second")
+    cuts = counted.where(_holds_end())
+    stats = one_row(counted.agg(F.max(F.when(_holds_end(), F.col("n"))).alias("n"), F.count_if(F.col("before") == 0).alias("labels")))
+    n_labels = stats.labels
+    while (stats.n or 0) > CUT_ROWS and bits < HASH_BITS:
+        inside = _inside(keys, cuts, bits)
+        bits = min(bits + PREFIX_BITS, HASH_BITS)
+        finer = F.shiftright("h", HASH_BITS - bits).alias("prefix")
+        parts = inside.groupBy("label", "base", "before", "first", "second", "total", finer).agg(F.count("*").alias("n"))
+        within = Window.partitionBy("label", "base").orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        parts = parts.withColumn("before", F.col("before") + F.sum("n").over(within) - F.col("n"))
+        cuts = written(parts.where(_holds_end()).drop("base"), f"{scratch}/{bits}")
+        stats = one_row(cuts.agg(F.max("n").alias("n")))
+    order = Window.partitionBy("label", "base").orderBy("h", "id")
+    ranked = _inside(keys, cuts, bits).withColumn("rank", F.col("before") + F.row_number().over(order))
+    ends = ranked.groupBy("label").agg(
         F.max(F.when(F.col("rank") == F.col("first"), F.struct("h", "id"))).alias("train_end"),
         F.max(F.when(F.col("rank") == F.col("second"), F.struct("h", "id"))).alias("test_end"),
-        F.max("total").alias("_total"),
     )
+    ends = ends.withColumnRenamed("label", "_label")
+    limits = totals.select("label", F.col("total").alias("_total"))
+    limits = limits.join(ends, F.col("label").eqNullSafe(F.col("_label")), "left").drop("_label")
     limits = limits.withColumnRenamed("label", "_label")
     # One row per label. Beyond the bound the join is a merge, whose hot keys adaptive execution splits.
-    if row_count(keys.select("label").distinct()) <= BROADCAST_LABELS:
+    if n_labels <= BROADCAST_LABELS:
         limits = F.broadcast(limits)
 
     def up_to(end: str) -> Column:

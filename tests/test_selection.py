@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from bitexture.functions.hashing import seeded_hash
 from bitexture.operators import ranking, selection, splits
 
 rng = random.Random(5)
@@ -137,9 +139,11 @@ def test_stratified_split_with_a_hot_label(spark):
     }
 
 
+@pytest.mark.parametrize("bits,rows", [(3, 1 << 16), (3, 2), (20, 1)])
 @pytest.mark.parametrize("ratios", [(0.7, 0.15), (0.2, 0.1), (0.0, 0.5)])
-def test_stratified_split_follows_the_shuffle(spark, monkeypatch, ratios):
-    monkeypatch.setattr(splits, "STRATUM_BUCKETS", 8)
+def test_stratified_split_follows_the_shuffle(spark, monkeypatch, ratios, bits, rows):
+    monkeypatch.setattr(splits, "PREFIX_BITS", bits)
+    monkeypatch.setattr(splits, "CUT_ROWS", rows)
     df = spark.range(150).withColumn("label", F.expr("case when id % 7 = 0 then null when id < 4 then 1 else 2 end"))
     got = {r.id: r.split for r in splits.resplit_stratified(df.repartition(5), "id", "label", *ratios).collect()}
     labels = {r.id: r.label for r in df.collect()}
@@ -151,6 +155,33 @@ def test_stratified_split_follows_the_shuffle(spark, monkeypatch, ratios):
     assert len(got) == 150
 
 
+def test_stratified_split_of_one_large_label(spark, monkeypatch):
+    """However large the label, what is ranked by a window is a bucket of at most ``CUT_ROWS`` rows."""
+    sizes = []
+    monkeypatch.setattr(splits, "PREFIX_BITS", 4)
+    monkeypatch.setattr(splits, "CUT_ROWS", 50)
+    inside = splits._inside
+    monkeypatch.setattr(splits, "_inside", lambda *args: sizes.append(inside(*args)) or sizes[-1])
+    df = spark.range(200_000).withColumn("label", F.when(F.col("id") % 1000 == 0, "rare").otherwise("hot"))
+    got = splits.resplit_stratified(df, "id")
+    order = Window.partitionBy("label").orderBy(seeded_hash("id", 42), "id")
+    n = F.count("*").over(Window.partitionBy("label"))
+    ranked = df.withColumns({"rank": F.row_number().over(order), "n": n})
+    a, b = F.floor(F.col("n") * F.lit(0.7)), F.floor(F.col("n") * F.lit(0.15))
+    want = F.when(F.col("rank") <= a, "train").when(F.col("rank") <= a + b, "test").otherwise("validation")
+    assert got.join(ranked.select("id", want.alias("want")), "id").where("split <> want").count() == 0
+    assert len(sizes) > 2
+    assert sizes[-1].groupBy("label", "base").count().agg(F.max("count")).first()[0] <= 50
+
+
+def test_stratified_split_of_equal_hashes(spark, monkeypatch):
+    monkeypatch.setattr(splits, "seeded_hash", lambda key, seed: F.col(key) % 2)
+    monkeypatch.setattr(splits, "CUT_ROWS", 5)
+    got = splits.resplit_stratified(spark.range(40).withColumn("label", F.lit(1)), "id").collect()
+    ordered = sorted(got, key=lambda r: (r.id % 2, r.id))
+    assert [r.split for r in ordered] == ["train"] * 28 + ["test"] * 6 + ["validation"] * 6
+
+
 def test_counts_and_classes(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0), ("a", None), ("b", 1)], "split string, label int")
     assert {r.split: r.n for r in splits.split_counts(df).collect()} == {"a": 3, "b": 1, "all": 4}
