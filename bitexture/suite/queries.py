@@ -687,7 +687,25 @@ def _log_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_monitor(spark, sf):
-    out = scratch_dir(spark, "monitor")
-    watched = monitor.windowed_losses(_log_stream(spark, sf), "event_type")
-    monitor.write_snapshots(watched, out, scratch_dir(spark, "monitor-state")).awaitTermination()
-    return spark.read.parquet(out).withColumn("loss_sum", F.round("loss_sum", 4))
+    """Windows appended as they close, the open ones at the end of the log."""
+    watch = monitor.WindowMonitor(_log_stream(spark, sf), "event_type", scratch_dir(spark, "monitor"), scratch_dir(spark, "monitor-work"))
+    watch.flush(watch.run())
+    return watch.result().withColumn("loss_sum", F.round("loss_sum", 4))
+
+
+@query
+def stream_runs(spark, sf):
+    """Smoothed loss of every run while it arrives: the log comes in four parts that cut runs in two."""
+    arriving, out = scratch_dir(spark, "runs-in"), scratch_dir(spark, "runs-out")
+    log = fx.run_log(spark, sf).select("run_id", "step", "ts", "loss")
+    last = log.agg(F.max("run_id").alias("n")).first().n or 0
+    quarter = F.least(F.floor((F.col("run_id") * 1000 + F.col("step")) * 4 / ((last + 1) * 1000)), F.lit(3))
+    parts = log.withColumn("part", quarter)
+    for part in range(4):
+        parts.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(arriving)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    states = monitor.run_states(stream, idle="1 day")
+    monitor.write_batches(states, out, scratch_dir(spark, "runs-state")).awaitTermination()
+    steps = monitor.read_batches(states, out).where("event = 'step'")
+    cents = F.round(F.col("smoothed") * F.col("n_smoothed") * 100).cast("bigint")
+    return steps.select("run_id", "step", "nan_before", "n_smoothed", cents.alias("window_cents"))

@@ -1,6 +1,7 @@
 import gzip
 import os
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from bitexture.functions.prompts import FixedPrompt, Template, TemplatePrompt
 from bitexture.functions.text import count_words
 from bitexture.functions.tokens import file_token_counter
 from bitexture.operators.generate import echo_generator
+from bitexture.operators.runlog import smoothed_loss
 from bitexture.plans import curation
 from bitexture.plans import evaluation as ev
 from bitexture.plans.training import prepare_split
@@ -283,5 +285,88 @@ def test_log_monitor(spark, tmp_path):
     assert closed == {r for r in every if r[0].hour < 2}
 
 
+def hours(*spans):
+    return [(datetime(2024, 1, 1, h, m), k, v) for h in spans for m, k, v in [(5, "a", 1.0), (6, "a", float("nan")), (7, None, 2.0)]]
+
+
+def test_window_monitor_appends_and_flushes(spark, tmp_path):
+    shape = "ts timestamp_ntz, kind string, loss double"
+    arrive = lambda *spans: spark.createDataFrame(hours(*spans), shape).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    arrive(0, 1)
+    stream = spark.readStream.schema(shape).parquet(str(tmp_path / "in"))
+    watch = monitor.WindowMonitor(stream, "kind", str(tmp_path / "out"), str(tmp_path / "work"))
+    got = lambda: sorted((str(tuple(r)) for r in watch.result().collect()))
+    want = lambda *spans: sorted(str(tuple(r)) for r in monitor.windowed_losses(spark.createDataFrame(hours(*spans), shape), "kind").collect())
+    watch.run()
+    assert got() == []  # the first hour is still within the lateness
+    arrive(2, 3)
+    again = monitor.WindowMonitor(stream, "kind", str(tmp_path / "out"), str(tmp_path / "work"))  # a restart
+    last = again.run()
+    assert got() == want(0, 1)
+    ended = watch.flush(last)
+    assert got() == want(0, 1, 2, 3)
+    assert ended.lastProgress["stateOperators"][0]["numRowsTotal"] <= 1  # the instant itself
+
+
+def test_replayed_batches_change_nothing(spark, tmp_path):
+    """A batch whose commit was lost is delivered again under its id."""
+    shape = "ts timestamp_ntz, kind string, loss double"
+    for span in (0, 2, 4):
+        spark.createDataFrame(hours(span), shape).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    watch = monitor.WindowMonitor(stream, "kind", str(tmp_path / "out"), str(tmp_path / "work"))
+    watch.run()
+    before = sorted(str(tuple(r)) for r in watch.result().collect())
+    commits = sorted((p for p in (tmp_path / "work" / "state" / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    watch.run()
+    assert sorted(str(tuple(r)) for r in watch.result().collect()) == before and before
+    unfinished = tmp_path / "out" / "batch_id=99"
+    unfinished.mkdir()
+    assert sorted(str(tuple(r)) for r in watch.result().collect()) == before
+
+
+def test_run_states(spark, tmp_path):
+    """Smoothing and the NaN stop go on over triggers; late and repeated steps are counted; silent runs are closed."""
+    nan = float("nan")
+    at = lambda minute: datetime(2024, 1, 1) + timedelta(minutes=minute)
+    parts = [
+        [("a", 2, at(2), 3.0), ("a", 1, at(1), 1.0), ("b", 1, at(1), nan), ("b", 2, at(2), None)],
+        [("a", 2, at(3), 9.0), ("a", 3, at(4), 5.0), ("b", 3, at(3), 7.0), ("b", 4, at(4), nan), ("b", 5, at(5), 1.0)],
+        [("b", 6, at(6), 1.0), ("a", 4, at(6), 6.0), (None, 1, at(6), 1.0), ("c", None, at(6), 1.0)],
+        [("d", 1, at(600), 1.0)],
+    ]
+    shape = "run_id string, step long, ts timestamp_ntz, loss double"
+    for part in parts:
+        spark.createDataFrame(part, shape).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    states = monitor.run_states(stream, width=2, idle="2 hours")
+    monitor.write_batches(states, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    rows = [tuple(r) for r in monitor.read_batches(states, str(tmp_path / "out")).collect()]
+    of = lambda run, event: sorted((r[2:] for r in rows if r[:2] == (run, event)), key=str)
+    assert of("a", "step") == [(1, 1.0, 0, 1.0, 1, 0), (2, 3.0, 0, 2.0, 2, 0), (3, 5.0, 0, 4.0, 2, 1), (4, 6.0, 0, 5.5, 2, 1)]
+    assert of("b", "step") == [(3, 7.0, 2, 7.0, 1, 0)]
+    (stop,) = of("b", "stopped")
+    assert (stop[0], stop[2], stop[4], stop[5]) == (4, 3, 1, 0)
+    assert of("a", "closed") == [(4, None, 0, None, 2, 1)] and of("b", "closed") == [(6, None, 3, None, 1, 0)]
+    assert of("d", "step") == [(1, 1.0, 0, 1.0, 1, 0)] and not of("c", "step")
+
+
+def test_run_states_equal_the_batch_result(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(run, step, datetime(2024, 1, 1), float("nan") if rng.random() < 0.004 else rng.random()) for run in range(6) for step in range(400)]
+    log = spark.createDataFrame(rows, "run_id long, step long, ts timestamp_ntz, loss double")
+    for low in (0, 90, 250):
+        part = log.where((F.col("step") >= low) & (F.col("step") < {0: 90, 90: 250, 250: 400}[low]))
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    states = monitor.run_states(stream)
+    monitor.write_batches(states, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    got = {(r.run_id, r.step): (r.nan_before, r.n_smoothed, r.smoothed) for r in monitor.read_batches(states, str(tmp_path / "out")).where("event = 'step'").collect()}
+    want = {(r.run_id, r.step): (r.nan_before, r.n_smoothed, pytest.approx(r.smoothed)) for r in smoothed_loss(log).collect()}
+    assert got == want
+
+
 def test_scratch_folders_are_new_each_time(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
