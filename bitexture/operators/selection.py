@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from bitexture.functions.hashing import HASH_SPAN, seeded_hash
 
 HISTOGRAM_BUCKETS = 1 << 16
-DIRECT_ROWS = 1 << 20
+DIRECT_ROWS = 1 << 16
 DIRECT_TOP_K = 1000
 
 

@@ -2,6 +2,7 @@
 
 pairs        conversation turns with the turn that follows, and two scores
 noisy_pairs  pairs with copies and missing sides
+extremes     scores of pairs, some infinite or no numbers
 with_references  examples with one to three references
 examples     pairs as evaluation examples with damaged targets as predictions
 corpus       documents as monolingual texts
@@ -45,6 +46,13 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of which some are infinite or no numbers."""
+    kind = seeded_hash("pair_id", "extremes") % 40
+    x = F.when(kind == 0, float("inf")).when(kind == 1, float("-inf")).when(kind == 2, float("nan"))
+    return pairs(spark, sf_dir).select("pair_id", x.otherwise(F.coalesce("bicleaner_ai_score", F.lit(0.5))).alias("x"))
+
+
 def noisy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = seeded_hash("pair_id", "copies")
     copies = pairs(spark, sf_dir).withColumn("copy", F.explode(F.sequence(F.lit(0), (h % 4).cast("int"))))
@@ -149,6 +157,11 @@ SQL = {
         noisy_pairs as (
           select pair_id * 4 + copy as pair_id, src_text, case when copy <> 3 then trg_text end as trg_text
           from (select *, unnest(range(0, {sql_hash('pair_id', 'copies')} % 4 + 1)) as copy from pairs))""",
+    "extremes": f"""
+        extremes as (
+          select pair_id, case {sql_hash('pair_id', 'extremes')} % 40 when 0 then 'inf'::double when 1 then '-inf'::double
+            when 2 then 'nan'::double else coalesce(bicleaner_ai_score, 0.5::double) end as x
+          from pairs)""",
     "examples": f"""
         examples as (
           select 'suite' as experiment, 'r1' as run_id, dataset, pair_id as example_id,
@@ -185,7 +198,7 @@ SQL = {
           from embeddings)""",
 }
 
-_NEEDS = {"noisy_pairs": ["pairs"], "examples": ["pairs"], "with_references": ["pairs", "examples"]}
+_NEEDS = {"noisy_pairs": ["pairs"], "extremes": ["pairs"], "examples": ["pairs"], "with_references": ["pairs", "examples"]}
 
 
 def with_fixtures(*names: str) -> str:

@@ -102,6 +102,56 @@ def test_histogram(spark):
     assert [r.n for r in flat] == [2, 0, 0]
 
 
+@pytest.mark.parametrize("histograms", [False, True])
+def test_infinite_values_in_statistics(spark, monkeypatch, histograms):
+    if histograms:  # more rows than are listed directly
+        monkeypatch.setattr(selection, "DIRECT_ROWS", 4)
+        monkeypatch.setattr(selection, "HISTOGRAM_BUCKETS", 8)
+    inf = float("inf")
+    finite = [float(i) for i in range(40)]
+    for ends in ([inf], [-inf], [inf] * 3 + [-inf] * 2, [inf] * 50):
+        values = finite + ends
+        df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double")
+        row = stats.summarize(df, "x").first()
+        ordered = sorted(values)
+        assert (row.n, row.min, row.max) == (len(values), ordered[0], ordered[-1])
+        for p, got in zip((0.25, 0.5, 0.75), (row.p25, row.p50, row.p75)):
+            spot = (len(values) - 1) * p
+            a, b, share = ordered[math.floor(spot)], ordered[math.ceil(spot)], spot % 1
+            assert got == (a if a == b or not share else pytest.approx(a * (1 - share) + b * share))
+        bins = {r.bin: (r.low, r.n) for r in stats.histogram(df, "x", bins=4).collect()}
+        want = {0: (0.0, 10), 1: (9.75, 10), 2: (19.5, 10), 3: (29.25, 10)}
+        if -inf in ends:
+            want[-1] = (-inf, ends.count(-inf))
+        if inf in ends:
+            want[4] = (inf, ends.count(inf))
+        assert bins == want
+        plain = stats.density(spark.createDataFrame([(v,) for v in finite], "x double"), "x").collect()
+        got = [r.density for r in stats.density(df, "x").orderBy("point").collect()]
+        assert got == pytest.approx([r.density for r in sorted(plain)])
+
+
+def test_statistics_of_infinite_values_only(spark):
+    df = spark.createDataFrame([(float("inf"),)] * 3, "x double")
+    assert stats.summarize(df, "x").first().p50 == float("inf")
+    assert {r.bin: r.n for r in stats.histogram(df, "x", bins=2).collect()} == {0: 0, 1: 0, 2: 3}
+    with pytest.raises(ValueError, match="no spread"):
+        stats.density(df, "x")
+
+
+@pytest.mark.parametrize("nodes", [20, 500])
+def test_density_stays_within_its_bound(spark, nodes):
+    """Linear binning on a coarse grid differs from the sum over all values by the stated share of the peak."""
+    values = [rng.choice([0.0, 1.0, rng.random()]) for _ in range(400)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    width = statistics.stdev(values) * len(values) ** -0.2
+    scale = (max(values) - min(values)) / 30 / (width * math.sqrt(2 * math.pi))
+    bound = ((max(values) - min(values)) / nodes / width) ** 2 / 8 * len(values) * scale
+    for row in stats.density(df, "x", fine_bins=nodes).collect():
+        want = scale * sum(math.exp(-0.5 * ((row.x - v) / width) ** 2) for v in values)
+        assert abs(row.density - want) <= bound
+
+
 def test_density(spark):
     values = [rng.gauss(5, 2) for _ in range(300)]
     df = spark.createDataFrame([(v,) for v in values], "x double")
@@ -111,7 +161,7 @@ def test_density(spark):
     assert len(got) == 200 and got[0].x == min(values) and got[-1].x == pytest.approx(max(values))
     for row in got:
         want = scale * sum(math.exp(-0.5 * ((row.x - v) / width) ** 2) for v in values)
-        assert row.density == pytest.approx(want, rel=1e-4)
+        assert row.density == pytest.approx(want, rel=1e-6, abs=1e-6 * scale)
 
 
 def test_pair_lengths(spark):
