@@ -31,7 +31,7 @@ def prepare_split(
     tokenizer_file: str | None = None,
     special: bool = True,
 ) -> DataFrame:
-    """Token rows of one split with loss labels; read from the cache when it holds them."""
+    """Token rows of one split with loss labels; read from the cache when it holds those of the same texts."""
 
     def tokenize() -> DataFrame:
         text_only = texts.select("text")
@@ -40,5 +40,5 @@ def prepare_split(
 
     content = file_content(spark, tokenizer_file) if cache_dir and tokenizer_file else None
     label = cache_label(model, dataset, split, max_length, content, pad_id, special) if cache_dir else None
-    rows = token_cache(spark, cache_dir or "", label, tokenize)
+    rows = token_cache(spark, cache_dir or "", label, tokenize, texts.select("text"))
     return rows.withColumn("labels", loss_labels(F.col("input_ids"), pad_id))

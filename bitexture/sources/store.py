@@ -146,23 +146,57 @@ def cache_label(
     return "_".join(["tokenized", *names, split, str(max_length), hashlib.sha256(facts.encode()).hexdigest()[:16]])
 
 
-def _readable(spark: SparkSession, path: str) -> bool:
-    """Whether a complete dataset can be opened; counting reads every file's footer."""
+def fingerprint(df: DataFrame) -> dict[str, int]:
+    """Count, sum and exclusive or of the row hashes: equal for equal rows in any order, from one pass."""
+    h = F.xxhash64(*df.columns)
+    row = df.agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(F.pmod(h, F.lit(1 << 31))), F.lit(0)).alias("total"),
+        F.coalesce(F.bit_xor(h), F.lit(0)).alias("mixed"),
+    ).first()
+    return row.asDict()
+
+
+def _manifest(spark: SparkSession, path: str) -> dict[str, dict[str, int]]:
+    """What a cache was made from and holds; nothing if that was never written."""
     if not is_complete(spark, path):
-        return False
+        return {}
+    rows = spark.read.schema("part string, n bigint, total bigint, mixed bigint").parquet(path).collect()  # two rows
+    return {r.part: {"n": r.n, "total": r.total, "mixed": r.mixed} for r in rows}
+
+
+def _write_manifest(spark: SparkSession, path: str, parts: dict[str, dict[str, int]]) -> None:
+    rows = [(part, *(facts[k] for k in ("n", "total", "mixed"))) for part, facts in parts.items()]
+    manifest = spark.createDataFrame(rows, "part string, n bigint, total bigint, mixed bigint")
+    manifest.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def _cached_facts(spark: SparkSession, path: str) -> dict[str, int] | None:
+    """Fingerprint of a complete dataset, or None if it cannot be read to its last row."""
+    if not is_complete(spark, path):
+        return None
     try:
-        spark.read.parquet(path).count()
-        return True
+        return fingerprint(spark.read.parquet(path))
     except (PySparkException, Py4JJavaError):
-        return False
+        return None
+
 
+def token_cache(
+    spark: SparkSession, folder: str, label: str | None, tokenize: Callable[[], DataFrame], source: DataFrame | None = None
+) -> DataFrame:
+    """Cached token rows (ids and mask only); no label, no cache.
 
-def token_cache(spark: SparkSession, folder: str, label: str | None, tokenize: Callable[[], DataFrame]) -> DataFrame:
-    """Cached token rows (ids and mask only), tokenized and saved when there are none or they cannot be read; no
-    label, no cache."""
+    They are tokenized and saved when there are none, when they are not the rows that were saved (a lost, cut or changed
+    file), or when ``source``, the rows they come from, is not what it was. A manifest beside the rows has the
+    fingerprints of both; it is written last, so a job that dies half-way leaves none that fits.
+    """
     if not label:
         return tokenize()
-    path = f"{folder}/{label}"
-    if not _readable(spark, path):
+    path, manifest = f"{folder}/{label}", f"{folder}/manifests/{label}"
+    facts = {} if source is None else {"source": fingerprint(source)}
+    known = _manifest(spark, manifest)
+    fits = known.get("source") == facts.get("source") and known.get("rows") is not None
+    if not (fits and known["rows"] == _cached_facts(spark, path)):
         tokenize().drop("labels").write.mode("overwrite").parquet(path)
+        _write_manifest(spark, manifest, {**facts, "rows": fingerprint(spark.read.parquet(path))})
     return spark.read.parquet(path)

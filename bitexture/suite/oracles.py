@@ -30,6 +30,7 @@ CORPUS = with_fixtures("corpus")
 LABELLED = with_fixtures("labelled")
 EXAMPLES = with_fixtures("examples")
 LOG = with_fixtures("run_log")
+EXTREMES = with_fixtures("extremes")
 
 BUDGET = f"greatest({words(FWD)}, {words(BWD)}) <= {MAX_TOKENS}"
 
@@ -406,13 +407,21 @@ def all_oracles() -> dict[str, str]:
             v as (select bicleaner_ai_score as x from pairs where bicleaner_ai_score is not null),
             e as (select min(x) as low, max(x) as high, stddev_samp(x) * pow(count(*)::double, -0.2::double) as w
                   from v),
-            f as (select least(floor((x - low) / (high - low) * 4096), 4095) as b, count(*) as n, avg(x) as x
-                  from v, e group by 1),
             g as (select p, low + (high - low) / 199 * p as spot, w, low, high from range(200) q(p), e)
             select p::int as point, round(spot, 6) as x,
-              round(sum(n * exp(-0.5::double * pow((spot - f.x) / w, 2))) / sqrt(2 * pi()) / w * (high - low) / 30, 4)
+              round(sum(exp(-0.5::double * pow((spot - v.x) / w, 2))) / sqrt(2 * pi()) / w * (high - low) / 30, 4)
                 as density
-            from f, g group by p, spot, w, low, high""",
+            from v, g group by p, spot, w, low, high""",
+        "extreme_quartiles": f"""{EXTREMES}
+            select count(*) as n, min(x) as min, round(quantile_cont(x, 0.25), 6) as p25, round(quantile_cont(x, 0.5), 6) as p50,
+              round(quantile_cont(x, 0.75), 6) as p75, max(x) as max
+            from extremes where not isnan(x)""",
+        "extreme_histogram": f"""{EXTREMES},
+            f as (select x from extremes where isfinite(x)),
+            {histogram('f', 'x')}
+            union all
+            select case when x > 0 then 30 else -1 end as bin, x as low, x as high, count(*) as n
+            from extremes where isinf(x) group by all""",
         "length_analysis": f"""{PAIRS}, {LENGTHS} {summary('lengths', 'prompt_length')}
             union all {summary('lengths', 'raw_length')}""",
         "length_histogram": f"{PAIRS}, {LENGTHS}, {histogram('lengths', 'raw_length')}",

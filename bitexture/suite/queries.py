@@ -154,6 +154,17 @@ def score_density(spark, sf):
     )
 
 
+@query
+def extreme_quartiles(spark, sf):
+    """Infinite values take part in order, missing ones do not."""
+    return _rounded(stats.summarize(fx.extremes(spark, sf), "x").select("n", "min", "p25", "p50", "p75", "max"))
+
+
+@query
+def extreme_histogram(spark, sf):
+    return _rounded(stats.histogram(fx.extremes(spark, sf), "x"))
+
+
 def _lengths(spark: SparkSession, sf: str) -> DataFrame:
     return stats.pair_lengths(fx.pairs(spark, sf), FIXED, txt.count_words, SRC, TRG)
 
@@ -516,7 +527,7 @@ def token_cache(spark, sf):
     texts = fx.corpus(spark, sf)
     options = dict(model="hub/codepoints", dataset="docs", split="train", max_length=ROW_LENGTH, pad_id=PAD)
     prepare_split(spark, texts, cache, **options)
-    rows = prepare_split(spark, texts.limit(0), cache, **options)
+    rows = prepare_split(spark, texts.repartition(3, "doc_id"), cache, **options)  # the same rows: read from the cache
     return rows.groupBy("input_ids", "attention_mask", "labels").agg(F.count("*").alias("n"))
 
 

@@ -172,14 +172,21 @@ def test_token_cache(spark, tmp_path):
     (folder,) = tmp_path.glob("tokenized_m_d_train_3_*")
     cached = spark.read.parquet(str(folder))
     assert cached.columns == ["input_ids", "attention_mask"]
-    again = prepare_split(spark, texts.limit(0), str(tmp_path), **options)
-    assert again.count() == 2
+    files = {f.name for f in folder.glob("part-*")}
+    assert prepare_split(spark, texts.repartition(2), str(tmp_path), **options).count() == 2
+    assert {f.name for f in folder.glob("part-*")} == files  # the same rows in another order: nothing is written
+    changed = texts.withColumn("text", F.replace("text", F.lit("c"), F.lit("d")))
+    assert {r.input_ids[0] for r in prepare_split(spark, changed, str(tmp_path), **options).collect()} == {97, 100}
+    assert prepare_split(spark, texts, str(tmp_path), **options).count() == 2
     assert prepare_split(spark, texts.limit(1), None, **options).count() == 1
     padded = prepare_split(spark, texts, str(tmp_path), **options, pad_id=9)
     assert sorted(r.input_ids for r in padded.collect()) == [[97, 98, 9], [99, 9, 9]]
-    for part in folder.glob("part-*"):
+    parts = sorted(folder.glob("part-*"))
+    for part in parts:
         part.write_bytes(b"broken")
     assert prepare_split(spark, texts, str(tmp_path), **options).count() == 2
+    max(folder.glob("part-*"), key=lambda f: f.stat().st_size).unlink()  # a lost file leaves all footers in order
+    assert prepare_split(spark, texts, str(tmp_path), **options).count() == 2
 
 
 def test_tokenizer_file(spark, tmp_path):
