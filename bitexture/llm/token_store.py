@@ -16,7 +16,6 @@ the bytes of its frame alone are decompressed.
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -42,6 +41,9 @@ DICTIONARY_BYTES = 65_536
 LEVEL = 3
 SHARD_BYTES = 1 << 20
 KNOWN_UNITS = 300_000  # units a task remembers
+UNITS_A_CALL = 2_000
+ROWS_A_CALL = 1_000
+MARKS = ".,;:!?#$%&*"
 
 
 @lru_cache(maxsize=2)
@@ -58,22 +60,40 @@ class UnitEncoder:
     """Ids of whole texts through ids of their lines' blank-separated units, each of which is encoded once.
 
     The pre-tokenizer of a byte-level model always cuts around a single line break and before a single blank between
-    two characters that are no white space, and between a letter and a full stop or comma. So the ids of the parts, one
+    two characters that are no white space, and between a letter and one of ``MARKS`` at the end of a unit. So the ids of the parts, one
     after another, are the ids of the whole. A text with any other white space at such a place is encoded as a whole.
     """
 
     def __init__(self, path: str):
         self._model = tokenizer(path)
+        self._again = set()
         self._forget()
 
     def _forget(self) -> None:
+        """Keep the units that came again, if they are at most half of what may be remembered."""
         # Units with their blank, to their ids as 32-bit integers; None forbids the cut.
-        self._known: dict[str, bytes | None] = {"": None}
-        self._encode(["\n", ".", ","])
+        kept = self._again if len(self._again) <= KNOWN_UNITS // 2 else ()
+        self._known: dict[str, bytes | None] = {unit: self._known[unit] for unit in kept}
+        self._again: set[str] = set()
+        self._known[""] = None
+        self._known |= {mark: self._ids(mark).tobytes() for mark in "\n" + MARKS}
+
+    def _ids(self, text: str) -> np.ndarray:
+        (found,) = self._model.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, np.uint32)
 
     def _encode(self, units: list[str]) -> None:
-        found = self._model.encode_batch_fast(units, add_special_tokens=False)
-        self._known.update((unit, array("I", encoding.ids).tobytes()) for unit, encoding in zip(units, found))
+        """Units in lines of one text: no unit has a line break, so its id stands between units only."""
+        line_break = self._known["\n"]
+        for start in range(0, len(units), UNITS_A_CALL):
+            part = units[start : start + UNITS_A_CALL]
+            ids = self._ids("\n".join(part))
+            cuts = np.flatnonzero(ids == np.frombuffer(line_break, np.uint32)[0]) if len(line_break) == 4 else ()
+            if len(cuts) != len(part) - 1:  # a model without an id of its own for the line break
+                self._known.update((unit, self._ids(unit).tobytes()) for unit in part)
+                continue
+            data, firsts, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
+            self._known.update((unit, data[a:b]) for unit, a, b in zip(part, firsts, ends))
 
     def _learn(self, units: list[str]) -> None:
         known = self._known
@@ -82,7 +102,7 @@ class UnitEncoder:
             word = unit[1:] if unit[0] == " " else unit
             if not word or word[0].isspace() or word[-1].isspace():
                 known[unit] = None
-            elif unit[-1] in ".," and word[-2:-1].isalpha():
+            elif unit[-1] in MARKS and word[-2:-1].isalpha():
                 marked.append(unit)
                 bare.add(unit[:-1])
             else:
@@ -99,12 +119,14 @@ class UnitEncoder:
         seen: set[str] = set()
         for units in split:
             seen.update(units)
-        self._learn([unit for unit in seen if unit not in known])
+        new = seen.difference(known)
+        self._again |= seen - new
+        self._learn(list(new))
         out: list[np.ndarray] = []
         for text, units in zip(texts, split):
             parts = list(map(known.__getitem__, units))
             if None in parts or "\0" in text:  # a unit forbids the cut, or the mark of the cuts is part of the text
-                out.append(np.array(self._model.encode(text, add_special_tokens=False).ids, np.uint32))
+                out.append(self._ids(text))
             else:
                 out.append(np.frombuffer(b"".join(parts), np.uint32))
         return out
@@ -181,8 +203,8 @@ def _frames(codec: Codec, model_file: str, end_id: int):
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, compressor = unit_encoder(model_file), codec.compressor()
         for batch in batches:
-            for start in range(0, len(batch), 500):
-                part = batch.slice(start, 500)
+            for start in range(0, len(batch), ROWS_A_CALL):
+                part = batch.slice(start, ROWS_A_CALL)
                 arrays = encode(encoder, part.column("text").to_pylist())
                 frames = [compressor.compress(codec.serialized(ids)) for ids in arrays]
                 sizes = pa.array([len(ids) for ids in arrays], pa.int64())
