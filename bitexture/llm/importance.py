@@ -174,8 +174,9 @@ def importance_sample(
     k: int | None = None,
     target_docs: int = TARGET_DOCS,
     seed: int = SEED,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """One row per input row: id, ``log_ratio``, ``priority`` (log ratio and Gumbel variable), ``kept``.
+    """One row per input row: id, ``log_ratio``, ``priority`` (log ratio and Gumbel variable), ``kept``, and ``row_col`` as it was.
 
     ``k`` documents are kept, or all if there are fewer. If it is not given, it is the number of documents whose log
     ratio lies above the cut that separates the labelled good from the labelled bad ones best.
@@ -183,7 +184,7 @@ def importance_sample(
     selection from all documents. Good documents that set the cut take no part in the target, because documents the
     target has seen score higher than equally good ones it has not.
 
-    A missing text and one without tokens have a log ratio of 0. A missing id draws its Gumbel variable like any other
+    Texts of any length are read whole. A missing text and one without tokens have a log ratio of 0. A missing id draws its Gumbel variable like any other
     value; rows that repeat an id share it. Ties go to the smaller id, and rows equal in both are kept or not together,
     so that repeated rows can raise the number kept above ``k``. Without usable labels every document is kept, and an
     empty table gives an empty table. Other columns play no part.
@@ -192,10 +193,14 @@ def importance_sample(
     good, bad = staged(good, "trusted"), staged(bad, "rejected")
     held_out = (seeded_hash(id_col, seed) % HELD_OUT == 0) if k is None else F.lit(False)
     model = fit_ratio(docs, good.where(~held_out), id_col, text_col)
+    row = F.lit(None).cast("bigint") if row_col is None else F.col(row_col)
     scored = docs.select(
-        F.col(id_col).alias("doc"), model.of(F.col(text_col)).alias("log_ratio"), gumbel(id_col, seed).alias("noise")
+        F.col(id_col).alias("doc"),
+        row.alias("row"),
+        model.of(F.col(text_col)).alias("log_ratio"),
+        gumbel(id_col, seed).alias("noise"),
     )
-    scored = scored.select("doc", "log_ratio", (F.col("log_ratio") + F.coalesce("noise", F.lit(0.0))).alias("priority"))
+    scored = scored.select("doc", "row", "log_ratio", (F.col("log_ratio") + F.coalesce("noise", F.lit(0.0))).alias("priority"))
     scored = staged(scored, "scored")
     if k is None:
         ratios = [
@@ -206,5 +211,9 @@ def importance_sample(
         k = row_count(scored.where(F.col("log_ratio") >= F.lit(cut)))
     kept = among_top(scored, "priority", "doc", k) if k > 0 else F.lit(False)
     return scored.select(
-        F.col("doc").alias(id_col), "log_ratio", "priority", F.coalesce(kept, F.lit(k > 0)).alias("kept")
+        F.col("doc").alias(id_col),
+        "log_ratio",
+        "priority",
+        F.coalesce(kept, F.lit(k > 0)).alias("kept"),
+        *([F.col("row").alias(row_col)] if row_col else []),
     )

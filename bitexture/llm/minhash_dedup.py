@@ -135,15 +135,15 @@ def _signer(bands: int, rows: int, plan: _Plan):
             for start in range(0, len(batch), 1000):
                 part = batch.iloc[start : start + 1000]
                 out = []
-                for doc, text in zip(part["doc"], part["text"]):
+                for doc, row, text in zip(part["doc"], part["row"], part["text"]):
                     shingles = shingle_set(text, plan.width)
                     if not len(shingles):
-                        out.append((doc, 0, None, None, None))
+                        out.append((doc, row, 0, None, None, None))
                         continue
                     lows = minima(shingles, factors, offsets)
                     digest = xxhash.xxh128_digest(shingles.tobytes())
-                    out.append((doc, len(shingles), digest, packed(lows), band_keys(lows[: bands * rows], bands, rows)))
-                yield pd.DataFrame(out, columns=["doc", "n_shingles", "digest", "signature", "bands"])
+                    out.append((doc, row, len(shingles), digest, packed(lows), band_keys(lows[: bands * rows], bands, rows)))
+                yield pd.DataFrame(out, columns=["doc", "row", "n_shingles", "digest", "signature", "bands"])
 
     return sign
 
@@ -269,22 +269,28 @@ def near_duplicates(
     percent: int = 80,
     width: int = SHINGLE,
     rows: int = ROWS_PER_BAND,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``.
 
+    With ``row_col``, the name of a column of whole numbers without missing ones, also that column as it was, and ``group_key``,
+    which tells the groups of texts apart (missing without shingles).
+
     Two documents are linked if ``100 * common >= percent * union`` of their shingle sets. ``component_id`` is the
     smallest id that links reach, and ``kept`` marks the document with that id.
 
-    A missing or blank text has an empty set, no links and its own component. A row without an id links with nothing,
+    Texts of any length are read whole. A missing or blank text has an empty set, no links and its own component. A row without an id links with nothing,
     has no component and is not kept. Rows that repeat an id are each linked by their own text, and the row or rows
     with the smallest id of a group are kept. Other columns play no part. An empty table gives an empty table.
     """
     bands = bands_for(percent / 100, rows)
     plan = _Plan(percent, max(HASHES, bands * rows), width)
     kind = docs.schema[id_col].dataType.simpleString()
+    row = F.lit(0).cast("bigint") if row_col is None else F.col(row_col)
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    shape = f"doc {kind}, n_shingles bigint, digest binary, signature array<bigint>, bands array<bigint>"
-    signed = staged(texts.mapInPandas(_signer(bands, rows, plan), shape), "signed")
+    shape = f"doc {kind}, row bigint, n_shingles bigint, digest binary, signature array<bigint>, bands array<bigint>"
+    marked = docs.select(F.col(id_col).alias("doc"), row.alias("row"), F.col(text_col).alias("text"))
+    signed = staged(marked.mapInPandas(_signer(bands, rows, plan), shape), "signed")
 
     first = F.min(F.struct("doc", "n_shingles", "signature", "bands")).alias("first")
     reps = signed.where("doc is not null and digest is not null").groupBy("digest").agg(first)
@@ -309,14 +315,15 @@ def near_duplicates(
     labelled = reps.select("digest", "doc").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
     labelled = staged(labelled.select("digest", "doc", F.coalesce("label", "digest").alias("label")), "labelled")
     smallest = staged(labelled.groupBy("label").agg(F.min("doc").alias("component")), "smallest")
-    component = staged(labelled.join(smallest, "label").select("digest", "component"), "component")
-    found = signed.select("doc", "n_shingles", "digest").join(component, "digest", "left")
-    found = found.select("doc", "n_shingles", F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("c"))
+    component = staged(labelled.join(smallest, "label").select("digest", "label", "component"), "component")
+    found = signed.select("doc", "row", "n_shingles", "digest").join(component, "digest", "left")
+    found = found.select("doc", "row", "n_shingles", F.coalesce("label", "digest").alias("group_key"), F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("c"))
     return found.select(
         F.col("doc").alias(id_col),
         "n_shingles",
         F.col("c").alias("component_id"),
         F.coalesce(F.col("doc") == F.col("c"), F.lit(False)).alias("kept"),
+        *([F.col("row").alias(row_col), "group_key"] if row_col else []),
     )
 
 

@@ -9,6 +9,7 @@ from its id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -20,7 +21,8 @@ from bitexture.functions.hashing import HASH_SPAN, seeded_hash
 from bitexture.llm.common import staged
 
 REST = "(rest)"
-MAX_CATEGORIES = 10_000  # per marginal: the bound of the table of cells
+MAX_CATEGORIES = 10_000  # per marginal
+MAX_CELLS = 1_000_000  # of all marginals together: the bound of the table that is fitted and broadcast
 ROUNDS = 200
 TOLERANCE = 1e-6
 SEED = 23
@@ -30,7 +32,7 @@ LEAST_BUDGET = 0.05  # a derived budget is not below this, whatever the targets
 # Fixed values of the topic rule, tried in this order.
 TOPICS = [
     ("legal", r"(?i)licen[sc]e|copyright|all rights reserved"),
-    ("contact", r"[\w.]+@\w+\.\w+|https?://|\+\d[\d (-]{6,}"),
+    ("contact", r"(?<![\w.])[\w.]++@\w++\.\w|https?://|\+\d[\d (-]{6,}"),
     ("tabular", r" \| .* \| "),
 ]
 
@@ -162,6 +164,7 @@ def _fitted(
     id_col: str,
     text_col: str,
     budget: float | None,
+    row_col: str | None = None,
 ) -> tuple[DataFrame, dict[str, list[str]], np.ndarray, list[np.ndarray], Raked]:
     """The sized documents, the categories of each marginal, the cells, the target shares and the fitted probabilities."""
     names = list(targets)
@@ -170,8 +173,12 @@ def _fitted(
         if len(targets[name]) > MAX_CATEGORIES:
             raise ValueError(f"{name} has more than {MAX_CATEGORIES} targets")
         levels[name] = [*(c for c in targets[name] if c != REST), REST]
+    n_cells = math.prod(len(c) for c in levels.values())
+    if n_cells > MAX_CELLS:
+        raise ValueError(f"the targets make {n_cells} cells; the bound is {MAX_CELLS}")
     sized = docs.select(
         F.col(id_col).alias("doc"),
+        (F.lit(None).cast("bigint") if row_col is None else F.col(row_col)).alias("row"),
         *(_folded(categories[name], targets[name]).alias(name) for name in names),
         token_count(F.col(text_col)).alias("n_tokens"),
     )
@@ -214,8 +221,9 @@ def mix_to_targets(
     text_col: str = "text",
     budget: float | None = 0.5,
     seed: int = SEED,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """One row per input row: id, the folded category of each marginal, ``n_tokens``, ``weight`` (raked share over the
+    """One row per input row: id, ``row_col`` as it was, the folded category of each marginal, ``n_tokens``, ``weight`` (raked share over the
     natural one), ``probability``, ``kept``.
 
     ``targets`` has per marginal the wanted token share of its categories. A category that is not named, or missing, belongs
@@ -223,10 +231,10 @@ def mix_to_targets(
     that it has, and the named targets are scaled to what is left. ``categories`` has the column
     of each marginal. ``budget`` is the share of all tokens to keep; None takes the largest that meets the targets, see
     ``largest_budget``, and ``mix_shares`` tells which shares are reached. A document is kept if its hash lies below the probability of its cell, so decisions do not depend on
-    the partitioning and rows with one id share theirs; a missing id is a key like any other. Documents without tokens
+    the partitioning and rows with one id share theirs; texts of any length are read whole; a missing id is a key like any other. Documents without tokens
     have the probability of their cell; a cell without tokens has 0. An empty table gives an empty table.
     """
-    sized, levels, cells, _, raked = _fitted(docs, targets, categories, id_col, text_col, budget)
+    sized, levels, cells, _, raked = _fitted(docs, targets, categories, id_col, text_col, budget, row_col)
     names, shape = list(levels), cells.shape
     expected = cells * raked.probability
     scale = max(expected.sum(), 1e-300) / max(cells.sum(), 1e-300)
@@ -241,7 +249,7 @@ def mix_to_targets(
     drawn = drawn.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("weight", "probability")})
     number = seeded_hash(F.coalesce(F.col("doc").cast("string"), F.lit("")), seed) / HASH_SPAN
     return drawn.select(
-        F.col("doc").alias(id_col), *names, "n_tokens", "weight", "probability", (number < F.col("probability")).alias("kept")
+        F.col("doc").alias(id_col), *([F.col("row").alias(row_col)] if row_col else []), *names, "n_tokens", "weight", "probability", (number < F.col("probability")).alias("kept")
     )
 
 
@@ -262,8 +270,8 @@ def standard_categories() -> dict[str, Column]:
     return {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of(F.col("text"))}
 
 
-def standard_mix(docs: DataFrame, budget: float | None) -> DataFrame:
-    return mix_to_targets(docs, TARGETS, standard_categories(), budget=budget)
+def standard_mix(docs: DataFrame, budget: float | None, row_col: str | None = None) -> DataFrame:
+    return mix_to_targets(docs, TARGETS, standard_categories(), budget=budget, row_col=row_col)
 
 
 def standard_shares(docs: DataFrame, budget: float | None) -> DataFrame:

@@ -1,5 +1,7 @@
 """Every operator and stage with missing values, empty and long texts, ties, repeated rows, empty tables, extra columns."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from bitexture.llm.importance import importance_sample
 from bitexture.llm.license_scan import scan_licenses
 from bitexture.llm.line_dedup import dedupe_lines
 from bitexture.llm.minhash_dedup import near_duplicates
-from bitexture.llm.mixing import standard_mix
+from bitexture.llm.mixing import standard_mix, topic_of
 from bitexture.llm.piece_sampling import decoded, sample_pieces
 from bitexture.llm.quality_rules import quality_verdicts
 from bitexture.llm.token_store import read_token_store, write_token_store
@@ -132,8 +134,31 @@ def test_stages(spark, docs, labels, tmp_path, name):
 
 
 def test_near_dedup_stage_keeps_one_row_of_a_group(spark, docs, tmp_path):
-    ids = [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect()]
-    assert sorted(ids) == [1, 3, 4, 5, 6, 7]
+    other = docs.where("doc_id = 7").limit(1).withColumn("text", F.lit("a text of its own under an id that is there already"))
+    got = corpus_pipeline.near_dedup(spark, docs.unionByName(other), str(tmp_path))
+    assert sorted((r.doc_id for r in got.collect()), key=str) == [1, 3, 4, 5, 6, 7, 7, None, None]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:4]])
+def test_stages_lose_no_row_for_its_id(spark, docs, labels, tmp_path, name, monkeypatch):
+    """Rows without an id, and rows that share one with other texts, are judged by their own text."""
+    labels.limit(0).write.parquet(f"{tmp_path}/labels.parquet")  # without usable labels every document is kept
+    monkeypatch.setattr(corpus_pipeline, "MIX_BUDGET", 1.0)
+    texts = [(1, f"alpha {i} beta {i * 7} gamma {i * i} delta eps {i}") for i in range(3)] + [(None, "nobody's text, short"), (None, "another one")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = rows.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("src1").alias("source"), F.length("text").cast("long").alias("n_chars"))
+    got = dict(corpus_pipeline.STAGES)[name](spark, rows, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for i, t in texts)
+
+
+def test_topics_of_long_words(spark):
+    """One word of a million characters is read once."""
+    long = "a." * 500_000
+    rows = [("mail me@site.org", "contact"), (long, "prose"), (long + "@b", "prose"), (long + "@b.c", "contact"), ("@x.y", "prose")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    start = time.perf_counter()
+    got = [r.t for r in docs.select("doc_id", topic_of(F.col("text")).alias("t")).orderBy("doc_id").collect()]
+    assert got == [t for _, t in rows] and time.perf_counter() - start < 20
 
 
 def test_token_store_of_odd_rows(spark, docs, tmp_path):
