@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bitexture.functions.prompts import PromptComposer
 from bitexture.functions.text import TokenCounter, harmonic_mean
 from bitexture.operators.ranking import id_position
-from bitexture.operators.selection import DIRECT_TOP_K, among_top, top_k
+from bitexture.operators.selection import DIRECT_TOP_K, present, row_count, top_k, values_at
 from bitexture.sources.store import written
 
+DIRECT_PAIRS = 1 << 20
+WIDEN = 4
+MARGIN = 1.25
+
 
 def clean_pairs(pairs: DataFrame, id_col: str = "pair_id") -> DataFrame:
     """Drop pairs with a missing side and exact copies, keeping the smallest id of each.
@@ -73,19 +81,49 @@ def curate_top(
 ) -> DataFrame:
     """The ``size`` best pairs by the harmonic mean of both scores among those within the token budget.
 
-    More than ``heap`` pairs are selected in several passes over their scores. ``work_dir`` takes the ids and scores of
-    the fitting pairs, so that prompts are numbered and tokens counted once, whatever the size; the pairs are then
-    looked up by id.
+    Without ``work_dir`` the tokens of all pairs are counted. With it, and more than ``DIRECT_PAIRS`` pairs or ``heap`` wanted, the
+    best ``WIDEN * size`` pairs by score are looked at first, then the next best ones as far as the share of fitting pairs so
+    far suggests, until ``size`` of them fit: tokens are counted for about ``size`` over that share, or ``WIDEN * size`` pairs if
+    that is more, whatever the size of the table. ``work_dir`` takes the ids and scores of the fitting pairs; the best of them are
+    looked up by id. All ways give the same pairs.
     """
     scored = pairs.dropna(subset=["src_text", "trg_text"]).withColumn("sort_score", harmonic_mean(*map(F.col, scores)))
-    fitting = within_budget(scored, composer, counter, max_tokens, src_lang, trg_lang)
-    if work_dir is None or size <= heap:
-        return top_k(fitting, "sort_score", "pair_id", size, heap)
-    ranking = written(fitting.select("pair_id", "sort_score"), work_dir)
-    best = ranking.where(among_top(ranking, "sort_score", "pair_id", size)).select("pair_id")
+
+    def fitting(rows: DataFrame) -> DataFrame:
+        return within_budget(rows, composer, counter, max_tokens, src_lang, trg_lang)
+
+    if work_dir is None or (size <= heap and row_count(scored) <= DIRECT_PAIRS):
+        return top_k(fitting(scored), "sort_score", "pair_id", size, heap)
+    rows, ranking = scored, scored
+    if composer.sequential and "position" not in scored.columns:
+        # Prompts are numbered among all pairs, once.
+        ranking = written(id_position(scored.select("pair_id", "sort_score"), "pair_id"), f"{work_dir}/numbered")
+        rows = None
+    bands: list[DataFrame] = []
+    for k, band in enumerate(_bands(ranking.select("sort_score"), size, bands)):
+        chosen = scored.where(band) if rows is not None else scored.join(ranking.where(band).select("pair_id", "position"), "pair_id")
+        bands.append(written(fitting(chosen).select("pair_id", "sort_score"), f"{work_dir}/fitting-{k}"))
+    best = top_k(reduce(DataFrame.unionByName, bands), "sort_score", "pair_id", size, heap).select("pair_id")
     return scored.join(best, "pair_id", "left_semi")
 
 
+def _bands(ranking: DataFrame, size: int, fitting: list[DataFrame]) -> Iterator[Column]:
+    """Conditions on ``sort_score`` for the next best pairs, until those in ``fitting`` are enough or all pairs were taken."""
+    score = F.col("sort_score")
+    numbers = ranking.where(present(score))
+    taken, rank, found = F.lit(False), WIDEN * size, 0
+    while True:
+        (cut,) = values_at(numbers, [rank], descending=True)
+        upto = F.lit(True) if cut is None else F.coalesce(present(score) & (score >= cut.value), F.lit(False))
+        yield upto & ~taken
+        found += row_count(fitting[-1])
+        if cut is None or found >= size:
+            return
+        taken, looked_at = upto, cut.before + cut.n
+        needed = looked_at * size / found if found else looked_at * WIDEN
+        rank = min(max(math.ceil(needed * MARGIN), looked_at + size), looked_at * WIDEN**2)
+
+
 def top_by_score(pairs: DataFrame, score: str = "bicleaner_ai_score", top_n: int = 1000) -> DataFrame:
     return top_k(pairs, score, "pair_id", top_n)
 

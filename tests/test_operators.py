@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bitexture.functions import text as txt
-from bitexture.functions.prompts import FixedPrompt
+from bitexture.functions.prompts import FixedPrompt, Template, TemplatePrompt
 from bitexture.operators import batching, curate, perplexity, ranking, runlog, selection, stats
 from bitexture.operators.generate import cut_prompt, echo_generator, generate
 
@@ -73,6 +73,30 @@ def test_expansion_and_training_texts(spark):
     assert sorted((r.pair_id, r.split) for r in texts) == [(1, "train")] * 2 + [(3, "validation")] * 2
 
 
+@pytest.mark.parametrize("numbered", [False, True])
+@pytest.mark.parametrize("longest", [3, 9, 30])
+def test_curation_widens_by_survivors(spark, monkeypatch, tmp_path, numbered, longest):
+    """The same pairs as by counting all tokens, with the tokens of the best pairs counted only."""
+    monkeypatch.setattr(curate, "DIRECT_PAIRS", 0)
+    nan = float("nan")
+    rows = [(i, "a " * (i * 7 % 10), "b", rng.choice([0.1, 0.5, 0.7, rng.random(), nan]), rng.choice([0.5, None, 0.9])) for i in range(400)]
+    pairs = spark.createDataFrame(rows, "pair_id long, src_text string, trg_text string, bicleaner_ai_score double, bleualign_score double")
+    prompt = TemplatePrompt({"hr": [Template.parse("x {input} y {output}"), Template.parse("x x x x x {input} {output}")], "en": [Template.parse("x {input} {output}")] * 2}) if numbered else PROMPT
+    for size in (1, 7, 90, 1000):
+        seen = []
+        within = curate.within_budget
+        monkeypatch.setattr(curate, "within_budget", lambda df, *args: seen.append(df.count()) or within(df, *args))
+        args = (pairs, prompt, txt.count_words)
+        got = curate.curate_top(*args, max_tokens=longest, size=size, work_dir=f"{tmp_path}/{size}")
+        looked_at = sum(seen)
+        want = curate.curate_top(*args, max_tokens=longest, size=size)
+        assert sorted(r.pair_id for r in got.collect()) == sorted(r.pair_id for r in want.collect())
+        assert sorted(got.columns) == sorted(want.columns)
+        monkeypatch.setattr(curate, "within_budget", within)
+        if size == 1 and longest == 30:
+            assert looked_at < 200 and len(seen) >= 1
+
+
 @pytest.mark.parametrize("histograms", [False, True])
 def test_summary(spark, monkeypatch, histograms):
     if histograms:
