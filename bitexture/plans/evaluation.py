@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from bitexture.functions.prompts import PromptComposer
 from bitexture.functions.wrappers import ModelWrapper, get_wrapper
 from bitexture.operators.curate import numbered_calls
-from bitexture.operators.generate import Generator, cut_prompt, generate
+from bitexture.operators.generate import MakeGenerator, cut_prompt, generate
 from bitexture.operators.metrics import evaluate
 from bitexture.operators.splits import limit_examples
 from bitexture.sources.registry import DatasetRegistry
@@ -61,7 +60,7 @@ def preview_prompts(spark: SparkSession, registry: DatasetRegistry, job: Evaluat
     return shown.select("dataset", "example_id", F.col("inputs").alias("prompt"), F.col("outputs").alias("expected"))
 
 
-def predict(examples: DataFrame, make_generator: Callable[[], Generator]) -> DataFrame:
+def predict(examples: DataFrame, make_generator: MakeGenerator) -> DataFrame:
     generated = generate(examples, make_generator)
     return generated.withColumn("predictions", cut_prompt(F.col("generated"), F.col("inputs"))).drop("generated")
 
@@ -70,7 +69,7 @@ def run_evaluation(
     spark: SparkSession,
     registry: DatasetRegistry,
     job: EvaluationJob,
-    make_generator: Callable[[], Generator],
+    make_generator: MakeGenerator,
     out_dir: str,
     run: str,
 ) -> DataFrame:

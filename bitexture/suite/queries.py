@@ -21,7 +21,7 @@ from bitexture.functions.tokens import (
 )
 from bitexture.functions.wrappers import get_wrapper, system_wrapper
 from bitexture.operators import batching, curate, metrics, perplexity, ranking, runlog, splits, stats
-from bitexture.operators.generate import cut_prompt, echo_generator, generate
+from bitexture.operators.generate import cut_prompt, echo_words, generate
 from bitexture.plans import evaluation as ev
 from bitexture.plans.curation import build_pairs_and_texts
 from bitexture.plans.training import prepare_split
@@ -560,7 +560,7 @@ def prompt_preview(spark, sf):
 @query
 def batch_generate(spark, sf):
     inputs = ev.load_examples(spark, _registered(spark, sf), _job(split=None, wrapper=None))
-    return generate(inputs, echo_generator).select("example_id", "inputs", "generated")
+    return generate(inputs, echo_words).select("example_id", "inputs", "generated")
 
 
 @query
@@ -586,7 +586,7 @@ def evaluation_job(spark, sf):
     """The whole evaluation with the stand-in generator, scores read back from their documents."""
     out = scratch_dir(spark, "evaluation")
     job = _job(wrapper=None, max_examples=50, metrics=["bleu", "gleu"])
-    ev.run_evaluation(spark, _registered(spark, sf), job, echo_generator, out, "r1")
+    ev.run_evaluation(spark, _registered(spark, sf), job, echo_words, out, "r1")
     return _rounded(store.read_scores(spark, f"{out}/scores"))
 
 

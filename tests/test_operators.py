@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from bitexture.functions import text as txt
 from bitexture.functions.prompts import FixedPrompt, Template, TemplatePrompt
 from bitexture.operators import batching, curate, perplexity, ranking, runlog, selection, stats
-from bitexture.operators.generate import cut_prompt, echo_generator, generate
+from bitexture.operators.generate import cut_prompt, echo_generator, echo_words, generate
 
 rng = random.Random(3)
 PROMPT = FixedPrompt({"hr": "H", "en": "E"}, "GO:")
@@ -292,6 +292,7 @@ def test_large_logits_do_not_overflow(spark):
 def test_generation_and_prefix(spark):
     df = spark.createDataFrame([(1, "say it"), (2, "")], "example_id int, inputs string")
     got = {r.example_id: r.generated for r in generate(df, echo_generator).collect()}
+    assert got == {r.example_id: r.generated for r in generate(df, echo_words).collect()}
     assert got == {1: "say itit say", 2: ""}
     both = spark.createDataFrame([("abé", "abéxyz")], "p string, g string")
     assert both.select(cut_prompt(F.col("g"), F.col("p"), strict=True)).first()[0] == "xyz"
