@@ -1,5 +1,6 @@
 """The operators beside brute-force versions, round trips and held-out accuracy."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -380,3 +381,51 @@ def test_main_text_with_anchors_and_unclosed_elements():
     )
     (got,) = TreeModel.from_counts([]).texts([page])
     assert got == f"Title {long} Related work {long} Results {long} {long} End."
+
+
+def test_mix_against_brute_force(spark):
+    """Raking in plain loops, and the draw of every document, at a budget that every cell can meet."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(words(rng, rng.randrange(20, 60))), rng.choice("abc"), rng.choice("xy")) for i in range(400)]
+    rows += [(400, None, "a", "x"), (401, "", None, "y"), (None, "a b c d e", "b", None), (402, "one two", "other", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(3)
+    targets = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"x": 0.4, "y": 0.6}}
+    budget = 0.2
+    got = mixing.mix_to_targets(docs, targets, {"source": F.col("source"), "lang": F.col("lang")}, budget=budget).collect()
+
+    fold = lambda value, named: value if value in named else mixing.REST
+    tokens = {r.doc_id: r.n_tokens for r in got}
+    cells, marginal = defaultdict(float), [defaultdict(float), defaultdict(float)]
+    for i, _, *kinds in rows:
+        cell = tuple(fold(k, t) for k, t in zip(kinds, targets.values()))
+        cells[cell] += tokens[i]
+        for axis in range(2):
+            marginal[axis][cell[axis]] += tokens[i]
+    total = sum(cells.values())
+    wanted = []
+    for axis, named in enumerate(targets.values()):
+        rest = marginal[axis][mixing.REST] / total
+        wanted.append({**{c: share * (1 - rest) for c, share in named.items()}, mixing.REST: rest})
+    amount = dict(cells)
+    for _ in range(2000):
+        for axis in range(2):
+            sums = defaultdict(float)
+            for cell, n in amount.items():
+                sums[cell[axis]] += n
+            for cell in amount:
+                if sums[cell[axis]]:
+                    amount[cell] *= wanted[axis][cell[axis]] * budget * total / sums[cell[axis]]
+    assert max(amount[c] / cells[c] for c in cells if cells[c]) < 1
+    for r in got:
+        cell = (r.source, r.lang)
+        want = amount[cell] / cells[cell] if cells[cell] else 0.0
+        assert r.probability == pytest.approx(want, rel=1e-3)
+        digest = hashlib.md5(f"{'' if r.doc_id is None else r.doc_id}|{mixing.SEED}".encode()).hexdigest()
+        assert r.kept == (int(digest[:8], 16) / 2**32 < r.probability)
+
+
+def test_mix_refuses_too_many_cells(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    many = {f"m{k}": {str(i): 1.0 for i in range(200)} for k in range(3)}
+    with pytest.raises(ValueError, match="cells"):
+        mixing.mix_to_targets(docs, many, {name: F.lit("1") for name in many})
