@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 IGNORED_LABEL = -100
+CHUNK_CHARS = 1 << 18  # encoded at once: a token takes some 100 bytes while its encoding is held
 
 
 def codepoint_ids(text: Column, limit: int | None = None) -> Column:
@@ -63,12 +65,26 @@ def file_content(spark: SparkSession, path: str) -> bytes:
     return bytes(spark.read.format("binaryFile").load(path).select("content").first().content)
 
 
+def _chunks(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in lists of at most ``CHUNK_CHARS`` characters; a longer text is alone in its list."""
+    chunk, size = [], 0
+    for text in texts:
+        if chunk and size + len(text) > CHUNK_CHARS:
+            yield chunk
+            chunk, size = [], 0
+        chunk.append(text)
+        size += len(text)
+    if chunk:
+        yield chunk
+
+
 def _encoder(
     spark: SparkSession, path: str, special: bool, take: Callable, result_type: str, max_length: int | None = None
 ):
     """Arrow UDF over a tokenizer file of some MB, which is broadcast as it is and which each task loads once.
 
-    Padding or truncation set in the file is switched off; ``max_length`` truncates so that special tokens stay.
+    Padding or truncation set in the file is switched off; ``max_length`` truncates so that special tokens stay. Encodings are
+    held for one chunk of texts, whatever the size of the Arrow batch, and each chunk leaves the task as a batch of its own.
     """
     content = spark.sparkContext.broadcast(file_content(spark, path))
 
@@ -83,8 +99,9 @@ def _encoder(
         else:
             tokenizer.enable_truncation(max_length)
         for texts in batches:
-            encoded = tokenizer.encode_batch(texts.fillna("").tolist(), add_special_tokens=special)
-            yield pd.Series([take(e.ids) for e in encoded])
+            for chunk in _chunks(texts.fillna("").tolist()):
+                encoded = tokenizer.encode_batch_fast(chunk, add_special_tokens=special)
+                yield pd.Series([take(e) for e in encoded])
 
     return encode
 
@@ -96,4 +113,4 @@ def file_token_counter(spark: SparkSession, path: str, special: bool = True):
 
 def file_token_ids(spark: SparkSession, path: str, special: bool = True, max_length: int | None = None):
     """Token ids from a tokenizer file, unpadded."""
-    return _encoder(spark, path, special, list, "array<int>", max_length)
+    return _encoder(spark, path, special, lambda e: np.array(e.ids, np.int32), "array<int>", max_length)

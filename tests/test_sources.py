@@ -3,13 +3,14 @@ import os
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from bitexture.functions.hashing import seeded_hash
 from bitexture.functions.prompts import FixedPrompt, Template, TemplatePrompt
 from bitexture.functions.text import count_words
-from bitexture.functions.tokens import file_token_counter
+from bitexture.functions.tokens import file_token_counter, file_token_ids
 from bitexture.operators.generate import echo_generator
 from bitexture.operators.runlog import smoothed_loss
 from bitexture.plans import curation
@@ -212,6 +213,22 @@ def test_tokenizer_file(spark, tmp_path):
     assert (short.input_ids, short.attention_mask, short.labels) == ([1, 2, 0, 0], [1, 1, 0, 0], [1, 2, -100, -100])
 
 
+def test_tokenizer_file_takes_a_batch_in_chunks(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    tokenizer = Tokenizer(models.WordLevel({"a": 3, "?": 5}, unk_token="?"))
+    tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    path = str(tmp_path / "words.json")
+    tokenizer.save(path)
+    texts = pd.Series([None, *["a " * n for n in (30_000, 90_000, 3, 50_000, 200_000, 1, 0)]])
+    batches = list(file_token_counter(spark, path).func(iter([texts, texts[:0]])))
+    assert [n for b in batches for n in b] == [0, 30_000, 90_000, 3, 50_000, 200_000, 1, 0]
+    assert [len(b) for b in batches] == [4, 1, 1, 2]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").coalesce(1)
+    got = rows.select("i", F.size(file_token_ids(spark, path)(F.col("text"))).alias("n")).collect()
+    assert [r.n for r in sorted(got)] == [0, 30_000, 90_000, 3, 50_000, 200_000, 1, 0]
+
+
 def test_curation_job(spark, tmp_path):
     pairs = spark.createDataFrame(
         [(i, f"s{i}", f"t{i}", 0.5, i / 50) for i in range(1, 41)], PAIRS
