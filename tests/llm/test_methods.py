@@ -1,9 +1,11 @@
 """The operators beside brute-force versions, round trips and held-out accuracy."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from bitexture.llm import importance, mixing, piece_sampling, token_store, topk_search
+from bitexture.llm import importance, mixing, piece_sampling, quality_rules, token_store, topk_search
 from bitexture.llm.html_extract import count_labelled, TreeModel, extract_main_text
 from bitexture.llm.license_scan import BASE, scan_licenses
 from bitexture.llm.line_dedup import dedupe_lines
@@ -199,6 +201,50 @@ def test_quality_verdicts_on_labels(spark):
     assert np.mean([r.kept for r in got if r.quality == 0]) < 0.3
 
 
+def test_quality_verdicts_fit_all_labelled_documents(spark):
+    """Over 20,000 labelled documents of each kind: every one counts for the ratios and for the cut."""
+    n, kind = 42_000, F.col("id") % 2
+    spelled = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: F.xxhash64(F.col("id"), k) % 4 + k)
+    marks = F.transform(spelled, lambda x: F.concat(F.lit("w"), F.substring(F.lit(".,;:!?()-+=_~^"), (F.abs(x) % 14 + 1).cast("int"), F.lit(1))))
+    ends = F.when(kind == 1, F.lit(" (w) W-w")).otherwise(F.when(F.col("id") % 3 == 0, F.lit(" w~w W-w")).otherwise(F.lit(" ww, W")))
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.concat_ws(" ", marks), ends).alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), kind.cast("int").alias("quality"))
+    buckets = F.transform(quality_rules._places("s"), lambda i: quality_rules.bigram_bucket("s", i))
+    shaped = docs.select("doc_id", quality_rules.shape_words(F.col("text")).alias("s")).select("doc_id", buckets.alias("b"))
+    raw, target = Counter(), Counter()
+    for r in shaped.collect():
+        raw.update(r.b)
+        target.update(r.b if r.doc_id % 2 else [])
+    smooth = quality_rules.SMOOTHING * quality_rules.BUCKETS
+    shift = math.log(raw.total() + smooth) - math.log(target.total() + smooth)
+    ratio = {b: math.log((target[b] + quality_rules.SMOOTHING) / (raw[b] + quality_rules.SMOOTHING)) + shift for b in raw}
+    got = quality_verdicts(docs, labels).collect()
+    want = {r.doc_id: np.mean([ratio[b] for b in r.b]) for r in shaped.collect()}
+    assert all(abs(r.log_ratio - want[r.doc_id]) < 1e-4 for r in got)
+    judged = [r for r in got if not r.base_failed]
+    good, bad = (sorted(r.log_ratio for r in judged if r.doc_id % 2 == q) for q in (1, 0))
+    assert len(good) > 20_000 and len(bad) > 20_000
+    cut = best_threshold(good, bad)
+    assert all(r.kept == (r.log_ratio >= cut) for r in judged)
+
+
+def best_threshold(good, bad):
+    scores = sorted({*good, *bad})
+    errors = [10 * bisect_left(good, s) / len(good) + 1 - bisect_left(bad, s) / len(bad) for s in scores]
+    _, _, low, high = min((e, low - high, low, high) for e, low, high in zip(errors, [scores[0], *scores[:-1]], scores))
+    return (low + high) / 2
+
+
+def test_quality_threshold_by_brute_force(spark):
+    rng = random.Random(11)
+    for size, places in ((1, 2), (4, 1), (300, 2), (300, 6)):
+        rows = [(round(rng.gauss(0.4 * good, 1), places), good) for good in (True, False) for _ in range(size)]
+        good, bad = (sorted(x for x, kind in rows if kind == q) for q in (True, False))
+        assert quality_rules.threshold_between(frame(spark, rows, "log_ratio double, good boolean")) == best_threshold(good, bad)
+    only = frame(spark, [(1.0, True)], "log_ratio double, good boolean")
+    assert quality_rules.threshold_between(only) == -math.inf
+
+
 def test_license_base_phrases_by_brute_force(spark):
     rng = random.Random(9)
     pool = "mit MIT license License, apache general public the x é under licensed-under".split()
