@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from bitexture.llm import importance, mixing, piece_sampling, quality_rules, token_store, topk_search
 from bitexture.llm.html_extract import count_labelled, TreeModel, extract_main_text
-from bitexture.llm.license_scan import BASE, scan_licenses
+from bitexture.llm.license_rules import signature_rules
+from bitexture.llm.license_scan import BASE, gate, scan_licenses
 from bitexture.llm.line_dedup import dedupe_lines
 from bitexture.llm.minhash_dedup import bands_for, estimate, lowest_estimate, near_duplicates
 from bitexture.llm.passage_dedup import dedupe_passages
@@ -475,3 +476,15 @@ def test_mix_refuses_too_many_cells(spark):
     many = {f"m{k}": {str(i): 1.0 for i in range(200)} for k in range(3)}
     with pytest.raises(ValueError, match="cells"):
         mixing.mix_to_targets(docs, many, {name: F.lit("1") for name in many})
+
+
+def test_license_gate_is_plain_search(spark):
+    """No pattern is tried at every character; any case of a keyword passes, other letters than A-Z find nothing."""
+    texts = [(1, "The MiT LICENSE here"), (2, "mit lıcense"), (3, "MİT LİCENSE"), (4, "all RIGHTS reserved"), (5, "nothing"), (6, None)]
+    docs = frame(spark, texts)
+    low = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("low"))
+    passed = low.where(gate(F.col("low"), signature_rules()))
+    assert {r.doc_id for r in passed.collect()} >= {1, 4} and 5 not in {r.doc_id for r in passed.collect()}
+    assert "RLIKE" not in passed._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.doc_id: (r.n_base, r.labels) for r in scan_licenses(docs).collect()}
+    assert got == {1: (1, "mit"), 2: (0, ""), 3: (0, ""), 4: (0, "proprietary"), 5: (0, ""), 6: (0, "")}
