@@ -96,32 +96,35 @@ def _places(shapes: str) -> Column:
     return F.when(F.size(shapes) > 0, F.sequence(F.lit(0), F.size(shapes) - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def fit_log_ratios(texts: DataFrame, trusted: DataFrame) -> list[float]:
+def shape_buckets(shapes: str) -> Column:
+    """The buckets of all words, in order; a bucket fits two bytes."""
+    return F.transform(_places(shapes), lambda i: bigram_bucket(shapes, i).cast("smallint"))
+
+
+def fit_log_ratios(bucketed: DataFrame, trusted: DataFrame) -> list[float]:
     """Per bucket the log of its share in trusted documents over its share in the corpus.
 
-    Counts cover all ``texts (doc, text)``, and all of them that are in ``trusted (doc)``, distinct ids. The driver gets one
-    row per bucket.
+    Counts cover all of ``bucketed (doc, buckets)``, and all of them that are in ``trusted (doc)``, distinct ids. Buckets meet the ids,
+    not texts, and by the same plan at every size. The driver gets one row per bucket and count.
     """
-    marked = texts.join(trusted.withColumn("trusted", F.lit(1)), "doc", "left")
-    shapes = marked.select("trusted", shape_words(F.col("text")).alias("shapes"))
-    buckets = F.transform(_places("shapes"), lambda i: bigram_bucket("shapes", i))
-    grams = shapes.select("trusted", F.explode(buckets).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("target")).collect()
-    raw, target = [SMOOTHING] * BUCKETS, [SMOOTHING] * BUCKETS
-    for row in counts:
-        raw[row.bucket] += row.raw
-        target[row.bucket] += row.target
-    if not any(row.target for row in counts):
+
+    def counts(rows: DataFrame) -> dict[int, int]:
+        found = rows.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+        return {row.bucket: row.n for row in found.collect()}
+
+    raw, target = counts(bucketed), counts(bucketed.join(trusted.hint("merge"), "doc"))
+    if not target:
         return [0.0] * BUCKETS
+    raw, target = ([SMOOTHING + n.get(bucket, 0) for bucket in range(BUCKETS)] for n in (raw, target))
     shift = math.log(sum(raw)) - math.log(sum(target))
     return [round(math.log(t / r) + shift, 4) for t, r in zip(target, raw)]
 
 
-def mean_ratio(shapes: str, log_ratios: list[float]) -> Column:
+def mean_ratio(buckets: str, log_ratios: list[float]) -> Column:
     """Sum of the log ratios of all bigrams over their number; 0 without words."""
     weights = F.split(F.lit(",".join(map(str, log_ratios))), ",").cast("array<double>")
-    total = F.aggregate(_places(shapes), F.lit(0.0), lambda acc, i: acc + F.get(weights, bigram_bucket(shapes, i)))
-    return F.when(F.size(shapes) > 0, F.round(total / F.size(shapes), RATIO_PLACES)).otherwise(F.lit(0.0))
+    total = F.aggregate(buckets, F.lit(0.0), lambda acc, bucket: acc + F.get(weights, bucket.cast("int")))
+    return F.when(F.size(buckets) > 0, F.round(total / F.size(buckets), RATIO_PLACES)).otherwise(F.lit(0.0))
 
 
 def threshold_between(labelled: DataFrame) -> float:
@@ -176,11 +179,13 @@ def quality_verdicts(
     worst = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("doc")).agg(F.min(quality_col).alias("quality"))
     known = staged(worst.where("quality is not null").select("doc", (F.col("quality") >= 1).alias("good")), "labelled")
     texts = docs.select(F.col(id_col).alias("doc"), F.coalesce(text_col, F.lit("")).alias("text"))
-    log_ratios = fit_log_ratios(texts, known.where("good").select("doc"))
-
     shaped = with_rules(texts, "text").withColumn("shapes", shape_words(F.col("text")))
-    judged = shaped.withColumn("log_ratio", mean_ratio("shapes", log_ratios))
-    judged = staged(judged.select("doc", *RULES, base_failed().alias("base_failed"), "log_ratio"), "judged")
+    shaped = shaped.select("doc", *RULES, base_failed().alias("base_failed"), shape_buckets("shapes").alias("buckets"))
+    shaped = staged(shaped, "shaped")  # texts are read once, what follows needs their buckets only
+    log_ratios = fit_log_ratios(shaped.select("doc", "buckets"), known.where("good").select("doc"))
+
+    judged = shaped.withColumn("log_ratio", mean_ratio("buckets", log_ratios)).drop("buckets")
+    judged = staged(judged, "judged")
     passing = judged.where("not base_failed").select("doc", "log_ratio")
     cut = threshold_between(passing.join(known, "doc").select("log_ratio", "good"))
     kept = ~F.col("base_failed") & (F.col("log_ratio") >= F.lit(cut))

@@ -236,6 +236,32 @@ def best_threshold(good, bad):
     return (low + high) / 2
 
 
+def test_quality_fit_moves_no_texts(spark, monkeypatch):
+    """Only two-byte buckets meet the labels, in one plan at every size; a missing id is a document of the corpus."""
+    seen, fit = [], quality_rules.fit_log_ratios
+
+    def spied(rows, trusted):
+        seen.append((rows, fit(rows, trusted)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(quality_rules, "fit_log_ratios", spied)
+    texts = [(1, "aa Bb 12 " * 4), (1, "AA - " * 5), (None, "zz Zz " * 6), (2, "x9 " * 11), (3, None)]
+    labels = frame(spark, [(1, 1), (2, 0), (None, 1)], "doc_id long, quality int")
+    assert quality_verdicts(frame(spark, texts), labels).count() == len(texts)
+    ((rows, got),) = seen
+    assert dict(rows.dtypes) == {"doc": "bigint", "buckets": "array<smallint>"}
+    counted = {None: Counter(), 1: Counter(), 2: Counter(), 3: Counter()}
+    for row in rows.collect():
+        counted[row.doc].update(row.buckets)
+    raw, target = sum(counted.values(), Counter()), counted[1]
+    assert sum(raw.values()) == 12 + 10 + 12 + 11 and sum(target.values()) == 22
+    smooth = quality_rules.SMOOTHING * quality_rules.BUCKETS
+    shift = math.log(sum(raw.values()) + smooth) - math.log(sum(target.values()) + smooth)
+    for b in raw:
+        want = math.log((target[b] + quality_rules.SMOOTHING) / (raw[b] + quality_rules.SMOOTHING)) + shift
+        assert got[b] == round(want, 4)
+
+
 def test_quality_threshold_by_brute_force(spark):
     rng = random.Random(11)
     for size, places in ((1, 2), (4, 1), (300, 2), (300, 6)):
