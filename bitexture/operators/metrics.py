@@ -24,12 +24,11 @@ from bitexture.functions.text import count_words, without_spaces
 from bitexture.operators.ngrams import (
     EXAMPLE,
     Extent,
-    counts_of,
     example_matches,
-    example_ngrams,
     extent_of,
     gram_count,
-    reference_count,
+    group_grams,
+    matched_grams,
     reference_list,
     unit_separator,
 )
@@ -245,27 +244,26 @@ def nist(examples: DataFrame, keys: list[str] = [], unit: str = "char") -> DataF
     """Information-weighted precision summed over orders, with a length penalty; weights are per group."""
     examples = _grouped(examples, keys)
     extent = extent_of(examples)
-    per_example = example_ngrams(examples, extent, [GROUP], NIST_ORDERS, unit)
-    refs = [counts_of(j) for j in range(extent.references)]
     orders = range(1, NIST_ORDERS + 1)
     lengths = _with_lengths(examples, unit)
     totals = [F.sum(gram_count(F.col("hl"), n)).alias(f"t{n}") for n in orders]
     whole = lengths.groupBy(GROUP).agg(F.sum(F.aggregate("rls", F.lit(0).cast("bigint"), lambda a, b: a + b)).alias("ref_len"))
-    grams = per_example.groupBy(GROUP, "gram", "n").agg(
-        F.sum(reference_count(extent)).alias("r"), F.sum(F.least("h", refs[0])).alias("matched")
-    )
-    weighted = information_weights(grams, whole, unit)
+    weighted = information_weights(group_grams(examples, extent, GROUP, NIST_ORDERS, unit), whole, unit)
     if extent.references > 1:
-        matched = per_example.where((F.col("h") > 0) & (reference_count(extent) > 0))
-        matched = matched.join(weighted.select(GROUP, "gram", "info"), [GROUP, "gram"])
-        gain = lambda n, r: F.sum(F.when(F.col("n") == n, F.col("info") * F.least("h", r)).otherwise(0.0))
-        gains = matched.groupBy(GROUP, EXAMPLE).agg(*[gain(n, r).alias(f"g{n}_{j}") for j, r in enumerate(refs) for n in orders])
+        matched = matched_grams(examples, extent, GROUP, NIST_ORDERS, unit)
+        telling = weighted.where("info != 0").select(GROUP, "gram", "info")  # the others gain nothing
+        clipped = [f"c{j}" for j in range(extent.references)]
+        each = F.inline(F.arrays_zip(F.col("examples").alias(EXAMPLE), *clipped))
+        matched = matched.join(telling, [GROUP, "gram"]).select(GROUP, "n", "info", each)
+        gain = lambda n, j: F.sum(F.when(F.col("n") == n, F.col("info") * F.col(f"c{j}")).otherwise(0.0))
+        refs = range(extent.references)
+        gains = matched.groupBy(GROUP, EXAMPLE).agg(*[gain(n, j).alias(f"g{n}_{j}") for j in refs for n in orders])
         joined = lengths.join(gains, [GROUP, EXAMPLE], "left")
 
         def best(n: int) -> Column:
             """Gain and length of the best reference; of gains equal to six places the longer reference, however summed."""
             options = []
-            for j in range(len(refs)):
+            for j in refs:
                 found, length = F.coalesce(f"g{n}_{j}", F.lit(0.0)), F.get("rls", F.lit(j))
                 fields = F.struct(F.round(found, 6).alias("level"), length.alias("length"), found.alias("gain"))
                 options.append(F.when(F.size("rls") > j, fields))

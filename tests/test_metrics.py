@@ -322,3 +322,49 @@ def test_prefix_counts_follow_sort_order(spark):
     df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "example_id long, predictions string, outputs string")
     want = nist([(t.split(), t.split()) for t in texts])
     assert metrics.nist(df, unit="word").first().score == pytest.approx(want)
+
+
+@pytest.mark.parametrize("unit", ["char", "word"])
+def test_ngrams_of_an_example_are_counted_in_its_batch(spark, monkeypatch, unit):
+    """No row per occurrence for examples of bounded length; examples are dealt to chunks of a few units."""
+    from bitexture.operators import batch_ngrams, ngrams
+
+    rows = [(i, h, refs) for i, (h, refs) in enumerate(MANY)]
+    df = spark.createDataFrame(rows, "example_id long, predictions string, outputs array<string>")
+    names = ["bleu", "gleu", "chrf", "nist"]
+
+    def no_rows(*_):
+        raise AssertionError("one row per occurrence")
+
+    monkeypatch.setattr(ngrams, "_occurrences", no_rows)
+    monkeypatch.setattr(batch_ngrams, "UNITS_A_CHUNK", 60)
+    got = {r.metric: r.score for r in metrics.evaluate(df.coalesce(2), names, unit=unit).collect()}
+    for name in names:
+        size = "char" if name == "chrf" else unit
+        pairs = [(cut(h, size), [cut(r, size) for r in refs]) for h, refs in MANY]
+        assert got[name] == pytest.approx(MANY_BRUTE[name](pairs)), name
+
+
+def test_rows_that_share_an_id_are_one_example(spark):
+    """Their n-grams are counted together, beside examples of their own; a missing id is an id."""
+    from bitexture.operators.ngrams import example_matches, extent_of
+
+    rows = [(1, "g", "abab", ["ab"]), (1, "g", "ab", ["abab", "b"]), (1, "h", "a", ["a"]), (None, "g", "b", ["b"]), (None, "g", "", ["b"])]
+    df = spark.createDataFrame(rows, "example_id long, dataset string, predictions string, outputs array<string>")
+    extent = extent_of(df)
+    assert extent.repeated and not extent_of(df.where("dataset = 'h'")).repeated
+    got = {(r.example_id, r.dataset): (r.m1, r.m2, r.m1_0, r.m1_1) for r in example_matches(df, extent, ["dataset"], 2).collect()}
+    assert got == {(1, "g"): (6, 4, 6, 1), (1, "h"): (1, 0, 1, 0), (None, "g"): (1, 0, 1, 0)}
+
+
+def test_any_integer_keys_are_numbered_in_order():
+    import numpy as np
+
+    from bitexture.operators.batch_ngrams import numbered
+
+    for bound in (1, 7, 1 << 40, (1 << 63) - 1):
+        keys = np.array([rng.randrange(min(bound, 1 << 62)) for _ in range(50)] * 2, np.int64)
+        number, count = numbered(keys, bound)
+        order = {k: i for i, k in enumerate(sorted({*keys.tolist()}))}
+        assert count == len(order) and number.tolist() == [order[k] for k in keys.tolist()]
+    assert numbered(np.empty(0, np.int64), 0)[1] == 0
