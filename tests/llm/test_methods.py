@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from bitexture.llm import importance, mixing, piece_sampling, quality_rules, token_store, topk_search
+from bitexture.llm import importance, mixing, passage_dedup, piece_sampling, quality_rules, token_store, topk_search
 from bitexture.llm.html_extract import count_labelled, TreeModel, extract_main_text
 from bitexture.llm.license_rules import signature_rules
 from bitexture.llm.license_scan import BASE, gate, scan_licenses
@@ -21,6 +21,7 @@ from bitexture.llm.line_dedup import dedupe_lines
 from bitexture.llm.minhash_dedup import bands_for, estimate, lowest_estimate, near_duplicates
 from bitexture.llm.passage_dedup import dedupe_passages
 from bitexture.llm.quality_rules import quality_verdicts
+from bitexture.llm.suffix_array import later_copies, sorted_groups
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -147,6 +148,51 @@ def test_passages_inside_lines_go(spark, tmp_path):
     assert got == {1: inside[0][1], 2: "Other\nline\nit is.\n\nx"}
 
 
+@pytest.fixture
+def many_partitions(spark):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield spark
+    spark.conf.set(name, "true")
+
+
+def test_ranks_are_places_in_the_sorted_order(many_partitions):
+    """One key fills several partitions, equal rows are one."""
+    spark, rng = many_partitions, random.Random(16)
+    rows = sorted({(rng.choice([4] * 9 + list(range(12))), i) for i in range(600)} | {(50, 1), (51, 2)})
+    table = spark.createDataFrame(rows + rows[::7], "key long, at int")
+    keys = [key for key, _ in rows]
+    want = [(k, a, keys.index(k), keys.index(k) == n) for n, (k, a) in enumerate(rows)]
+    for alone in (True, False):
+        ranked = sorted_groups(table.withColumn("_key", F.col("key")), ["key"], ["at"], keep_alone=alone)
+        assert len(ranked.inputFiles()) == 4
+        got = [(r["_key"], r["at"], r["rank"], r["first"]) for r in ranked.collect()]
+        assert sorted(got) == [w for w in want if alone or keys.count(w[0]) > 1]
+
+
+def test_line_dedup_finds_passages_by_suffix_ranks(many_partitions, tmp_path, monkeypatch):
+    """Runs by definition, over the borders of blocks; the stage of the pipeline takes its places from them."""
+    spark, rng = many_partitions, random.Random(17)
+    run = [rng.randrange(50) for _ in range(60)]
+    texts = {1: run + [7] * 30, 4: [rng.randrange(50) for _ in range(4060)] + run + run[5:], 9: [7] * 25 + run[:19] + run[:18]}
+    for depth in (8, 9, 19, 40):
+        suffixes = [(no, i, hash(tuple(t[i : i + 8]))) for no, t in texts.items() for i in range(len(t) - 7)]
+        seen, want = set(), set()
+        for no, t in texts.items():
+            for i in range(len(t) - depth + 1):
+                want |= {(no, i)} if tuple(t[i : i + depth]) in seen else set()
+                seen.add(tuple(t[i : i + depth]))
+        got = later_copies(spark.createDataFrame(suffixes, "no long, at int, symbol long"), 8, depth)
+        assert want and sorted((r.no, r.at) for r in got.collect()) == sorted(want)
+
+    depths = []
+    monkeypatch.setattr(passage_dedup, "later_copies", lambda s, width, depth: depths.append(depth) or later_copies(s, width, depth))
+    passage = " ".join(words(rng, 55))
+    docs = frame(spark, [(1, f"one {passage} two"), (2, f"three\nfour {passage}")]).withColumn("n_chars", F.length("text").cast("long"))
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()}
+    assert got == {1: f"one {passage} two", 2: "three\nfour"} and depths == [50]
+
+
 def labelled(spark):
     return (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
 
