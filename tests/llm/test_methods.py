@@ -430,6 +430,44 @@ def test_token_store_against_direct_encoding(spark, tmp_path):
         start += len(ids)
 
 
+def test_units_are_encoded_as_in_the_whole_text(monkeypatch):
+    """Every letter that is joined to words, marks, and the places where no cut is allowed; units forgotten between calls."""
+    model, rng = token_store.tokenizer(token_store.TOKENIZER), random.Random(3)
+    letters = token_store.LetterModel.LETTERS
+    odd = [*letters, "they'll", "x2", "3.5", "a.b", "|", "-", "\u00b5", "\u0434\u0430", "\u4e2d\u6587", "\U0001f600", "\0", "\1", "a\0", "\u0120the", "<|endoftext|>", "a<|endoftext|>."]
+    odd += [a + b for a in ("the", "Ontion", "\u0161to") for b in (".", ",,", "%%%", "&*!", "?!...", "'s", "\n", "\t", "\u00a0", "\x1c")]
+    odd += ["", "\n", " ", "\r\n", "\u0085", "and", "of", "x" * 400]
+    texts = ["", "\n", " ", "a", "a\n", "\na", "a\n\nb", "a \nb", "a\n b", *(f"it {c}word{c}. {c}, \n{c}{c}" for c in letters)]
+    texts += ["".join(rng.choice(odd) + rng.choice([" ", " ", " ", "\n"]) for _ in range(n))[: -(n % 2) or None] for n in range(300)]
+    texts += ["".join(rng.choice(odd[: len(letters) + 20]) + " " for _ in range(n)) + "end" for n in range(100)]
+    want = [np.array(model.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts]
+    joined, alone = token_store.UnitEncoder(token_store.TOKENIZER), token_store.UnitEncoder(token_store.TOKENIZER)
+    assert joined._letters
+    alone._letters = None  # as with a tokenizer whose words cannot be joined
+    monkeypatch.setattr(token_store, "KNOWN_UNITS", 300)
+    monkeypatch.setattr(token_store, "ROWS_A_CALL", 7)
+    for encoder in (joined, alone):
+        for size in (len(texts), 40, 1):
+            for i in range(0, len(texts), size):
+                found = list(encoder.encode(token_store.pa.array(texts[i : i + size], token_store.pa.string()).slice(0)))
+                assert len(found) == len(texts[i : i + size])
+                assert all(np.array_equal(a, b) for a, b in zip(found, want[i : i + size]))
+
+
+def test_a_word_is_encoded_once_with_any_marks(monkeypatch):
+    """The tokenizer is given each different word once, not once for each of its marks and texts."""
+    given, ids = [], token_store._ids
+    encoder = token_store.UnitEncoder(token_store.TOKENIZER)
+    monkeypatch.setattr(token_store, "_ids", lambda model, text: given.append(text) or ids(model, text))
+    marks = ["", ".", ",", "%%%", "?!", ";;"]
+    stems = [f"{a}{b}ontion" for a in "bcdfghjklm" for b in "aeiou"]
+    texts = [" ".join(rng.sample([s + m for s in stems for m in marks], 300)) for rng in map(random.Random, range(40))]
+    found = [x for i in range(0, 40, 10) for x in encoder.encode(token_store.pa.array(texts[i : i + 10]))]
+    model = token_store.tokenizer(token_store.TOKENIZER)
+    assert all(x.tolist() == model.encode(t, add_special_tokens=False).ids for x, t in zip(found, texts))
+    assert sum(text.count("ontion") for text in given) <= 2 * len(stems)  # after a blank and after a line break
+
+
 def test_pruning_loses_nothing():
     rng = np.random.default_rng(1)
     for trial in range(200):
