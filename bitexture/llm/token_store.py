@@ -44,9 +44,9 @@ SAMPLE_CHUNK = 16_384  # bytes; longer documents of the sample are cut into seve
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
 SHARD_BYTES = 1 << 20
-KNOWN_UNITS = 1_000_000  # units a worker remembers
+KNOWN_UNITS = 600_000  # units a worker remembers
 UNITS_A_CALL = 300
-BYTES_A_CALL = 1 << 24  # of texts; a longer text is a call of its own
+BYTES_A_CALL = 1 << 23  # of texts; a longer text is a call of its own
 ROWS_A_CALL = 1_000
 MARKS = ".,;:!?#$%&*"
 MARKS_OUT = str.maketrans("", "", MARKS)
